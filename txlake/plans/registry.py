@@ -17,7 +17,14 @@ from pyspark.sql import types as T
 
 from txlake import operators as ops
 from txlake.session import ensure_utc
-from txlake.sources.fixtures import load_transactions, tx_sql_select
+from txlake.operators import realtime as rt
+from txlake.session import scratch_path
+from txlake.sources.envelope import (decode_envelope, encode_envelope, error_envelope_filter, error_response,
+                                     explode_transactions, flatten_transaction, poll_window_extract)
+from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
+                                     tx_from_events, tx_sql_select)
+from txlake.sources.transactions import land_transactions, scan_transactions
+from txlake.streaming import microbatch as mb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,9 +179,213 @@ FROM (SELECT transaction_type,
 }
 
 
+
+# ---------------------------------------------------------------------------
+# Lake landing and scan (S01, S02): events -> conformed, date-partitioned lake.
+# ---------------------------------------------------------------------------
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "lake")
+    land_transactions(tx_from_events(read_table(spark, sf_dir, "events")), path, mode="overwrite")
+    return path
+
+
+def q_land_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return zone_less(scan_transactions(spark, _landed(spark, sf_dir), with_last_modified=True))
+
+
+def q_scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return zone_less(scan_transactions(spark, _landed(spark, sf_dir), "2024-01-10", "2024-01-20"))
+
+
+# ---------------------------------------------------------------------------
+# Stream envelopes (S04, S05, S11, S12, S13) and micro-batch analytics.
+# ---------------------------------------------------------------------------
+
+ERROR_EVERY = 7  # every 7th message (id % 7 = 3) is an API error response in the fixture
+
+
+def raw_messages(spark: SparkSession, sf_dir: str, with_errors: bool = False) -> DataFrame:
+    """Bus records (``message_id, value, timestamp``) derived from ``events``."""
+    rows = envelope_rows_from_events(read_table(spark, sf_dir, "events"))
+    msgs = encode_envelope(rows, "message_id", tx_type=F.col("txType"))
+    if with_errors:
+        bad = (F.col("message_id") % ERROR_EVERY) == F.lit(3)
+        msgs = msgs.withColumn("value", F.when(bad, error_response(
+            F.concat(F.lit("rate limit exceeded for message "), F.col("message_id").cast("string"))))
+            .otherwise(F.col("value")))
+    return msgs
+
+
+def exploded_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole fixture as one micro-batch: decode + explode of every message."""
+    return explode_transactions(decode_envelope(raw_messages(spark, sf_dir).drop("message_id")))
+
+
+def _mb(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return fn(exploded_batch(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
+def q_decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    dec = decode_envelope(raw_messages(spark, sf_dir).drop("message_id"))
+    return zone_less(dec.select("timestamp", F.size("data.data.ethereum.transactions").cast("long")
+                                .alias("n_transactions")))
+
+
+def q_explode_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    dec = decode_envelope(raw_messages(spark, sf_dir).drop("message_id"))
+    return zone_less(flatten_transaction(explode_transactions(dec, keep=("timestamp",)), keep=("timestamp",)))
+
+
+def q_encode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip rows -> JSON messages -> decode -> explode -> flat rows."""
+    ensure_utc(spark)
+    return zone_less(flatten_transaction(exploded_batch(spark, sf_dir)))
+
+
+def q_error_envelope_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    ok, _dead = error_envelope_filter(raw_messages(spark, sf_dir, with_errors=True))
+    dec = decode_envelope(ok.drop("message_id"))
+    return zone_less(dec.select("timestamp", F.size("data.data.ethereum.transactions").cast("long")
+                                .alias("n_transactions")))
+
+
+POLL_SINCE, POLL_TILL = "2024-01-15 00:00:00", "2024-01-16 00:00:00"
+
+
+def q_poll_window_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return zone_less(flatten_transaction(poll_window_extract(load_transactions(spark, sf_dir), POLL_SINCE,
+                                                             POLL_TILL)))
+
+
+ENV_CTE = ("WITH tx AS (SELECT\n  " + tx_sql_select() + ",\n  event_id,\n  "
+           + ",\n  ".join(f"{e} AS {n}" for n, e in ENVELOPE_FROM_EVENTS) + "\nFROM events),\n"
+           "env AS (SELECT *, max(block_timestamp) OVER (PARTITION BY message_id) AS msg_time FROM tx)\n")
+
+_FLAT = ("hash, nonce, from_address AS sender, to_address AS receiver, CAST(gas AS DOUBLE) AS gas, "
+         "CAST(gas_price AS DOUBLE) AS gasPrice, gas * gas_price / 1e18 AS gasValue, {t} AS txType, "
+         "date_trunc('second', block_timestamp) AS block_time")
+
+ENVELOPE_QUERIES: dict[str, Query] = {
+    "land_transactions": q_land_transactions,
+    "scan_transactions": q_scan_transactions,
+    "decode_envelope": q_decode_envelope,
+    "explode_transactions": q_explode_transactions,
+    "encode_envelope": q_encode_envelope,
+    "error_envelope_filter": q_error_envelope_filter,
+    "poll_window_extract": q_poll_window_extract,
+    "rt_transaction_type_count": _mb(mb.rt_transaction_type_count),
+    "rt_average_gas": _mb(mb.rt_average_gas),
+    "rt_transactions_value": _mb(mb.rt_transactions_value),
+    "rt_transactions_by_sender": _mb(mb.rt_transactions_by_sender),
+    "rt_nonce_summary": _mb(mb.rt_nonce_summary),
+}
+
+ENVELOPE_ORACLE: dict[str, str] = {
+    "land_transactions": TX_CTE + "SELECT * FROM tx",
+    "scan_transactions": TX_CTE + "SELECT * EXCLUDE (last_modified) FROM tx WHERE date BETWEEN '2024-01-10' AND '2024-01-20'",
+    "decode_envelope": ENV_CTE + "SELECT max(block_timestamp) AS timestamp, count(*) AS n_transactions "
+                                 "FROM env GROUP BY message_id",
+    "explode_transactions": ENV_CTE + "SELECT " + _FLAT.format(t="txType") + ", msg_time AS timestamp FROM env",
+    "encode_envelope": ENV_CTE + "SELECT " + _FLAT.format(t="txType") + " FROM env",
+    "error_envelope_filter": ENV_CTE + "SELECT max(block_timestamp) AS timestamp, count(*) AS n_transactions "
+                                       f"FROM env WHERE message_id % {ERROR_EVERY} <> 3 GROUP BY message_id",
+    "poll_window_extract": TX_CTE + "SELECT " + _FLAT.format(t="CAST(transaction_type AS VARCHAR)") + f"""
+FROM tx WHERE block_timestamp BETWEEN TIMESTAMP '{POLL_SINCE}' AND TIMESTAMP '{POLL_TILL}'
+ORDER BY block_timestamp DESC, hash ASC LIMIT 100""",
+    "rt_transaction_type_count": ENV_CTE + """
+SELECT CASE WHEN raw_type <> '' THEN raw_type ELSE '2' END AS txType, rn AS running_count
+FROM (SELECT txType AS raw_type, row_number() OVER (PARTITION BY txType ORDER BY hash) AS rn FROM env)""",
+    "rt_average_gas": ENV_CTE + """
+SELECT avg(CAST(gas AS DOUBLE)) AS average_gas, avg(CAST(gas_price AS DOUBLE)) AS average_gas_price FROM env""",
+    "rt_transactions_value": ENV_CTE + """
+SELECT hash, gas * gas_price / 1e18 AS gasValue,
+  rank() OVER (PARTITION BY hash ORDER BY gas * gas_price / 1e18 DESC NULLS LAST) AS gas_value_rank
+FROM env""",
+    "rt_transactions_by_sender": ENV_CTE + """
+SELECT from_address AS address, count(hash) OVER (PARTITION BY from_address) AS cumulative_count FROM env""",
+    "rt_nonce_summary": ENV_CTE + """
+SELECT hash, from_address AS address,
+  min(nonce) OVER () AS running_min_nonce, max(nonce) OVER () AS running_max_nonce,
+  CAST(sum(nonce) OVER () AS DOUBLE) / CAST(count(nonce) OVER () AS DOUBLE) AS running_avg_nonce
+FROM env""",
+}
+
+
+# ---------------------------------------------------------------------------
+# Real-time queries of the slides, batch form (P01-P05). NOW() = AS_OF.
+# ---------------------------------------------------------------------------
+
+AS_OF = "2024-01-29 00:00:00"
+P_PARAMS = {
+    "tx_count_in_frame": {"frame": "7 days"},
+    "gas_price_trend": {"frame": "1 day"},
+    "new_contracts": {"frame": "7 days"},
+    "large_transfers": {"frame": "1 day", "threshold": 2.5e20},
+    "suspicious_activity": {"frame": "30 days", "max_count": 1, "max_avg_gas_price": 85e9},
+}
+
+
+def _p(fn, name) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return zone_less(fn(load_transactions(spark, sf_dir), as_of=AS_OF, **P_PARAMS[name]))
+    run.__name__ = name
+    return run
+
+
+def _frame(name: str) -> str:
+    return (f"block_timestamp BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL '{P_PARAMS[name]['frame']}' "
+            f"AND TIMESTAMP '{AS_OF}'")
+
+
+REALTIME_QUERIES: dict[str, Query] = {
+    "tx_count_in_frame": _p(rt.tx_count_in_frame, "tx_count_in_frame"),
+    "gas_price_trend": _p(rt.gas_price_trend, "gas_price_trend"),
+    "new_contracts": _p(rt.new_contracts, "new_contracts"),
+    "large_transfers": _p(rt.large_transfers, "large_transfers"),
+    "suspicious_activity": _p(rt.suspicious_activity, "suspicious_activity"),
+}
+
+REALTIME_ORACLE: dict[str, str] = {
+    "tx_count_in_frame": f"SELECT count(*) AS transaction_count FROM tx WHERE {_frame('tx_count_in_frame')}",
+    "gas_price_trend": f"""
+SELECT block_timestamp, {_mean('gas_price')} AS average_gas_price
+FROM tx WHERE {_frame('gas_price_trend')} GROUP BY block_timestamp""",
+    "new_contracts": f"""
+SELECT count(*) AS contract_count, {_mean('receipt_gas_used')} AS average_initial_gas_usage
+FROM tx WHERE to_address IS NULL AND input IS NOT NULL AND {_frame('new_contracts')}""",
+    "large_transfers": f"""
+SELECT hash AS transaction_id, value FROM tx
+WHERE value > {P_PARAMS['large_transfers']['threshold']!r} AND {_frame('large_transfers')}""",
+    "suspicious_activity": f"""
+SELECT from_address, to_address, count(*) AS transaction_count, {_mean('gas_price')} AS average_gas_price
+FROM tx WHERE {_frame('suspicious_activity')}
+GROUP BY from_address, to_address
+HAVING count(*) > {P_PARAMS['suspicious_activity']['max_count']}
+    OR {_mean('gas_price')} > {P_PARAMS['suspicious_activity']['max_avg_gas_price']!r}""",
+}
+
+
 def queries() -> dict[str, Query]:
-    return dict(BATCH_QUERIES)
+    out = dict(BATCH_QUERIES)
+    out.update(ENVELOPE_QUERIES)
+    out.update(REALTIME_QUERIES)
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: TX_CTE + v.strip() for k, v in BATCH_ORACLE.items()}
+    out = {k: TX_CTE + v.strip() for k, v in BATCH_ORACLE.items()}
+    out.update({k: v.strip() for k, v in ENVELOPE_ORACLE.items()})
+    out.update({k: TX_CTE + v.strip() for k, v in REALTIME_ORACLE.items()})
+    return out
