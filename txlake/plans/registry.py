@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlake import operators as ops
-from txlake.session import ensure_utc
 from txlake.operators import realtime as rt
-from txlake.session import scratch_path
+from txlake.session import ensure_utc, scratch_path
 from txlake.sources.envelope import (decode_envelope, encode_envelope, error_envelope_filter, error_response,
                                      explode_transactions, flatten_transaction, poll_window_extract)
 from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
                                      tx_from_events, tx_sql_select)
 from txlake.sources.transactions import land_transactions, scan_transactions
+from txlake.schema import TX_SCHEMA_EXT
+from txlake.sources.io import read_tx_stream
+from txlake.streaming import eventtime as et
 from txlake.streaming import microbatch as mb
+from txlake.streaming.runner import run_stream, run_to_completion, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,10 +380,111 @@ HAVING count(*) > {P_PARAMS['suspicious_activity']['max_count']}
 }
 
 
+
+# ---------------------------------------------------------------------------
+# Streaming forms (P01-P05 on event time; R06 pipeline end to end).
+# Sources are files Spark writes from ``events`` into the shared scratch area;
+# each query runs with trigger(availableNow=True) and returns its sink. With
+# one input batch the watermark ends at max(event time) - delay and the
+# closing no-data batch emits exactly the windows whose end is <= that.
+# ---------------------------------------------------------------------------
+
+STREAM_WATERMARK = "10 minutes"
+STREAM_PARAMS = {
+    "tx_count_stream": {"frame": "1 hour"},
+    "gas_price_trend_stream": {"granularity": "1 hour"},
+    "new_contracts_stream": {"frame": "1 day"},
+    "large_transfers_stream": {"threshold": 2.5e20},
+    "suspicious_activity_stream": {"frame": "1 day", "max_count": 1, "max_avg_gas_price": 85e9},
+}
+
+
+def _tx_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = scratch_path(spark, "tx-stream-src")
+    load_transactions(spark, sf_dir).write.parquet(src)
+    return spark.readStream.schema(TX_SCHEMA_EXT).parquet(src)
+
+
+def _stream(fn, name, stateful: bool = True) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        params = dict(STREAM_PARAMS[name])
+        if stateful:
+            params["watermark"] = STREAM_WATERMARK
+        out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+        q = write_stream(fn(_tx_file_stream(spark, sf_dir), **params), out, ck, trigger={"availableNow": True})
+        run_to_completion(q)
+        return zone_less(spark.read.schema(q_schema(fn, spark, params)).parquet(out))
+    run.__name__ = name
+    return run
+
+
+def q_schema(fn, spark: SparkSession, params: dict):
+    """Output schema of a streaming query (same function over an empty batch frame), so
+    that a sink with no emitted rows still reads back with the right columns."""
+    return fn(spark.createDataFrame([], TX_SCHEMA_EXT), **params).schema
+
+
+def q_stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R06 + S03 + S08: JSON message files -> stream -> decode -> foreachBatch R01-R05
+    -> batch_id-partitioned sinks; returns the R01 sink (one input batch)."""
+    ensure_utc(spark)
+    src = scratch_path(spark, "msg-src")
+    raw_messages(spark, sf_dir).drop("message_id").write.json(src)
+    sinks, ck = scratch_path(spark, "rt-sinks"), scratch_path(spark, "rt-ckpt")
+    q = run_stream(read_tx_stream(spark, "json", src), sinks, ck, trigger={"availableNow": True})
+    run_to_completion(q)
+    return spark.read.parquet(f"{sinks}/rt_transaction_type_count").select("txType", "running_count")
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "tx_count_stream": _stream(et.tx_count_stream, "tx_count_stream"),
+    "gas_price_trend_stream": _stream(et.gas_price_trend_stream, "gas_price_trend_stream"),
+    "new_contracts_stream": _stream(et.new_contracts_stream, "new_contracts_stream"),
+    "large_transfers_stream": _stream(et.large_transfers_stream, "large_transfers_stream", stateful=False),
+    "suspicious_activity_stream": _stream(et.suspicious_activity_stream, "suspicious_activity_stream"),
+    "stream_pipeline": q_stream_pipeline,
+}
+
+_EMITTED = f"window_end <= (SELECT max(block_timestamp) FROM tx) - INTERVAL '{STREAM_WATERMARK}'"
+
+
+def _win(width: str) -> str:
+    unit = width.split()[1].rstrip("s")
+    return (f"date_trunc('{unit}', block_timestamp) AS window_start, "
+            f"date_trunc('{unit}', block_timestamp) + INTERVAL '{width}' AS window_end")
+
+
+STREAM_ORACLE: dict[str, str] = {
+    "tx_count_stream": f"""
+SELECT * FROM (SELECT {_win('1 hour')}, count(*) AS transaction_count FROM tx GROUP BY 1, 2)
+WHERE {_EMITTED}""",
+    "gas_price_trend_stream": f"""
+SELECT * FROM (SELECT {_win('1 hour')}, {_mean('gas_price')} AS average_gas_price FROM tx GROUP BY 1, 2)
+WHERE {_EMITTED}""",
+    "new_contracts_stream": f"""
+SELECT * FROM (SELECT {_win('1 day')}, count(*) AS contract_count,
+                      {_mean('receipt_gas_used')} AS average_initial_gas_usage
+               FROM tx WHERE to_address IS NULL AND input IS NOT NULL GROUP BY 1, 2)
+WHERE {_EMITTED}""",
+    "large_transfers_stream": f"""
+SELECT hash AS transaction_id, value, block_timestamp FROM tx
+WHERE value > {STREAM_PARAMS['large_transfers_stream']['threshold']!r}""",
+    "suspicious_activity_stream": f"""
+SELECT * FROM (SELECT {_win('1 day')}, from_address, to_address, count(*) AS transaction_count,
+                      {_mean('gas_price')} AS average_gas_price
+               FROM tx GROUP BY 1, 2, 3, 4
+               HAVING count(*) > {STREAM_PARAMS['suspicious_activity_stream']['max_count']}
+                   OR {_mean('gas_price')} > {STREAM_PARAMS['suspicious_activity_stream']['max_avg_gas_price']!r})
+WHERE {_EMITTED}""",
+}
+
+
 def queries() -> dict[str, Query]:
     out = dict(BATCH_QUERIES)
     out.update(ENVELOPE_QUERIES)
     out.update(REALTIME_QUERIES)
+    out.update(STREAM_QUERIES)
     return out
 
 
@@ -388,4 +492,6 @@ def oracle_sql() -> dict[str, str]:
     out = {k: TX_CTE + v.strip() for k, v in BATCH_ORACLE.items()}
     out.update({k: v.strip() for k, v in ENVELOPE_ORACLE.items()})
     out.update({k: TX_CTE + v.strip() for k, v in REALTIME_ORACLE.items()})
+    out.update({k: TX_CTE + v.strip() for k, v in STREAM_ORACLE.items()})
+    out["stream_pipeline"] = ENVELOPE_ORACLE["rt_transaction_type_count"].strip()
     return out

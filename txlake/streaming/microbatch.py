@@ -61,9 +61,16 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     key = F.col(T + partition_by) if "." not in partition_by else F.col(partition_by)
     grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
                .groupBy("_g", "hash", "gasValue").agg(F.count(F.lit(1)).alias("_c")))
-    per_value = grouped.groupBy("_g", "gasValue").agg(F.sum("_c").alias("_vc"))
     w = (Window.partitionBy("_g").orderBy(F.col("gasValue").desc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, -1))
+    if partition_by == "hash":
+        # (group, value) rows are already unique: rank them directly, no join back.
+        ranked = grouped.select("hash", "gasValue", "_c",
+                                (F.coalesce(F.sum("_c").over(w), F.lit(0)) + 1).alias("gas_value_rank"))
+        if top is not None:
+            ranked = ranked.where(F.col("gas_value_rank") <= F.lit(int(top)))
+        return repeat_rows(ranked, "_c").select("hash", "gasValue", "gas_value_rank")
+    per_value = grouped.groupBy("_g", "gasValue").agg(F.sum("_c").alias("_vc"))
     ranks = per_value.select("_g", "gasValue",
                              (F.coalesce(F.sum("_vc").over(w), F.lit(0)) + 1).alias("gas_value_rank"))
     if top is not None:
