@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.operators.common import top_k
-from txlake.operators.expand import repeat_rows
 from txlake.schema import (BLOCK_GAS_LIMIT, BLOCK_NUMBER, BLOCK_TIMESTAMP, HASH, RECEIPT_CUMULATIVE_GAS_USED,
                            RECEIPT_GAS_USED)
 
@@ -44,17 +43,21 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
     Here the order is cut into chunks (date, hour, block_timestamp, first
     ``split_digits`` hex digits of the hash) that are contiguous in that order:
 
-    1. exact copies of a transaction are collapsed to one row with a count
-       (map-side combine), so a replayed transaction is not a hot group;
-    2. each chunk gets its running sum from a window partitioned by the chunk;
-    3. each chunk's offset is the sum of all earlier chunks of its hour,
-       from a window over the (small) per-chunk totals;
-    4. chunk sums and offsets are joined on the chunk key (equi-join; AQE
-       broadcasts the offsets only when their measured size allows);
-    5. copies are expanded back, copy k getting ``prefix + k * value``.
-
-    The per-hour offset window holds one row per (block timestamp, hash
-    prefix), i.e. blocks-per-hour x 16^split_digits rows at most.
+    1. each row gets its running sum inside its chunk (window partitioned by
+       the chunk: one shuffle of the pruned rows, small sorts);
+    2. each chunk's offset is the sum of all earlier chunks of its hour: a
+       partial/final aggregation to one row per chunk, then a window over
+       those few rows per hour;
+    3. rows and offsets are joined on the chunk key. The rows are already
+       partitioned on it by step 1, so only the small offset side moves
+       (AQE broadcasts it when its measured size is below the threshold).
+
+    A chunk holds the transactions of one block timestamp whose hash starts
+    with the same digits: at most a block's gas limit / 21000 transactions,
+    divided by 16^split_digits. The per-hour offset window holds one row per
+    (block timestamp, hash prefix). Ties on (block_timestamp, hash) (exact
+    copies of one transaction) are ordered by the value, then arbitrarily,
+    which does not change the multiset of output rows.
     """
     ts = F.col(BLOCK_TIMESTAMP)
     keys = ["_day", "hour", BLOCK_TIMESTAMP, "_pfx"]
@@ -62,26 +65,24 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
         F.to_date(ts).alias("_day"), F.hour(ts).alias("hour"), ts.alias(BLOCK_TIMESTAMP),
         F.coalesce(F.substring(HASH, 1, 2 + int(split_digits)), F.lit("")).alias("_pfx"),
         F.col(HASH), F.col(column).cast("long").alias("_v"))
-    uniq = rows.groupBy(*keys, HASH, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    weight = F.col("_v") * F.col("_c")
-
-    chunk = uniq.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
-    w_hour = (Window.partitionBy("_day", "hour").orderBy(BLOCK_TIMESTAMP, "_pfx")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = chunk.select(*keys, F.coalesce(F.sum("_chunk").over(w_hour), F.lit(0).cast("long")).alias("_off"))
 
     w_chunk = (Window.partitionBy(*keys).orderBy(F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = uniq.select(*keys, HASH, "_v", "_c", F.sum(weight).over(w_chunk).alias("_incl"))
+    local = rows.select(*keys, HASH, F.sum("_v").over(w_chunk).alias("_incl"))
+
+    chunk = rows.groupBy(*keys).agg(F.sum("_v").alias("_chunk"))
+    w_hour = (Window.partitionBy("_day", "hour").orderBy(BLOCK_TIMESTAMP, "_pfx")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = chunk.select(*keys, F.sum("_chunk").over(w_hour).alias("_off"))
 
     cond = reduce(lambda a, b: a & b, [local[k].eqNullSafe(offsets[k]) for k in keys])
-    joined = local.join(offsets, cond, "inner").select(
-        *[local[k] for k in keys], local[HASH], local["_v"], local["_c"],
-        (offsets["_off"] + local["_incl"] - local["_v"] * local["_c"]).alias("_base"))
-    expanded = repeat_rows(joined.select(HASH, BLOCK_TIMESTAMP, "hour", "_v", "_base", "_c"), "_c", "_k")
-    return expanded.select(
-        HASH, BLOCK_TIMESTAMP, "hour",
-        (F.col("_base") + F.col("_v") * F.col("_k")).alias("cumulative_gas_used"))
+    joined = local.join(offsets, cond, "inner")
+    return joined.select(
+        local[HASH].alias(HASH), local[BLOCK_TIMESTAMP].alias(BLOCK_TIMESTAMP), local["hour"].alias("hour"),
+        # NULL only when nothing so far in the hour was non-NULL (as SUM over the frame).
+        F.when(offsets["_off"].isNull() & local["_incl"].isNull(), F.lit(None).cast("long"))
+        .otherwise(F.coalesce(offsets["_off"], F.lit(0).cast("long")) + F.coalesce(local["_incl"], F.lit(0).cast("long")))
+        .alias("cumulative_gas_used"))
 
 
 def cumulative_gas_in_hour_window(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED) -> DataFrame:
