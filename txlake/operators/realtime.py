@@ -26,7 +26,8 @@ def in_frame(tx: DataFrame, as_of, frame: str) -> DataFrame:
     ts = F.col(BLOCK_TIMESTAMP)
     out = tx.where(ts.between(lo, hi))
     if DATE in tx.columns:
-        out = out.where(F.col(DATE).between(F.date_format(lo, "yyyy-MM-dd"), F.date_format(hi, "yyyy-MM-dd")))
+        d = F.col(DATE)
+        out = out.where(d.isNull() | d.between(F.date_format(lo, "yyyy-MM-dd"), F.date_format(hi, "yyyy-MM-dd")))
     return out
 
 

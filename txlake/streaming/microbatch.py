@@ -58,7 +58,7 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     those few distinct values, then rows are replicated back. ``top`` keeps
     ranks <= top.
     """
-    key = F.col(T + partition_by) if "." not in partition_by else F.col(partition_by)
+    key = F.col(partition_by if partition_by.startswith(T) else T + partition_by)
     grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
                .groupBy("_g", "hash", "gasValue").agg(F.count(F.lit(1)).alias("_c")))
     w = (Window.partitionBy("_g").orderBy(F.col("gasValue").desc_nulls_last())
