@@ -70,3 +70,10 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # pragma: no cover - connect sessions have no SparkContext
         return max(1, int(os.cpu_count() or 1))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path`` (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
