@@ -10,6 +10,7 @@ a failure replaces its own output instead of appending a second copy
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -23,24 +24,37 @@ from txlake.streaming.microbatch import MICROBATCH_ANALYTICS
 
 def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
                       analytics: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                      sink_options: dict | None = None) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` callback (S08) over decoded envelope rows."""
+                      sink_options: dict | None = None, parallel_jobs: int = 1) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` callback (S08) over decoded envelope rows.
+
+    ``parallel_jobs > 1`` submits the analytics as concurrent Spark jobs over
+    the one persisted batch (each is small next to the cluster).
+    """
     chosen = dict(analytics or MICROBATCH_ANALYTICS)
     opts = dict(sink_options or {})
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         exploded = explode_transactions(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def one(item) -> None:
+            name, fn = item
+            out = fn(exploded).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            w = out.write.format(fmt)
+            if fmt in FILE_FORMATS:
+                (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                 .options(**opts).save(f"{sink_base.rstrip('/')}/{name}"))
+            else:
+                w.mode("append").options(**{"collection": name, **opts}).save()
+
         try:
             if exploded.isEmpty():  # one small job; an empty batch writes nothing
                 return
-            for name, fn in chosen.items():
-                out = fn(exploded).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-                w = out.write.format(fmt)
-                if fmt in FILE_FORMATS:
-                    (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-                     .options(**opts).save(f"{sink_base.rstrip('/')}/{name}"))
-                else:
-                    w.mode("append").options(**{"collection": name, **opts}).save()
+            if parallel_jobs > 1:
+                with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+                    list(pool.map(one, chosen.items()))
+            else:
+                for item in chosen.items():
+                    one(item)
         finally:
             exploded.unpersist()
 
@@ -49,7 +63,7 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
 
 def run_stream(raw_stream: DataFrame, sink_base: str | None, checkpoint: str, fmt: str = "parquet",
                trigger: dict | None = None, analytics: dict | None = None, query_name: str | None = None,
-               sink_options: dict | None = None) -> StreamingQuery:
+               sink_options: dict | None = None, parallel_jobs: int = 1) -> StreamingQuery:
     """Start the stream; returns the running :class:`StreamingQuery`.
 
     ``checkpoint`` must be a shared, durable folder: a restart resumes from
@@ -59,7 +73,7 @@ def run_stream(raw_stream: DataFrame, sink_base: str | None, checkpoint: str, fm
     """
     decoded = decode_envelope(raw_stream)
     w = (decoded.writeStream
-         .foreachBatch(make_batch_writer(sink_base, fmt, analytics, sink_options))
+         .foreachBatch(make_batch_writer(sink_base, fmt, analytics, sink_options, parallel_jobs))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
