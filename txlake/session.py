@@ -26,9 +26,12 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "txlake", shuffle_partitions: int | None = None,
+def build_session(master: str | None = "local[*]", app: str = "txlake", shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """Session with the library defaults; ``master=None`` keeps what spark-submit set."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     merged = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -77,3 +80,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Shuffle settings for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    AQE starts from ``initialPartitionNum`` (about one partition per
+    ``target_partition_bytes`` of input, at least 2 per core) and coalesces
+    small ones after measuring; skewed partitions are split in joins.
+    """
+    n = max(2 * total_cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
