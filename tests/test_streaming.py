@@ -103,3 +103,42 @@ def test_dedup_within_watermark(spark):
     q = write_stream(et.dedup_transactions(stream), out, ck, trigger={"availableNow": True})
     run_to_completion(q)
     assert spark.read.parquet(out).count() == tx.count()
+
+
+def test_sliding_windows_match_brute_force(spark):
+    """P01/P05 stream forms with frame 2 h sliding by 1 h; each row lands in two windows."""
+    tx = load_transactions(spark, SF_SMALL)
+    src = scratch_path(spark, "slide-src")
+    tx.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(TX_SCHEMA_EXT).parquet(src)
+    out, ck = scratch_path(spark, "slide"), scratch_path(spark, "slideck")
+    q = write_stream(et.tx_count_stream(stream, "2 hours", slide="1 hour", watermark="10 minutes"), out, ck,
+                     trigger={"availableNow": True})
+    run_to_completion(q)
+    got = {r.window_start: r.transaction_count for r in spark.read.parquet(out).collect()}
+    rows = [r.block_timestamp for r in tx.select("block_timestamp").collect()]
+    wm = max(rows) - dt.timedelta(minutes=10)
+    want: dict = {}
+    for ts in rows:
+        h = ts.replace(minute=0, second=0, microsecond=0)
+        for start in (h - dt.timedelta(hours=1), h):
+            if start + dt.timedelta(hours=2) <= wm:
+                want[start] = want.get(start, 0) + 1
+    assert got == want
+
+    out2, ck2 = scratch_path(spark, "susp"), scratch_path(spark, "suspck")
+    q2 = write_stream(et.suspicious_activity_stream(stream, "2 hours", max_count=1, max_avg_gas_price=8e10,
+                                                    slide="1 hour"), out2, ck2, trigger={"availableNow": True})
+    run_to_completion(q2)
+    got2 = sorted((r.window_start, r.from_address, r.to_address, r.transaction_count)
+                  for r in spark.read.parquet(out2).collect())
+    groups: dict = {}
+    for r in tx.select("block_timestamp", "from_address", "to_address", "gas_price").collect():
+        h = r.block_timestamp.replace(minute=0, second=0, microsecond=0)
+        for start in (h - dt.timedelta(hours=1), h):
+            if start + dt.timedelta(hours=2) <= wm:
+                g = groups.setdefault((start, r.from_address, r.to_address), [])
+                g.append(r.gas_price)
+    want2 = sorted((k[0], k[1], k[2], len(v)) for k, v in groups.items()
+                   if len(v) > 1 or sum(v) / len(v) > 8e10)
+    assert got2 == want2
