@@ -47,6 +47,8 @@ def test_batch_job_variants_agree(spark):
     a, b = scratch_path(spark, "a"), scratch_path(spark, "b")
     run_batch_job(tx, a, outputs=["most_active_pairs", "efficiency_analysis"], shared_scan=True, parallel_jobs=1)
     run_batch_job(tx, b, outputs=["most_active_pairs", "efficiency_analysis"])
+    t = run_batch_job(tx, b, outputs=["transaction_counts"])
+    assert t["categorized_rows"] == tx.count()
     for name in ("most_active_pairs", "efficiency_analysis"):
         assert df_multiset(spark.read.parquet(f"{a}/{name}")) == df_multiset(spark.read.parquet(f"{b}/{name}"))
 
