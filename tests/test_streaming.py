@@ -142,3 +142,21 @@ def test_sliding_windows_match_brute_force(spark):
     want2 = sorted((k[0], k[1], k[2], len(v)) for k, v in groups.items()
                    if len(v) > 1 or sum(v) / len(v) > 8e10)
     assert got2 == want2
+
+
+def test_state_partitions_recorded_in_checkpoint_and_session_restored(spark):
+    import glob
+    import json
+    tx = load_transactions(spark, SF_SMALL)
+    src = scratch_path(spark, "sp-src")
+    tx.coalesce(1).write.parquet(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out, ck = scratch_path(spark, "sp"), scratch_path(spark, "spck")
+    stream = spark.readStream.schema(TX_SCHEMA_EXT).parquet(src)
+    q = write_stream(et.tx_count_stream(stream, "1 hour"), out, ck, trigger={"availableNow": True}, state_partitions=3)
+    run_to_completion(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    local = ck[len("file:"):] if ck.startswith("file:") else ck
+    meta = json.loads(open(sorted(glob.glob(f"{local}/offsets/0"))[0]).read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
+    assert len(glob.glob(f"{local}/state/0/[0-9]*")) == 3

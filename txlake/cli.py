@@ -83,9 +83,11 @@ def cmd_monitor(spark, args) -> int:
     if args.query != "large_transfers":
         kwargs["watermark"] = args.watermark
     stream = spark.readStream.schema(TX_SCHEMA_EXT).options(**_opts(args.source_option)).parquet(args.input)
+    keyless = args.query in ("tx_count", "gas_price_trend", "new_contracts")
     q = write_stream(getattr(et, fn_name)(stream, **kwargs), args.output,
                      args.checkpoint or f"{checkpoint_root(spark)}/txlake-monitor-{args.query}",
-                     fmt=args.sink_format, trigger=_trigger(args))
+                     fmt=args.sink_format, trigger=_trigger(args),
+                     state_partitions=et.KEYLESS_STATE_PARTITIONS if keyless else None)
     q.awaitTermination()
     return 0
 

@@ -444,14 +444,15 @@ def _tx_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(TX_SCHEMA_EXT).parquet(src)
 
 
-def _stream(fn, name, stateful: bool = True) -> Query:
+def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
         params = dict(STREAM_PARAMS[name])
         if stateful:
             params["watermark"] = STREAM_WATERMARK
         out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
-        q = write_stream(fn(_tx_file_stream(spark, sf_dir), **params), out, ck, trigger={"availableNow": True})
+        q = write_stream(fn(_tx_file_stream(spark, sf_dir), **params), out, ck, trigger={"availableNow": True},
+                         state_partitions=et.KEYLESS_STATE_PARTITIONS if keyless else None)
         run_to_completion(q)
         return zone_less(spark.read.schema(q_schema(fn, spark, params)).parquet(out))
     run.__name__ = name
@@ -477,9 +478,9 @@ def q_stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_QUERIES: dict[str, Query] = {
-    "tx_count_stream": _stream(et.tx_count_stream, "tx_count_stream"),
-    "gas_price_trend_stream": _stream(et.gas_price_trend_stream, "gas_price_trend_stream"),
-    "new_contracts_stream": _stream(et.new_contracts_stream, "new_contracts_stream"),
+    "tx_count_stream": _stream(et.tx_count_stream, "tx_count_stream", keyless=True),
+    "gas_price_trend_stream": _stream(et.gas_price_trend_stream, "gas_price_trend_stream", keyless=True),
+    "new_contracts_stream": _stream(et.new_contracts_stream, "new_contracts_stream", keyless=True),
     "large_transfers_stream": _stream(et.large_transfers_stream, "large_transfers_stream", stateful=False),
     "suspicious_activity_stream": _stream(et.suspicious_activity_stream, "suspicious_activity_stream"),
     "stream_pipeline": q_stream_pipeline,

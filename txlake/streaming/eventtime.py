@@ -18,6 +18,10 @@ from txlake.schema import (BLOCK_TIMESTAMP, FROM_ADDRESS, GAS_PRICE, HASH, INPUT
 
 DEFAULT_WATERMARK = "10 minutes"
 
+#: State partitions for keyless window aggregates (P01-P03): one state row per
+#: open window, so this does not grow with the input.
+KEYLESS_STATE_PARTITIONS = 8
+
 
 def _windowed(tx_stream: DataFrame, frame: str, slide: str | None, watermark: str, *keys):
     w = F.window(BLOCK_TIMESTAMP, frame, slide) if slide else F.window(BLOCK_TIMESTAMP, frame)

@@ -91,13 +91,29 @@ def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) ->
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", fmt: str = "parquet",
-                 trigger: dict | None = None, partition_by: Iterable[str] = ()) -> StreamingQuery:
-    """Start a plain streaming sink (used by the event-time queries)."""
+                 trigger: dict | None = None, partition_by: Iterable[str] = (),
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Start a plain streaming sink (used by the event-time queries).
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    query (Spark records it in the checkpoint at the first start and keeps
+    it on restarts). Keyless window aggregates hold one state row per open
+    window, so a few partitions suffice at any input size; keyed aggregates
+    should keep the session's shuffle partitions (the default).
+    """
     w = (df.writeStream.format(fmt).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).option("path", path))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return w.start()  # the stream clones the session conf here
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
