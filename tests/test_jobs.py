@@ -67,3 +67,22 @@ def test_sizing_conf():
     conf = sizing_conf(100 << 40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert int(sizing_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_hot_date_is_split_across_files(spark):
+    import glob
+    from txlake.sources.transactions import land_transactions
+    tx = load_transactions(spark, "/root/testdata/sf0.01")
+    # Nine tenths of the rows on one date.
+    hot = tx.withColumn("block_timestamp", F.when(F.col("nonce") % 10 != 0, F.lit("2024-01-07 12:00:00")
+                                                  .cast("timestamp")).otherwise(F.col("block_timestamp"))).drop("date")
+    lake = scratch_path(spark, "hotlake")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 << 10))
+    try:
+        land_transactions(hot, lake, mode="overwrite")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    local = lake[len("file:"):] if lake.startswith("file:") else lake
+    assert len(glob.glob(f"{local}/date=2024-01-07/*.parquet")) > 1
+    assert scan_transactions(spark, lake).count() == tx.count()
