@@ -28,7 +28,10 @@ def test_land_then_batch_job_from_cli(spark):
     assert tx.count() == src.count()
     # date was derived from block_timestamp (UTC) and is the partition column.
     assert tx.where(F.col("date") != F.date_format("block_timestamp", "yyyy-MM-dd")).count() == 0
-    assert cli.main(["batch", "--input", lake, "--output", out]) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert cli.main(["batch", "--input", lake, "--output", out, "--auto-size"]) == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     for name in JOB_OUTPUTS:
         assert spark.read.parquet(f"{out}/{name}").count() > 0
     same_cols, same_rows = df_multiset(spark.read.parquet(f"{out}/block_utilization"))

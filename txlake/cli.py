@@ -14,7 +14,7 @@ import argparse
 import json
 import sys
 
-from txlake.session import build_session, checkpoint_root
+from txlake.session import apply_sizing, build_session, checkpoint_root
 
 
 def _opts(pairs: list[str] | None) -> dict:
@@ -36,6 +36,8 @@ def _trigger(args) -> dict | None:
 def cmd_batch(spark, args) -> int:
     from txlake.plans.batch_job import run_batch_job
     from txlake.sources.transactions import scan_transactions
+    if args.auto_size:
+        apply_sizing(spark, args.input)
     tx = scan_transactions(spark, args.input, args.start_date, args.end_date)
     outputs = args.outputs.split(",") if args.outputs else None
     timings = run_batch_job(tx, args.output, fmt=args.format, outputs=outputs, shared_scan=args.shared_scan,
@@ -46,6 +48,8 @@ def cmd_batch(spark, args) -> int:
 
 def cmd_land(spark, args) -> int:
     from txlake.sources.transactions import land_transactions
+    if args.auto_size:
+        apply_sizing(spark, args.input)
     land_transactions(spark.read.parquet(args.input), args.output, mode=args.mode)
     return 0
 
@@ -107,11 +111,13 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--shared-scan", action="store_true")
     b.add_argument("--parallel-jobs", type=int, default=4)
     b.add_argument("--option", action="append")
+    b.add_argument("--auto-size", action="store_true", help="size shuffles from the input's bytes")
 
     la = sub.add_parser("land")
     la.add_argument("--input", required=True)
     la.add_argument("--output", required=True)
     la.add_argument("--mode", default="append", choices=["append", "overwrite"])
+    la.add_argument("--auto-size", action="store_true", help="size shuffles from the input's bytes")
 
     s = sub.add_parser("stream")
     s.add_argument("--source-format", default="kafka")

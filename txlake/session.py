@@ -96,3 +96,19 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
     }
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop content summary; no data is read)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return int(fs.getContentSummary(p).getLength())
+
+
+def apply_sizing(spark: SparkSession, path: str) -> dict:
+    """Set the shuffle sizing of :func:`sizing_conf` for the input at ``path``."""
+    conf = sizing_conf(input_bytes(spark, path), default_parallelism(spark))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
