@@ -52,7 +52,7 @@ ENVELOPE_FROM_EVENTS = [
 ]
 
 
-def tx_sql_select(prefix: str = "") -> str:
+def tx_sql_select() -> str:
     """``SELECT`` list of the mapping (for an oracle CTE over ``events``)."""
     return ",\n  ".join(f"{expr} AS {name}" for name, expr in TX_FROM_EVENTS)
 
@@ -76,7 +76,7 @@ def envelope_rows_from_events(events: DataFrame) -> DataFrame:
     """Flat rows carrying everything a stream envelope needs, plus ``message_id``."""
     tx = tx_from_events(events, keep=("event_id",))
     extra = [F.expr(expr).alias(name) for name, expr in ENVELOPE_FROM_EVENTS]
-    return tx.select("*", *[e for e in extra])
+    return tx.select("*", *extra)
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
