@@ -129,7 +129,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint")
     s.add_argument("--interval")
     s.add_argument("--available-now", action="store_true")
-    s.add_argument("--parallel-jobs", type=int, default=1)
+    s.add_argument("--parallel-jobs", type=int, default=5)
 
     m = sub.add_parser("monitor")
     m.add_argument("query", choices=sorted(MONITORS))
