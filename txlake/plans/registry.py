@@ -120,8 +120,8 @@ FROM (SELECT from_address FROM tx UNION ALL SELECT to_address FROM tx)
 GROUP BY from_address""",
     "failed_transaction_pct": f"""
 SELECT {_PCT.format(a='count_if(receipt_status = 0)', b='count_if(receipt_status = 1)')} AS failed_pct,
-  count_if(receipt_status = 0) AS failed_count,
-  count_if(receipt_status = 1) AS success_count
+  CAST(count_if(receipt_status = 0) AS BIGINT) AS failed_count,
+  CAST(count_if(receipt_status = 1) AS BIGINT) AS success_count
 FROM tx""",
     "transaction_status_counts": "SELECT receipt_status, count(*) AS count FROM tx GROUP BY receipt_status",
     "avg_gas_used": f"SELECT round({_mean('gas')}, 2) AS avg_gas FROM tx",
