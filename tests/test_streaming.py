@@ -160,3 +160,18 @@ def test_state_partitions_recorded_in_checkpoint_and_session_restored(spark):
     meta = json.loads(open(sorted(glob.glob(f"{local}/offsets/0"))[0]).read().splitlines()[1])
     assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
     assert len(glob.glob(f"{local}/state/0/[0-9]*")) == 3
+
+
+def test_dead_letter_output_keeps_undecodable_messages(spark):
+    src = scratch_path(spark, "dl-src")
+    good = raw_messages(spark, SF_SMALL).drop("message_id").limit(3)
+    bad = spark.createDataFrame([("not json", None), ('{"errors":[{"message":"limit"}]}', None)], RAW_MESSAGE_SCHEMA)
+    good.unionByName(bad).coalesce(1).write.parquet(src)
+    sinks, ck = scratch_path(spark, "dl"), scratch_path(spark, "dlck")
+    q = run_stream(read_tx_stream(spark, "parquet", src), sinks, ck, trigger={"availableNow": True},
+                   dead_letter=True, parallel_jobs=3)
+    run_to_completion(q)
+    dead = sorted(r.value for r in spark.read.parquet(f"{sinks}/dead_letter").collect())
+    assert dead == sorted(["not json", '{"errors":[{"message":"limit"}]}'])
+    n_tx = explode_transactions(decode_envelope(good)).count()
+    assert spark.read.parquet(f"{sinks}/rt_nonce_summary").count() == n_tx

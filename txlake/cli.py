@@ -60,7 +60,7 @@ def cmd_stream(spark, args) -> int:
     src = read_tx_stream(spark, args.source_format, args.source_path, **_opts(args.source_option))
     q = run_stream(src, args.sink, args.checkpoint or f"{checkpoint_root(spark)}/txlake-stream",
                    fmt=args.sink_format, trigger=_trigger(args), sink_options=_opts(args.option),
-                   parallel_jobs=args.parallel_jobs)
+                   parallel_jobs=args.parallel_jobs, dead_letter=args.dead_letter)
     q.awaitTermination()
     return 0
 
@@ -130,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--interval")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--parallel-jobs", type=int, default=5)
+    s.add_argument("--dead-letter", action="store_true", help="keep undecodable messages in a dead_letter output")
 
     m = sub.add_parser("monitor")
     m.add_argument("query", choices=sorted(MONITORS))

@@ -17,28 +17,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txlake.sources.envelope import decode_envelope, explode_transactions
+from txlake.sources.envelope import decode_envelope, explode_transactions, undecodable
 from txlake.sources.io import FILE_FORMATS
 from txlake.streaming.microbatch import MICROBATCH_ANALYTICS
 
 
+DEAD_LETTER = "dead_letter"
+
+
 def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
                       analytics: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                      sink_options: dict | None = None, parallel_jobs: int = 1) -> Callable[[DataFrame, int], None]:
+                      sink_options: dict | None = None, parallel_jobs: int = 1,
+                      dead_letter: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` callback (S08) over decoded envelope rows.
 
     ``parallel_jobs > 1`` submits the analytics as concurrent Spark jobs over
     the one persisted batch (each is small next to the cluster).
+    ``dead_letter=True`` also writes messages that parsed to no transaction
+    array (garbage, API error bodies) with their raw ``value`` to the
+    ``dead_letter`` output; the batch needs the ``value`` column for that.
     """
     chosen = dict(analytics or MICROBATCH_ANALYTICS)
     opts = dict(sink_options or {})
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         exploded = explode_transactions(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+        jobs: dict[str, Callable[[], DataFrame]] = {}
 
         def one(item) -> None:
-            name, fn = item
-            out = fn(exploded).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            name, make = item
+            out = make().withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
             w = out.write.format(fmt)
             if fmt in FILE_FORMATS:
                 (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
@@ -47,13 +55,16 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
                 w.mode("append").options(**{"collection": name, **opts}).save()
 
         try:
-            if exploded.isEmpty():  # one small job; an empty batch writes nothing
-                return
-            if parallel_jobs > 1:
+            if not exploded.isEmpty():  # one small job; a batch without transactions writes no analytics
+                jobs.update({name: (lambda fn=fn: fn(exploded)) for name, fn in chosen.items()})
+            if dead_letter and "value" in batch_df.columns:
+                bad = undecodable(batch_df).select("value", *[c for c in ("timestamp",) if c in batch_df.columns])
+                jobs[DEAD_LETTER] = lambda: bad
+            if parallel_jobs > 1 and len(jobs) > 1:
                 with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
-                    list(pool.map(one, chosen.items()))
+                    list(pool.map(one, jobs.items()))
             else:
-                for item in chosen.items():
+                for item in jobs.items():
                     one(item)
         finally:
             exploded.unpersist()
@@ -63,17 +74,19 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
 
 def run_stream(raw_stream: DataFrame, sink_base: str | None, checkpoint: str, fmt: str = "parquet",
                trigger: dict | None = None, analytics: dict | None = None, query_name: str | None = None,
-               sink_options: dict | None = None, parallel_jobs: int = 1) -> StreamingQuery:
+               sink_options: dict | None = None, parallel_jobs: int = 1,
+               dead_letter: bool = False) -> StreamingQuery:
     """Start the stream; returns the running :class:`StreamingQuery`.
 
     ``checkpoint`` must be a shared, durable folder: a restart resumes from
     the last committed offsets instead of ``latest``. ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (e.g. ``{"processingTime": "5 minutes"}`` or
-    ``{"availableNow": True}``).
+    ``{"availableNow": True}``). ``dead_letter=True`` keeps the raw payload of
+    undecodable messages in a ``dead_letter`` output.
     """
-    decoded = decode_envelope(raw_stream)
+    decoded = decode_envelope(raw_stream, keep=("timestamp", "value") if dead_letter else ("timestamp",))
     w = (decoded.writeStream
-         .foreachBatch(make_batch_writer(sink_base, fmt, analytics, sink_options, parallel_jobs))
+         .foreachBatch(make_batch_writer(sink_base, fmt, analytics, sink_options, parallel_jobs, dead_letter))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
