@@ -50,13 +50,20 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory, created only when the cluster names none."""
+    """The shared checkpoint directory named by the session (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, a laptop) without one gets a private
+    temporary directory; on a cluster a machine-local folder would not be
+    shared by executors or survive their loss, so a missing setting is an error.
+    """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder (HDFS / object store) on a cluster")
         d = tempfile.mkdtemp(prefix="txlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -56,7 +56,10 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     rank = 1 + number of rows of the group with a larger value. Rows are
     first reduced to (group, value, count), the rank is a running count over
     those few distinct values, then rows are replicated back. ``top`` keeps
-    ranks <= top.
+    ranks <= top. With the default key (the hash) a group's distinct values
+    are the versions of one transaction, so the rank window is tiny; with a
+    coarser ``partition_by`` (e.g. the sender) the window holds one row per
+    distinct value of the group.
     """
     key = F.col(partition_by if partition_by.startswith(T) else T + partition_by)
     grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
