@@ -35,7 +35,7 @@ def _message_files(spark):
     return src, parts, n_msgs
 
 
-def test_pipeline_batches_restart_and_per_batch_semantics(spark):
+def test_consumer_batches_restart_and_per_batch_semantics(spark):
     src, parts, _ = _message_files(spark)
     sinks, ck = scratch_path(spark, "sinks"), scratch_path(spark, "ck")
     stream = read_tx_stream(spark, "json", src, maxFilesPerTrigger=1)
