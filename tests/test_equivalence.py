@@ -120,3 +120,14 @@ def test_envelope_round_trip_is_value_equal(spark):
         (F.col("gas") * F.col("gas_price") / F.lit(1e18)).alias("gasValue"), "txType",
         F.date_trunc("second", "block_timestamp").alias("block_time"))
     same(flatten_transaction(exploded_batch(spark, SF_SMALL)), direct)
+
+
+def test_b16b_copies_and_nulls_both_paths(spark, tx):
+    # Every row twice, one transaction 40 more times, some NULL gas values.
+    hot = tx.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("_k")).drop("_k")
+    nulls = tx.withColumn("receipt_cumulative_gas_used",
+                          F.when(F.col("nonce") % 5 == 0, F.lit(None)).otherwise(F.col("receipt_cumulative_gas_used")))
+    data = nulls.unionByName(nulls).unionByName(hot)
+    ref = ops.cumulative_gas_in_hour_window(data)
+    same(ops.cumulative_gas_in_hour(data), ref)
+    same(ops.cumulative_gas_in_hour(data, collapse_copies=False), ref)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.operators.common import top_k
+from txlake.operators.expand import repeat_rows
 from txlake.schema import (BLOCK_GAS_LIMIT, BLOCK_NUMBER, BLOCK_TIMESTAMP, HASH, RECEIPT_CUMULATIVE_GAS_USED,
                            RECEIPT_GAS_USED)
 
@@ -35,7 +36,7 @@ def hourly_activity(tx: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED,
-                           split_digits: int = 2) -> DataFrame:
+                           split_digits: int = 2, collapse_copies: bool = True) -> DataFrame:
     """Running sum of ``column`` within each (date, hour), ordered by
     ``(block_timestamp, hash)``, one output row per transaction.
 
@@ -43,21 +44,26 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
     Here the order is cut into chunks (date, hour, block_timestamp, first
     ``split_digits`` hex digits of the hash) that are contiguous in that order:
 
-    1. each row gets its running sum inside its chunk (window partitioned by
-       the chunk: one shuffle of the pruned rows, small sorts);
-    2. each chunk's offset is the sum of all earlier chunks of its hour: a
-       partial/final aggregation to one row per chunk, then a window over
-       those few rows per hour;
-    3. rows and offsets are joined on the chunk key. The rows are already
-       partitioned on it by step 1, so only the small offset side moves
-       (AQE broadcasts it when its measured size is below the threshold).
-
-    A chunk holds the transactions of one block timestamp whose hash starts
-    with the same digits: at most a block's gas limit / 21000 transactions,
+    1. exact copies of a transaction (replays) are collapsed to one row with a
+       count by a map-side combined aggregation (``collapse_copies``), so a
+       transaction delivered a million times is one row, not one hot chunk;
+    2. each row gets its running sum inside its chunk (window partitioned by
+       the chunk);
+    3. each chunk's offset is the sum of all earlier chunks of its hour: an
+       aggregation of step 2's output (already partitioned by chunk, no
+       exchange) to one row per chunk, then a window over those few rows per
+       hour;
+    4. rows and offsets are joined on the chunk key. The rows are already
+       partitioned on it by step 2, so only the small offset side moves
+       (AQE broadcasts it when its measured size is below the threshold);
+    5. collapsed copies are expanded back by :func:`repeat_rows`, copy k of a
+       row getting ``prefix + k * value``.
+
+    A chunk holds the distinct transactions of one block timestamp whose hash
+    starts with the same digits: at most a block's gas limit / 21000,
     divided by 16^split_digits. The per-hour offset window holds one row per
-    (block timestamp, hash prefix). Ties on (block_timestamp, hash) (exact
-    copies of one transaction) are ordered by the value, then arbitrarily,
-    which does not change the multiset of output rows.
+    (block timestamp, hash prefix). Copies tie on (block_timestamp, hash,
+    value); their relative order does not change the multiset of outputs.
     """
     ts = F.col(BLOCK_TIMESTAMP)
     keys = ["_day", "hour", BLOCK_TIMESTAMP, "_pfx"]
@@ -65,24 +71,45 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
         F.to_date(ts).alias("_day"), F.hour(ts).alias("hour"), ts.alias(BLOCK_TIMESTAMP),
         F.coalesce(F.substring(HASH, 1, 2 + int(split_digits)), F.lit("")).alias("_pfx"),
         F.col(HASH), F.col(column).cast("long").alias("_v"))
+    if collapse_copies:
+        rows = rows.groupBy(*keys, HASH, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    else:
+        rows = rows.withColumn("_c", F.lit(1).cast("long"))
+    weight = F.when(F.col("_v").isNull(), F.lit(None).cast("long")).otherwise(F.col("_v") * F.col("_c"))
 
     w_chunk = (Window.partitionBy(*keys).orderBy(F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rows.select(*keys, HASH, F.sum("_v").over(w_chunk).alias("_incl"))
+    local = rows.select(*keys, HASH, "_v", "_c", F.sum(weight).over(w_chunk).alias("_incl"))
 
-    chunk = rows.groupBy(*keys).agg(F.sum("_v").alias("_chunk"))
+    # Chunk totals from the window output: it is already partitioned by the chunk key, so
+    # this aggregation needs no exchange and the input is not read a second time.
+    chunk = local.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
     w_hour = (Window.partitionBy("_day", "hour").orderBy(BLOCK_TIMESTAMP, "_pfx")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = chunk.select(*keys, F.sum("_chunk").over(w_hour).alias("_off"))
 
-    cond = reduce(lambda a, b: a & b, [local[k].eqNullSafe(offsets[k]) for k in keys])
-    joined = local.join(offsets, cond, "inner")
-    return joined.select(
-        local[HASH].alias(HASH), local[BLOCK_TIMESTAMP].alias(BLOCK_TIMESTAMP), local["hour"].alias("hour"),
-        # NULL only when nothing so far in the hour was non-NULL (as SUM over the frame).
-        F.when(offsets["_off"].isNull() & local["_incl"].isNull(), F.lit(None).cast("long"))
-        .otherwise(F.coalesce(offsets["_off"], F.lit(0).cast("long")) + F.coalesce(local["_incl"], F.lit(0).cast("long")))
-        .alias("cumulative_gas_used"))
+    lo, of = local.alias("l"), offsets.alias("o")
+    cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys])
+    joined = lo.join(of, cond, "inner")
+    zero = F.lit(0).cast("long")
+    incl, off, v, c = F.col("l._incl"), F.col("o._off"), F.col("l._v"), F.col("l._c")
+    # Running total of the hour before this row's copies.
+    before_incl = F.coalesce(incl, zero) - F.coalesce(v * c, zero)
+    base = joined.select(
+        F.col(f"l.{HASH}").alias(HASH), F.col(f"l.{BLOCK_TIMESTAMP}").alias(BLOCK_TIMESTAMP),
+        F.col("l.hour").alias("hour"), v.alias("_v"), c.alias("_c"), incl.alias("_incl"), off.alias("_off"),
+        (F.coalesce(off, zero) + before_incl).alias("_base"))
+    if collapse_copies:
+        base = repeat_rows(base, "_c", "_k")
+    else:
+        base = base.withColumn("_k", F.lit(1).cast("long")).drop("_c")
+    # Copy k: the total before the copies plus k times the value. SUM over the frame is NULL
+    # only while every value so far in the hour is NULL (no earlier chunk, nothing yet in this one).
+    incl_k = F.col("_base") + F.coalesce(F.col("_v") * F.col("_k"), zero)
+    return base.select(
+        HASH, BLOCK_TIMESTAMP, "hour",
+        F.when(F.col("_off").isNull() & F.col("_incl").isNull(), F.lit(None).cast("long"))
+        .otherwise(incl_k).alias("cumulative_gas_used"))
 
 
 def cumulative_gas_in_hour_window(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED) -> DataFrame:
