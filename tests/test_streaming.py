@@ -175,3 +175,19 @@ def test_dead_letter_output_keeps_undecodable_messages(spark):
     assert dead == sorted(["not json", '{"errors":[{"message":"limit"}]}'])
     n_tx = explode_transactions(decode_envelope(good)).count()
     assert spark.read.parquet(f"{sinks}/rt_nonce_summary").count() == n_tx
+
+
+def test_publish_then_consume_round_trip(spark):
+    from txlake.sources.envelope import encode_envelope, flatten_transaction
+    from txlake.sources.fixtures import envelope_rows_from_events, read_table
+    from txlake.sources.io import publish_envelopes
+    rows = envelope_rows_from_events(read_table(spark, SF_SMALL, "events"))
+    msgs = encode_envelope(rows, "message_id", tx_type=F.col("txType"))
+    bus = scratch_path(spark, "bus")
+    publish_envelopes(msgs, fmt="parquet", path=bus)
+    sinks, ck = scratch_path(spark, "rt"), scratch_path(spark, "rtck")
+    run_to_completion(run_stream(read_tx_stream(spark, "parquet", bus), sinks, ck, trigger={"availableNow": True}))
+    got = spark.read.parquet(f"{sinks}/rt_transactions_by_sender").drop("batch_id")
+    want = mb.rt_transactions_by_sender(explode_transactions(decode_envelope(msgs.drop("message_id"))))
+    assert df_multiset(got) == df_multiset(want)
+    assert flatten_transaction(explode_transactions(decode_envelope(spark.read.parquet(bus)))).count() == rows.count()

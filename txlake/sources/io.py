@@ -64,3 +64,24 @@ def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
 def scalar_frame(df: DataFrame, *aggs: Column) -> DataFrame:
     """A driver-side scalar KPI as a one-row DataFrame."""
     return df.agg(*aggs)
+
+
+def publish_envelopes(messages: DataFrame, fmt: str = "kafka", topic: str | None = None, path: str | None = None,
+                      mode: str = "append", **options) -> None:
+    """S12 sink side: publish encoded messages (``value`` JSON text).
+
+    ``fmt="kafka"`` writes ``value`` to ``topic`` (connection options such as
+    ``kafka.bootstrap.servers`` passed through); file formats write ``value``
+    and ``timestamp`` under ``path`` (one record per message), which the file
+    stream source of :func:`read_tx_stream` reads back.
+    """
+    if fmt == "kafka":
+        if not topic:
+            raise ValueError("kafka needs a topic")
+        (messages.select(F.col("value").cast("string").alias("value"))
+         .write.format("kafka").option("topic", topic).options(**options).save())
+        return
+    if path is None:
+        raise ValueError("file formats need a path")
+    cols = [c for c in ("value", "timestamp") if c in messages.columns]
+    messages.select(*cols).write.format(fmt).mode(mode).options(**options).save(path)
