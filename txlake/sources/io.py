@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from txlake.schema import RAW_MESSAGE_SCHEMA
 
 FILE_FORMATS = {"parquet", "json", "orc", "csv", "text", "delta"}
+DOCUMENT_STORES = {"mongo", "mongodb"}
 
 
 def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema=None,
@@ -41,8 +42,9 @@ def write_result(df: DataFrame, name: str, base: str | None = None, fmt: str = "
                  partition_by: list[str] | None = None, **options) -> None:
     """Write one named result ("collection").
 
-    File formats go to ``{base}/{name}``; other formats get ``collection=name``
-    (document stores) and must carry their own connection options.
+    File formats go to ``{base}/{name}``; document stores (``mongo``,
+    ``mongodb``) get ``collection=name``; every other format must carry its
+    own target and connection options.
     """
     w = df.write.format(fmt).mode(mode)
     if partition_by:
@@ -52,7 +54,8 @@ def write_result(df: DataFrame, name: str, base: str | None = None, fmt: str = "
             raise ValueError("file sinks need a base path")
         w.options(**options).save(f"{base.rstrip('/')}/{name}")
     else:
-        options.setdefault("collection", name)
+        if fmt in DOCUMENT_STORES:
+            options.setdefault("collection", name)
         w.options(**options).save()
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txlake.sources.envelope import decode_envelope, explode_transactions, undecodable
-from txlake.sources.io import FILE_FORMATS
+from txlake.sources.io import DOCUMENT_STORES, FILE_FORMATS
 from txlake.streaming.microbatch import MICROBATCH_ANALYTICS
 
 
@@ -51,8 +51,10 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
             if fmt in FILE_FORMATS:
                 (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
                  .options(**opts).save(f"{sink_base.rstrip('/')}/{name}"))
-            else:
+            elif fmt in DOCUMENT_STORES:
                 w.mode("append").options(**{"collection": name, **opts}).save()
+            else:
+                w.mode("append").options(**opts).save()
 
         try:
             if not exploded.isEmpty():  # one small job; a batch without transactions writes no analytics
