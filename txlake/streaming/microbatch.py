@@ -61,18 +61,22 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     coarser ``partition_by`` (e.g. the sender) the window holds one row per
     distinct value of the group.
     """
-    key = F.col(partition_by if partition_by.startswith(T) else T + partition_by)
-    grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
-               .groupBy("_g", "hash", "gasValue").agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy("_g").orderBy(F.col("gasValue").desc_nulls_last())
-         .rowsBetween(Window.unboundedPreceding, -1))
-    if partition_by == "hash":
-        # (group, value) rows are already unique: rank them directly, no join back.
+    pairs = batch.select(F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
+    if partition_by in ("hash", T + "hash"):
+        # (hash, value) rows are unique after the aggregation: rank them directly, no join back.
+        grouped = pairs.groupBy("hash", "gasValue").agg(F.count(F.lit(1)).alias("_c"))
+        w = (Window.partitionBy("hash").orderBy(F.col("gasValue").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
         ranked = grouped.select("hash", "gasValue", "_c",
                                 (F.coalesce(F.sum("_c").over(w), F.lit(0)) + 1).alias("gas_value_rank"))
         if top is not None:
             ranked = ranked.where(F.col("gas_value_rank") <= F.lit(int(top)))
         return repeat_rows(ranked, "_c").select("hash", "gasValue", "gas_value_rank")
+    key = F.col(partition_by if partition_by.startswith(T) else T + partition_by)
+    grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
+               .groupBy("_g", "hash", "gasValue").agg(F.count(F.lit(1)).alias("_c")))
+    w = (Window.partitionBy("_g").orderBy(F.col("gasValue").desc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, -1))
     per_value = grouped.groupBy("_g", "gasValue").agg(F.sum("_c").alias("_vc"))
     ranks = per_value.select("_g", "gasValue",
                              (F.coalesce(F.sum("_vc").over(w), F.lit(0)) + 1).alias("gas_value_rank"))
