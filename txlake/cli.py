@@ -88,10 +88,10 @@ def cmd_monitor(spark, args) -> int:
         kwargs["watermark"] = args.watermark
     stream = spark.readStream.schema(TX_SCHEMA_EXT).options(**_opts(args.source_option)).parquet(args.input)
     keyless = args.query in ("tx_count", "gas_price_trend", "new_contracts")
+    parts = et.KEYLESS_STATE_PARTITIONS if keyless else (args.state_partitions or None)
     q = write_stream(getattr(et, fn_name)(stream, **kwargs), args.output,
                      args.checkpoint or f"{checkpoint_root(spark)}/txlake-monitor-{args.query}",
-                     fmt=args.sink_format, trigger=_trigger(args),
-                     state_partitions=et.KEYLESS_STATE_PARTITIONS if keyless else None)
+                     fmt=args.sink_format, trigger=_trigger(args), state_partitions=parts)
     q.awaitTermination()
     return 0
 
@@ -146,6 +146,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--threshold", type=float)
     m.add_argument("--max-count", dest="max_count", type=int)
     m.add_argument("--max-avg-gas-price", dest="max_avg_gas_price", type=float)
+    m.add_argument("--state-partitions", type=int, help="state partitions of a keyed monitor (new checkpoint only)")
     m.add_argument("--interval")
     m.add_argument("--available-now", action="store_true")
     return ap

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from txlake import operators as ops
 from txlake.operators import realtime as rt
 from txlake.schema import TX_SCHEMA_EXT
-from txlake.session import ensure_utc, path_exists, scratch_path
+from txlake.session import ensure_utc, partitions_for_input, path_exists, scratch_path
 from txlake.sources.envelope import (decode_envelope, encode_envelope, error_envelope_filter, error_response,
                                      explode_transactions, flatten_transaction, poll_window_extract)
 from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
@@ -439,9 +439,8 @@ STREAM_PARAMS = {
 }
 
 
-def _tx_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _derived_table(spark, sf_dir, "tx-stream-src", lambda p: load_transactions(spark, sf_dir).write.parquet(p))
-    return spark.readStream.schema(TX_SCHEMA_EXT).parquet(src)
+def _tx_stream_source(spark: SparkSession, sf_dir: str) -> str:
+    return _derived_table(spark, sf_dir, "tx-stream-src", lambda p: load_transactions(spark, sf_dir).write.parquet(p))
 
 
 def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
@@ -450,9 +449,12 @@ def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
         params = dict(STREAM_PARAMS[name])
         if stateful:
             params["watermark"] = STREAM_WATERMARK
+        src = _tx_stream_source(spark, sf_dir)
         out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
-        q = write_stream(fn(_tx_file_stream(spark, sf_dir), **params), out, ck, trigger={"availableNow": True},
-                         state_partitions=et.KEYLESS_STATE_PARTITIONS if keyless else None)
+        # Keyless windows: a few state partitions; keyed state grows with the input, so size it from it.
+        parts = et.KEYLESS_STATE_PARTITIONS if keyless else partitions_for_input(spark, src)
+        q = write_stream(fn(spark.readStream.schema(TX_SCHEMA_EXT).parquet(src), **params), out, ck,
+                         trigger={"availableNow": True}, state_partitions=parts)
         run_to_completion(q)
         return zone_less(spark.read.schema(q_schema(fn, spark, params)).parquet(out))
     run.__name__ = name
@@ -525,7 +527,7 @@ def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:
     message table, the transaction file stream); queries that read them reuse them."""
     _landed(spark, sf_dir)
     message_table(spark, sf_dir)
-    _derived_table(spark, sf_dir, "tx-stream-src", lambda p: load_transactions(spark, sf_dir).write.parquet(p))
+    _tx_stream_source(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:

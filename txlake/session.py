@@ -119,3 +119,8 @@ def apply_sizing(spark: SparkSession, path: str) -> dict:
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
+
+
+def partitions_for_input(spark: SparkSession, path: str, target_partition_bytes: int = 128 << 20) -> int:
+    """One partition per ``target_partition_bytes`` of the input at ``path``, at least the parallelism."""
+    return max(default_parallelism(spark), -(-input_bytes(spark, path) // int(target_partition_bytes)))
