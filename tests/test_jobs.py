@@ -89,3 +89,14 @@ def test_hot_date_is_split_across_files(spark):
     local = lake[len("file:"):] if lake.startswith("file:") else lake
     assert len(glob.glob(f"{local}/date=2024-01-07/*.parquet")) > 1
     assert scan_transactions(spark, lake).count() == tx.count()
+
+
+def test_sql_views(spark):
+    from txlake.plans.views import BATCH_VIEWS, register_views
+    tx = load_transactions(spark, SF_SMALL)
+    names = register_views(spark, tx, prefix="t_")
+    assert len(names) == len(BATCH_VIEWS) + 2
+    got = spark.sql("SELECT * FROM t_block_utilization WHERE utilization > 50")
+    want = ops.block_utilization(tx).where("utilization > 50")
+    assert df_multiset(got) == df_multiset(want)
+    assert "Window" not in spark.sql("SELECT * FROM t_gas_usage_by_address")._jdf.queryExecution().executedPlan().toString()
