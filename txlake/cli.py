@@ -12,9 +12,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from txlake.session import apply_sizing, build_session, checkpoint_root
+if __package__ in (None, ""):  # run as a file (spark-submit txlake/cli.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from txlake.session import apply_sizing, build_session, checkpoint_root  # noqa: E402
 
 
 def _opts(pairs: list[str] | None) -> dict:
