@@ -100,3 +100,13 @@ def test_sql_views(spark):
     want = ops.block_utilization(tx).where("utilization > 50")
     assert df_multiset(got) == df_multiset(want)
     assert "Window" not in spark.sql("SELECT * FROM t_gas_usage_by_address")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cli_stream_available_now(spark):
+    from txlake.plans.registry import raw_messages
+    from txlake.sources.io import publish_envelopes
+    bus, sinks = scratch_path(spark, "bus"), scratch_path(spark, "sinks")
+    publish_envelopes(raw_messages(spark, SF_SMALL), fmt="parquet", path=bus)
+    assert cli.main(["stream", "--source-format", "parquet", "--source-path", bus, "--sink", sinks,
+                     "--checkpoint", scratch_path(spark, "ck"), "--available-now", "--dead-letter"]) == 0
+    assert spark.read.parquet(f"{sinks}/rt_nonce_summary").count() == load_transactions(spark, SF_SMALL).count()
