@@ -49,9 +49,9 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
        transaction delivered a million times is one row, not one hot chunk;
     2. each row gets its running sum inside its chunk (window partitioned by
        the chunk);
-    3. each chunk's offset is the sum of all earlier chunks of its hour: an
-       aggregation of step 2's output (already partitioned by chunk, no
-       exchange) to one row per chunk, then a window over those few rows per
+    3. each chunk's offset is the sum of all earlier chunks of its hour: a
+       partial/final aggregation of the collapsed rows to one row per chunk
+       (beside step 2, not after it), then a window over those few rows per
        hour;
     4. rows and offsets are joined on the chunk key. The rows are already
        partitioned on it by step 2, so only the small offset side moves
@@ -81,9 +81,9 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = rows.select(*keys, HASH, "_v", "_c", F.sum(weight).over(w_chunk).alias("_incl"))
 
-    # Chunk totals from the window output: it is already partitioned by the chunk key, so
-    # this aggregation needs no exchange and the input is not read a second time.
-    chunk = local.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
+    # Chunk totals from the collapsed rows (their shuffle is shared with the window branch):
+    # a partial/final aggregation that runs beside the chunk window, not after it.
+    chunk = rows.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
     w_hour = (Window.partitionBy("_day", "hour").orderBy(BLOCK_TIMESTAMP, "_pfx")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = chunk.select(*keys, F.sum("_chunk").over(w_hour).alias("_off"))
