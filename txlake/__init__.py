@@ -7,7 +7,8 @@ Layout:
   sources     lake scan / landing, stream source, envelopes, sinks, fixtures
   operators   batch analytics (pure DataFrame -> DataFrame)
   streaming   per-micro-batch analytics, event-time queries, stream runner
-  plans       batch job with shared scan, query registry, plan checks
+  plans       ten-output batch job, SQL temp views, query registry + oracles
+  cli         spark-submit entry points (batch, land, stream, monitor)
 """
 
 __version__ = "0.1.0"
