@@ -131,3 +131,28 @@ def test_b16b_copies_and_nulls_both_paths(spark, tx):
     ref = ops.cumulative_gas_in_hour_window(data)
     same(ops.cumulative_gas_in_hour(data), ref)
     same(ops.cumulative_gas_in_hour(data, collapse_copies=False), ref)
+
+
+def test_gas_price_trend_granularity_matches_hour_buckets(tx):
+    from txlake.operators import realtime as rt
+    got = rt.gas_price_trend(tx, "2024-01-29 00:00:00", "3 days", granularity="1 hour")
+    rows = tx.where(F.col("block_timestamp").between(F.lit("2024-01-26 00:00:00").cast("timestamp"),
+                                                     F.lit("2024-01-29 00:00:00").cast("timestamp")))
+    want = (rows.groupBy(F.date_trunc("hour", "block_timestamp").alias("block_timestamp"))
+            .agg((F.sum(F.col("gas_price").cast("decimal(38,0)")).cast("double")
+                  / F.count("gas_price").cast("double")).alias("average_gas_price")))
+    same(got, want)
+
+
+@pytest.mark.parametrize("fn,metric,keys", [
+    (ops.address_transaction_volume, "count", ["from_address"]),
+    (ops.hourly_activity, "num_transactions", ["hour"]),
+    (ops.most_active_pairs, "total_transactions", ["from_address", "to_address"]),
+    (ops.address_activity, "transaction_count", ["from_address"]),
+])
+def test_top_k_is_the_head_of_the_full_result(tx, fn, metric, keys):
+    full = fn(tx).collect()
+    full.sort(key=lambda r: tuple([-r[metric]] + [(r[k] is None, r[k] or "") if isinstance(r[k], (str, type(None)))
+                                                  else (False, r[k]) for k in keys]))
+    got = fn(tx, n=5).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in full[:5]]
