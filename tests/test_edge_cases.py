@@ -162,3 +162,16 @@ def test_frame_is_inclusive(spark):
                          {"block_timestamp": T0 - dt.timedelta(hours=1, seconds=1)}])
     got = rt.tx_count_in_frame(df, "2024-01-01 10:00:00", "1 hour").collect()[0].transaction_count
     assert got == 2
+
+
+def test_exact_sum_and_mean_against_python_ints(spark):
+    from decimal import Decimal as D
+    from txlake.functions.units import exact_mean, exact_sum
+    vals = [(1, 2**40 + 12345), (1, -(2**40) - 7), (1, None), (1, 999_999_999_999), (2, -1), (2, -(2**20)), (3, None)]
+    df = spark.createDataFrame(vals, "k int, x long")
+    got = {r.k: (r.s, r.m) for r in df.groupBy("k").agg(exact_sum("x").alias("s"), exact_mean("x").alias("m")).collect()}
+    for k in (1, 2):
+        xs = [x for kk, x in vals if kk == k and x is not None]
+        assert got[k][0] == D(sum(xs))
+        assert got[k][1] == float(sum(xs)) / len(xs)
+    assert got[3] == (None, None)

@@ -35,16 +35,32 @@ def total_cost_wei(gas="gas", gas_price="gas_price") -> Column:
     return (_c(gas).cast("decimal(20,0)") * _c(gas_price).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
+#: Low bits kept apart by :func:`exact_sum`.
+_LOW_BITS = 20
+
+
 def exact_sum(c) -> Column:
-    """Sum of an integral column without overflow (decimal(38,0))."""
-    return F.sum(_c(c).cast("decimal(38,0)"))
+    """Exact sum of an integral column, as decimal(38,0).
+
+    Each value is split as ``x = (x >> 20) * 2^20 + (x & (2^20 - 1))`` (exact
+    in two's complement, negatives included) and both parts are summed as
+    ``bigint``: primitive adds in the map-side partial aggregation (a
+    decimal(38,0) sum runs on BigDecimal and is ~5x slower per row). The low
+    sum stays below 2^63 up to 2^43 rows, the high sum while
+    sum(|x|) < 2^83; past that ANSI mode raises instead of wrapping.
+    The parts are combined once per group in decimal.
+    """
+    x = _c(c).cast("long")
+    high = F.sum(F.shiftright(x, _LOW_BITS)).cast("decimal(38,0)")
+    low = F.sum(x.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(38,0)")
+    return high * F.lit(1 << _LOW_BITS).cast("decimal(38,0)") + low
 
 
 def exact_mean(c) -> Column:
     """Mean of an integral column as double.
 
-    The sum is exact (decimal), so the result does not depend on how rows are
-    spread over partitions, unlike a floating-point running sum.
+    The sum is exact, so the result does not depend on how rows are spread
+    over partitions, unlike a floating-point running sum.
     """
     return F.try_divide(exact_sum(c).cast("double"), F.count(_c(c)).cast("double"))
 
