@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txlake.sources.envelope import decode_envelope, explode_transactions, undecodable
+from txlake.sources.envelope import decode_envelope, explode_transactions
 from txlake.sources.io import DOCUMENT_STORES, FILE_FORMATS
 from txlake.streaming.microbatch import MICROBATCH_ANALYTICS
 
@@ -41,7 +41,19 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
     opts = dict(sink_options or {})
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        exploded = explode_transactions(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+        keep_dead = dead_letter and "value" in batch_df.columns
+        bad = None
+        if keep_dead:
+            # Persist the decoded batch once (the JSON is parsed once); the raw payload is kept
+            # only on rows without a transactions array, which go to the dead-letter output.
+            no_tx = F.col("data.data.ethereum.transactions").isNull()
+            ts = [c for c in ("timestamp",) if c in batch_df.columns]
+            cached = (batch_df.select("data", F.when(no_tx, F.col("value")).alias("value"), *ts)
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+            exploded = explode_transactions(cached)
+            bad = cached.where(no_tx).select("value", *ts)
+        else:
+            cached = exploded = explode_transactions(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         jobs: dict[str, Callable[[], DataFrame]] = {}
 
         def one(item) -> None:
@@ -59,8 +71,7 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
         try:
             if not exploded.isEmpty():  # one small job; a batch without transactions writes no analytics
                 jobs.update({name: (lambda fn=fn: fn(exploded)) for name, fn in chosen.items()})
-            if dead_letter and "value" in batch_df.columns:
-                bad = undecodable(batch_df).select("value", *[c for c in ("timestamp",) if c in batch_df.columns])
+            if bad is not None:
                 jobs[DEAD_LETTER] = lambda: bad
             if parallel_jobs > 1 and len(jobs) > 1:
                 with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
@@ -69,7 +80,7 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
                 for item in jobs.items():
                     one(item)
         finally:
-            exploded.unpersist()
+            cached.unpersist()
 
     return write_batch
 
