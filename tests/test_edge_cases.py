@@ -175,3 +175,16 @@ def test_exact_sum_and_mean_against_python_ints(spark):
         assert got[k][0] == D(sum(xs))
         assert got[k][1] == float(sum(xs)) / len(xs)
     assert got[3] == (None, None)
+
+
+def test_decode_filter_equals_from_json_not_null(spark):
+    from pyspark.sql import functions as F
+    from txlake.schema import ENVELOPE_SCHEMA
+    vals = [None, "", " ", "  \n", "\t", "\r\n", "\f", "null", "garbage", "{}", "[]", "1", '{"data":null}', "{bad",
+            ' {"data":{"ethereum":{"transactions":[{"hash":"0x1"}]}}} ']
+    raw = _raw(spark, vals)
+    want = sorted(str(r.value) for r in raw.where(F.from_json("value", ENVELOPE_SCHEMA).isNotNull()).collect())
+    got = decode_envelope(raw, keep=("timestamp", "value"))
+    assert sorted(str(r.value) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1  # parsed once

@@ -66,12 +66,16 @@ def error_envelope_filter(raw: DataFrame, value_col: str = "value") -> tuple[Dat
 def decode_envelope(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
     """bytes/string payload -> parsed struct ``data``; NULL parses dropped.
 
-    Malformed text yields a struct with NULL ``data`` (kept here, dropped by
-    the explode), exactly as the reference's NULL filter behaves.
+    ``from_json`` is NULL exactly for a NULL or blank (JSON whitespace only)
+    payload, so those are filtered on the raw text: a filter on the parsed
+    column would be pushed below the projection and parse every message
+    twice. Malformed text yields a struct with NULL ``data`` (kept here,
+    dropped by the explode), exactly as the reference's NULL filter behaves.
     """
     keep_cols = [F.col(k) for k in keep if k in raw.columns]
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), ENVELOPE_SCHEMA).alias("data"), *keep_cols)
-    return parsed.where(F.col("data").isNotNull())
+    text = F.col(value_col).cast("string")
+    present = raw.where(text.isNotNull() & text.rlike(r"[^ \t\n\r]"))
+    return present.select(F.from_json(text, ENVELOPE_SCHEMA).alias("data"), *keep_cols)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
