@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from txlake.schema import RAW_MESSAGE_SCHEMA
 
 FILE_FORMATS = {"parquet", "json", "orc", "csv", "text", "delta"}
+#: Default per-trigger caps of the stream source (override with the same option names).
+MAX_MESSAGES_PER_BATCH = 10_000_000   # bus messages (up to 100 transactions each)
+MAX_FILES_PER_BATCH = 1_000
 DOCUMENT_STORES = {"mongo", "mongodb"}
 
 
@@ -27,9 +30,13 @@ def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = N
     timestamp), e.g. JSON lines written by :func:`encode_envelope`.
     """
     reader = spark.readStream.format(fmt)
+    # Bound every micro-batch (catching up on a backlog must not become one huge batch that is
+    # persisted and fanned out); nothing is dropped, later batches continue where this one ends.
     if fmt == "kafka":
         options.setdefault("startingOffsets", "latest")
+        options.setdefault("maxOffsetsPerTrigger", MAX_MESSAGES_PER_BATCH)
     else:
+        options.setdefault("maxFilesPerTrigger", MAX_FILES_PER_BATCH)
         reader = reader.schema(schema or RAW_MESSAGE_SCHEMA)
     reader = reader.options(**{k: str(v) for k, v in options.items()})
     df = reader.load(path) if path is not None else reader.load()
