@@ -79,7 +79,7 @@ MONITORS = {
 
 
 def cmd_monitor(spark, args) -> int:
-    from txlake.schema import TX_SCHEMA_EXT
+    from txlake.sources.transactions import read_lake_stream
     from txlake.streaming import eventtime as et
     from txlake.streaming.runner import write_stream
     fn_name, params = MONITORS[args.query]
@@ -90,7 +90,7 @@ def cmd_monitor(spark, args) -> int:
             kwargs[p] = v
     if args.query != "large_transfers":
         kwargs["watermark"] = args.watermark
-    stream = spark.readStream.schema(TX_SCHEMA_EXT).options(**_opts(args.source_option)).parquet(args.input)
+    stream = read_lake_stream(spark, args.input, **_opts(args.source_option))
     keyless = args.query in ("tx_count", "gas_price_trend", "new_contracts")
     parts = et.KEYLESS_STATE_PARTITIONS if keyless else (args.state_partitions or None)
     q = write_stream(getattr(et, fn_name)(stream, **kwargs), args.output,

@@ -24,7 +24,7 @@ from txlake.sources.envelope import (decode_envelope, encode_envelope, error_env
 from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
                                      tx_from_events, tx_sql_select)
 from txlake.sources.io import read_tx_stream
-from txlake.sources.transactions import land_transactions, scan_transactions
+from txlake.sources.transactions import land_transactions, read_lake_stream, scan_transactions
 from txlake.streaming import eventtime as et
 from txlake.streaming import microbatch as mb
 from txlake.streaming.runner import run_stream, run_to_completion, write_stream
@@ -453,7 +453,7 @@ def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
         out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
         # Keyless windows: a few state partitions; keyed state grows with the input, so size it from it.
         parts = et.KEYLESS_STATE_PARTITIONS if keyless else partitions_for_input(spark, src)
-        q = write_stream(fn(spark.readStream.schema(TX_SCHEMA_EXT).parquet(src), **params), out, ck,
+        q = write_stream(fn(read_lake_stream(spark, src), **params), out, ck,
                          trigger={"availableNow": True}, state_partitions=parts)
         run_to_completion(q)
         return zone_less(spark.read.schema(q_schema(fn, spark, params)).parquet(out))

@@ -25,6 +25,18 @@ def scan_transactions(spark: SparkSession, path: str, start_date: str | None = N
     return df
 
 
+def read_lake_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1_000,
+                     **options) -> DataFrame:
+    """The lake as a stream of newly landed files (input of the event-time monitors).
+
+    Declared schema (``block_timestamp`` is ``timestamp``, as watermarks
+    require); each micro-batch takes at most ``max_files_per_trigger`` new
+    files, so catching up on a backlog proceeds in bounded batches.
+    """
+    opts = {"maxFilesPerTrigger": str(int(max_files_per_trigger)), **{k: str(v) for k, v in options.items()}}
+    return spark.readStream.schema(TX_SCHEMA_EXT).options(**opts).parquet(path)
+
+
 def conform_transactions(raw: DataFrame, with_last_modified: bool | None = None) -> DataFrame:
     """Cast a raw frame to the transaction schema; derive ``date`` when absent."""
     schema = TX_SCHEMA_EXT if (with_last_modified or (with_last_modified is None and LAST_MODIFIED in raw.columns)) \
