@@ -57,8 +57,8 @@ def section(d: dict) -> str:
     out += ["\nStream queries include starting the query, the micro-batches (data + the closing no-data batch that",
             "emits watermarked windows) and state-store commits; `land_transactions` includes the rebalanced,",
             "partitioned write of the lake. At this scale every query is dominated by fixed planning and",
-            "scheduling cost (~0.5 s). Run-to-run noise on this shared VM is large: the same commit measured",
-            "61 s and 85 s in back-to-back runs; comparisons within one run (the tables above) are the",
+            "scheduling cost (~0.5 s). Run-to-run noise on this shared VM is large: the same code measured",
+            "61-85 s across back-to-back runs; comparisons within one run (the tables above) are the",
             "reliable ones."]
     return "\n".join(out) + "\n"
 
