@@ -156,3 +156,13 @@ def test_top_k_is_the_head_of_the_full_result(tx, fn, metric, keys):
                                                   else (False, r[k]) for k in keys]))
     got = fn(tx, n=5).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in full[:5]]
+
+
+def test_repeat_rows_spreads_a_hot_group_over_tasks(spark):
+    # One group holding most rows: its expansion must not land in one task.
+    df = spark.createDataFrame([("hot", 60_000), ("a", 3), ("b", 1)], "k string, n long")
+    out = repeat_rows(df, "n", "i", span_rows=1_000, partitions=8)
+    sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert sum(sizes) == 60_004
+    assert len(sizes) >= 6 and max(sizes) < 60_004 / 3
+    assert out.where("k = 'hot'").select(F.countDistinct("i")).first()[0] == 60_000
