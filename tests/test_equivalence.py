@@ -166,3 +166,26 @@ def test_repeat_rows_spreads_a_hot_group_over_tasks(spark):
     assert sum(sizes) == 60_004
     assert len(sizes) >= 6 and max(sizes) < 60_004 / 3
     assert out.where("k = 'hot'").select(F.countDistinct("i")).first()[0] == 60_000
+
+
+def test_b16b_hot_hour_is_spread_over_tasks(spark, tx):
+    # Same instant on every row, computed from a column so that the window keys are not constants.
+    hot = tx.withColumn("block_timestamp", F.timestamp_seconds(F.lit(1704438000) + F.col("nonce") * 0))
+
+    def partition_sizes(df):
+        # Use the running-sum column, or column pruning drops the window operator altogether.
+        return [r["c"] for r in df.groupBy(F.spark_partition_id().alias("p"))
+                .agg(F.count(F.lit(1)).alias("c"), F.sum("cumulative_gas_used").alias("s")).collect()]
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        ours = partition_sizes(ops.cumulative_gas_in_hour(hot))
+        ref = partition_sizes(ops.cumulative_gas_in_hour_window(hot))
+    finally:
+        spark.conf.set(key, old)
+    n = tx.count()
+    assert sum(ours) == sum(ref) == n
+    assert max(ref) == n                      # the hour window: one task holds the hour
+    assert len(ours) >= 4 and max(ours) < n / 2
