@@ -78,6 +78,10 @@ def test_running_sum_with_nulls_matches_window(spark):
     rows = [{"hash": f"0x{i:02x}", "block_timestamp": T0 + dt.timedelta(seconds=i // 3),
              "receipt_cumulative_gas_used": None if i % 4 == 0 else i} for i in range(20)]
     rows.append({"hash": None, "block_timestamp": T0, "receipt_cumulative_gas_used": 3})
+    # Rows without a block time form their own running-sum group (hour NULL).
+    rows += [{"hash": "0xn1", "block_timestamp": None, "receipt_cumulative_gas_used": 5},
+             {"hash": "0xn2", "block_timestamp": None, "receipt_cumulative_gas_used": 7},
+             {"hash": "0xn3", "block_timestamp": None, "receipt_cumulative_gas_used": None}]
     df = tx_rows(spark, rows)
     a = sorted(map(tuple, ops.cumulative_gas_in_hour(df).collect()), key=str)
     b = sorted(map(tuple, ops.cumulative_gas_in_hour_window(df).collect()), key=str)

@@ -189,3 +189,23 @@ def test_b16b_hot_hour_is_spread_over_tasks(spark, tx):
     assert sum(ours) == sum(ref) == n
     assert max(ref) == n                      # the hour window: one task holds the hour
     assert len(ours) >= 4 and max(ours) < n / 2
+
+
+def test_r01_r04_spread_hot_groups_over_tasks(spark, replayed_batch, monkeypatch):
+    import txlake.operators.expand as expand
+    monkeypatch.setattr(expand, "SPAN_ROWS", 100)  # stand-in for groups above a million rows
+    # One sender sends a third of the batch.
+    T = "transaction."
+    hot = replayed_batch.withColumn("transaction", F.col("transaction").withField(
+        "sender", F.when(F.col(T + "nonce") % 3 == 0, F.struct(F.lit("0xhot").alias("address")))
+        .otherwise(F.col(T + "sender"))))
+    for fn, ref, hot_rows in ((mb.rt_transactions_by_sender, mb.rt_transactions_by_sender_window,
+                               F.col("address") == "0xhot"),
+                              (mb.rt_transaction_type_count, mb.rt_transaction_type_count_window,
+                               F.col("txType") == "0")):
+        out = fn(hot)
+        same(out, ref(hot))
+        sizes = [r["c"] for r in out.where(hot_rows).groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("c")).collect()]
+        # The hot group's rows come from several tasks (the window form sorts them in one).
+        assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,9 +64,14 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
     value); their relative order does not change the multiset of outputs.
     """
     ts = F.col(BLOCK_TIMESTAMP)
-    keys = ["_day", "hour", BLOCK_TIMESTAMP, "_pfx"]
+    # Chunk key columns are never NULL, so the join below is a plain equi-join on exactly the
+    # window's partition keys (the row side is not shuffled again). Rows without a block time
+    # form their own group through the impossible hour -1, like the (NULL, NULL) window partition.
+    keys = ["_day", "_hr", "_ts", "_pfx"]
     rows = tx.select(
-        F.to_date(ts).alias("_day"), F.hour(ts).alias("hour"), ts.alias(BLOCK_TIMESTAMP),
+        F.coalesce(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("_day"),
+        F.coalesce(F.hour(ts), F.lit(-1)).alias("_hr"),
+        F.coalesce(ts, F.lit(0).cast("timestamp")).alias("_ts"),
         F.coalesce(F.substring(HASH, 1, 2 + int(split_digits)), F.lit("")).alias("_pfx"),
         F.col(HASH), F.col(column).cast("long").alias("_v"))
     if collapse_copies:
@@ -84,20 +87,21 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
     # Chunk totals from the collapsed rows (their shuffle is shared with the window branch):
     # a partial/final aggregation that runs beside the chunk window, not after it.
     chunk = rows.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
-    w_hour = (Window.partitionBy("_day", "hour").orderBy(BLOCK_TIMESTAMP, "_pfx")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    w_hour = (Window.partitionBy("_day", "_hr").orderBy("_ts", "_pfx").rowsBetween(Window.unboundedPreceding, -1))
     offsets = chunk.select(*keys, F.sum("_chunk").over(w_hour).alias("_off"))
 
-    lo, of = local.alias("l"), offsets.alias("o")
-    cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys])
-    joined = lo.join(of, cond, "inner")
+    # The offsets are the hashed (build) side and follow the rows' partitioning; the rows are
+    # never the broadcast or reshuffled side, and no broadcast of an unbounded table is forced.
+    joined = local.join(offsets.hint("shuffle_hash"), on=keys, how="inner")
     zero = F.lit(0).cast("long")
-    incl, off, v, c = F.col("l._incl"), F.col("o._off"), F.col("l._v"), F.col("l._c")
+    incl, off, v, c = F.col("_incl"), F.col("_off"), F.col("_v"), F.col("_c")
+    no_time = F.col("_hr") == F.lit(-1)
     # Running total of the hour before this row's copies.
     before_incl = F.coalesce(incl, zero) - F.coalesce(v * c, zero)
     base = joined.select(
-        F.col(f"l.{HASH}").alias(HASH), F.col(f"l.{BLOCK_TIMESTAMP}").alias(BLOCK_TIMESTAMP),
-        F.col("l.hour").alias("hour"), v.alias("_v"), c.alias("_c"), incl.alias("_incl"), off.alias("_off"),
+        F.col(HASH), F.when(no_time, F.lit(None).cast("timestamp")).otherwise(F.col("_ts")).alias(BLOCK_TIMESTAMP),
+        F.when(no_time, F.lit(None).cast("int")).otherwise(F.col("_hr")).alias("hour"),
+        v.alias("_v"), c.alias("_c"), incl.alias("_incl"), off.alias("_off"),
         (F.coalesce(off, zero) + before_incl).alias("_base"))
     if collapse_copies:
         base = repeat_rows(base, "_c", "_k")

@@ -17,7 +17,7 @@ from txlake.session import default_parallelism
 SPAN_ROWS = 1 << 20
 
 
-def repeat_rows(df: DataFrame, count_col: str, index_col: str | None = None, span_rows: int = SPAN_ROWS,
+def repeat_rows(df: DataFrame, count_col: str, index_col: str | None = None, span_rows: int | None = None,
                 partitions: int | None = None) -> DataFrame:
     """Emit every row ``count_col`` times, optionally with ``index_col`` = 1..count.
 
@@ -27,6 +27,7 @@ def repeat_rows(df: DataFrame, count_col: str, index_col: str | None = None, spa
     tasks, each of which then generates its own span. Deterministic under
     task retry (no random or id-based partitioning). ``count_col`` is dropped.
     """
+    span_rows = int(span_rows or SPAN_ROWS)
     idx = index_col or "_txlake_idx"
     cols = [c for c in df.columns if c != count_col]
     n = F.col(count_col)
