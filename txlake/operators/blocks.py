@@ -51,9 +51,10 @@ def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_U
        partial/final aggregation of the collapsed rows to one row per chunk
        (beside step 2, not after it), then a window over those few rows per
        hour;
-    4. rows and offsets are joined on the chunk key. The rows are already
-       partitioned on it by step 2, so only the small offset side moves
-       (AQE broadcasts it when its measured size is below the threshold);
+    4. rows and offsets are joined on the chunk key by a shuffled hash join
+       that builds from the offsets: the rows are already partitioned on the
+       key by step 2 and do not move again; only the offsets (one row per
+       chunk) are shuffled to them;
     5. collapsed copies are expanded back by :func:`repeat_rows`, copy k of a
        row getting ``prefix + k * value``.
 
