@@ -95,8 +95,9 @@ def main(argv) -> None:
     out = ["# PLANS: physical plans of the analytics (executed, after AQE)", "",
            f"Generated by `python scripts/plan_report.py {sf_dir}` over a lake landed from that data "
            "(R01-R05 over one decoded micro-batch of messages). `hash(k)` is a shuffle on `k`; every "
-           "aggregation shuffle is preceded by a map-side partial aggregation. Broadcasts are AQE's "
-           "runtime choice from measured sizes (no hints). `SinglePartition` only appears under a global "
+           "aggregation shuffle is preceded by a map-side partial aggregation. No broadcast hints are used; "
+           "B16b's join is pinned to a shuffled hash join built from its per-chunk offsets. "
+           "`SinglePartition` only appears under a global "
            "aggregate and carries one partial row per task. `window` marks a sorted window operator; in "
            "B16b it runs per chunk, in R03 per hash over (hash, value) groups. Small data, 8 shuffle "
            "partitions.", "",
