@@ -192,3 +192,18 @@ def test_decode_filter_equals_from_json_not_null(spark):
     assert sorted(str(r.value) for r in got.collect()) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1  # parsed once
+
+
+def test_gas_pricing_sorted_and_poll_extract_without_limit(spark):
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from txlake.sources.envelope import poll_window_extract
+    from txlake.sources.fixtures import load_transactions
+    tx = load_transactions(spark, SF_SMALL)
+    eur = [r.gas_price_euro for r in ops.gas_pricing(tx, sort=True).collect()]
+    assert eur == sorted(eur, reverse=True) and len(eur) == tx.count()
+    since, till = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
+    allrows = poll_window_extract(tx, since, till, limit=None)
+    n = tx.where(F.col("block_timestamp").between(F.lit(since).cast("timestamp"), F.lit(till).cast("timestamp"))).count()
+    assert allrows.count() == n > 0
+    assert poll_window_extract(tx, since, till, limit=5).count() == min(5, n)
