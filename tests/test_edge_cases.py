@@ -207,3 +207,12 @@ def test_gas_pricing_sorted_and_poll_extract_without_limit(spark):
     n = tx.where(F.col("block_timestamp").between(F.lit(since).cast("timestamp"), F.lit(till).cast("timestamp"))).count()
     assert allrows.count() == n > 0
     assert poll_window_extract(tx, since, till, limit=5).count() == min(5, n)
+
+
+def test_hourly_gas_usage_refuses_negative_values_on_the_fast_path(spark):
+    df = tx_rows(spark, [{"hash": "0x1", "block_timestamp": T0, "receipt_cumulative_gas_used": 5},
+                         {"hash": "0x2", "block_timestamp": T0 + dt.timedelta(minutes=1), "receipt_cumulative_gas_used": -3}])
+    with pytest.raises(Exception, match="assume_non_negative"):
+        ops.hourly_gas_usage(df).collect()
+    # Exact path: running sums 5, 2 -> peak 5 (the group sum would say 2).
+    assert ops.hourly_gas_usage(df, assume_non_negative=False).collect()[0].total_gas_used == 5

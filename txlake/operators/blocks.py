@@ -133,12 +133,18 @@ def hourly_gas_usage(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED,
     For non-negative input a running sum peaks at its last row, so the peak
     is the (date, hour) group sum: two small hash aggregations instead of a
     sorted window over every row. Gas amounts are non-negative by definition;
+    the same aggregation carries each group's minimum and the query fails
+    (instead of answering wrongly) if a negative value ever appears.
     ``assume_non_negative=False`` takes the exact running-sum path.
     """
     if assume_non_negative:
         ts = F.col(BLOCK_TIMESTAMP)
         per_hour = (tx.select(F.to_date(ts).alias("_day"), F.hour(ts).alias("hour"), F.col(column))
-                    .groupBy("_day", "hour").agg(F.sum(column).alias("_total")))
-        return per_hour.groupBy("hour").agg(F.max("_total").alias("total_gas_used"))
+                    .groupBy("_day", "hour").agg(F.sum(column).alias("_total"), F.min(column).alias("_min")))
+        ok = (F.col("_min") >= F.lit(0)) | F.col("_min").isNull()
+        checked = per_hour.select("hour", F.when(
+            F.assert_true(ok, F.lit(f"negative {column}: use assume_non_negative=False")).isNull(),
+            F.col("_total")).alias("_total"))
+        return checked.groupBy("hour").agg(F.max("_total").alias("total_gas_used"))
     return (cumulative_gas_in_hour(tx, column)
             .groupBy("hour").agg(F.max("cumulative_gas_used").alias("total_gas_used")))
