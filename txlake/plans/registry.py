@@ -431,7 +431,7 @@ HAVING count(*) > {P_PARAMS['suspicious_activity']['max_count']}
 
 STREAM_WATERMARK = "10 minutes"
 STREAM_PARAMS = {
-    "tx_count_stream": {"frame": "1 hour"},
+    "tx_count_in_frame_stream": {"frame": "1 hour"},
     "gas_price_trend_stream": {"granularity": "1 hour"},
     "new_contracts_stream": {"frame": "1 day"},
     "large_transfers_stream": {"threshold": 2.5e20},
@@ -480,7 +480,7 @@ def q_stream_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_QUERIES: dict[str, Query] = {
-    "tx_count_stream": _stream(et.tx_count_stream, "tx_count_stream", keyless=True),
+    "tx_count_in_frame_stream": _stream(et.tx_count_stream, "tx_count_in_frame_stream", keyless=True),
     "gas_price_trend_stream": _stream(et.gas_price_trend_stream, "gas_price_trend_stream", keyless=True),
     "new_contracts_stream": _stream(et.new_contracts_stream, "new_contracts_stream", keyless=True),
     "large_transfers_stream": _stream(et.large_transfers_stream, "large_transfers_stream", stateful=False),
@@ -498,7 +498,7 @@ def _win(width: str) -> str:
 
 
 STREAM_ORACLE: dict[str, str] = {
-    "tx_count_stream": f"""
+    "tx_count_in_frame_stream": f"""
 SELECT * FROM (SELECT {_win('1 hour')}, count(*) AS transaction_count FROM tx GROUP BY 1, 2)
 WHERE {_EMITTED}""",
     "gas_price_trend_stream": f"""
