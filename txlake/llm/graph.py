@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -14,13 +14,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node takes the smallest label among its neighbours' and then its label's own label, so chains
     shorten by more than half a round; only labels that still change cost anything beyond the two joins.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b"))
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("via"))
         jump = labels.select(F.col("node").alias("via"), F.col("label").alias("further"))
-        moved = stored(stepped.join(jump, "via", "left").select("node", "old", F.least("via", F.coalesce("further", "via")).alias("label")))
+        moved = stepped.join(jump, "via", "left").select("node", "old", F.least("via", F.coalesce("further", "via")).alias("label"))
+        changes = Observation()
+        moved = stored(moved.observe(changes, F.count_if(F.col("label") != F.col("old")).alias("n")))
         labels = moved.drop("old")
-        if moved.where("label <> old").isEmpty():
+        if not changes.get["n"]:
             return labels

@@ -7,11 +7,11 @@ Registers are mergeable by maximum, and equal ones are at least as likely as the
 
 Candidates share all registers of a band. Every member of a bucket is paired with the bucket's smallest class
 only; the pair's likelihood over greater, smaller and equal registers, with the exact set sizes, estimates the
-similarity, and what lies more than ``MARGIN`` below the threshold (eight standard deviations) is let go. The others
-are confirmed on the full sets. Buckets whose members then still lie in several components are gone through in blocks
-of bounded size, by registers; what likely pairs join is a cluster, and the members of a cluster are compared on
-their full sets, again in blocks that return only what joins components. So no link that bands can show is lost: at
-the threshold, a pair shares no band with probability (1 - 0.8 ** 4) ** 40, below 1e-9.
+similarity, and what lies more than ``MARGIN`` below the threshold (eight standard deviations) is let go. Buckets with
+members unlike their leader are gone through in blocks of bounded size, by registers. What likely pairs join is a
+cluster, and the members of a cluster are compared on their full sets, again in blocks, which return only the links
+that join components. So no link that bands can show is lost: at the threshold, a pair shares no band with
+probability (1 - 0.8 ** 4) ** 40, below 1e-9.
 
 Defined cases: null, empty and wordless texts have an empty set and stand alone; a text with fewer words than a
 shingle has its whole sequence as the one shingle; a null doc_id belongs to its text's component, and is kept only if
@@ -186,17 +186,6 @@ def sets_of(asked: DataFrame, docs: DataFrame, classes: DataFrame, size: int) ->
     return sets.dropDuplicates(["class"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-
-    def side(s: str) -> DataFrame:
-        return sets.select(F.col("class").alias(s), F.col("shingles").alias(f"set_{s}"))
-
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * common >= percent * union).select("a", "b")
-
-
 class Forest:
     """Collects the pairs that join what earlier pairs have not joined yet."""
 
@@ -271,11 +260,6 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("cluster", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
 
 
-def labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
-    """class, label (its component) for all classes."""
-    return classes.select("class").join(components(edges).withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("label", "class").alias("label"))
-
-
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept, for every row."""
     rows = stored(sketched(docs, size))
@@ -289,25 +273,18 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     spokes = buckets.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     spokes = stored(likely(spokes, classes, percent / 100))
-    asked = spokes.select(F.explode(F.array("a", "b")).alias("class"))
-    links = stored(confirmed(spokes, sets_of(asked, docs, classes, size), percent))
-    labels = labelled(classes, links)
-
-    # Leaders have met all others of their bucket; what remains are the others of buckets in several clusters.
-    clusters = stored(labelled(classes, spokes))
-    open_ = buckets.where("class <> leader and n > 2").join(clusters, "class")
-    split = open_.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
-    forest = stored(bucket_forest(open_.join(split, "key"), classes, percent / 100))
-    if not forest.isEmpty():
-        clusters = labelled(classes, spokes.union(forest))
-    clusters = stored(clusters.withColumnRenamed("label", "cluster").join(labels, "class"))
-    mixed = clusters.groupBy("cluster").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("n"))
-    members = clusters.join(mixed.where("least <> most and n > 2").select("cluster", "n"), "cluster")
-    more = stored(block_links(members, sets_of(members.select("class"), docs, classes, size), percent))
-    if not more.isEmpty():
-        labels = labelled(classes, links.union(more))
-
-    labels = stored(labels)
+
+    # Leaders have met all others of their bucket; where some are unlike the leader, they may be like each other.
+    alike = spokes.select(F.col("a").alias("leader"), F.col("b").alias("class"), F.lit(True).alias("alike"))
+    met = buckets.where("class <> leader and n > 2").join(alike, ["leader", "class"], "left")
+    open_ = met.groupBy("key").agg(F.count_if(F.col("alike").isNull()).alias("unlike")).where("unlike > 0").select("key")
+    members = met.join(open_, "key").withColumn("label", F.when(F.col("alike"), F.col("leader")).otherwise(F.col("class")))
+    clusters = components(spokes.union(bucket_forest(members, classes, percent / 100)))
+
+    clusters = clusters.select(F.col("node").alias("class"), F.col("label").alias("cluster"), F.col("node").alias("label"))
+    members = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
+    labels = components(block_links(members, sets_of(clusters.select("class"), docs, classes, size), percent))
+    labels = classes.select("class").join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("label", "class").alias("label"))
     smallest = labels.join(classes, "class").groupBy("label").agg(F.min("first_id").alias("component_id"))
     ids = labels.join(smallest, "label").select(F.col("class").alias("of"), "component_id")
     named = rows.join(ids, F.col("class") == F.col("of"), "left")
