@@ -13,7 +13,7 @@ with a smaller doc_id. The texts are dealt once, by a hash of doc_id, into shard
    is smaller.
 
 A shard sends one entry for each distinct anchor or window, so what meets in a bucket is bounded by the number of shards for
-any one passage, however many documents hold it. Entries travel as packed arrays. Windows are told apart by 64-bit hashes.
+any one passage, however many documents hold it. Entries travel as packed arrays, one row for each shard and bucket. Windows are told apart by 64-bit hashes.
 
 Defined cases: a null, empty or wordless text has no words and loses none; a null doc_id counts as larger than any
 other, and rows that repeat a doc_id do not remove from each other; an empty table gives an empty result; extra
@@ -36,7 +36,7 @@ from .textops import SpanHasher, slices, text_buffer, text_of_words, window_hash
 SIZE, GRAM = 13, 5
 NO_ID = np.iinfo(np.int64).max
 AUTOMATON_BYTES = 1 << 20
-SHARDS_PER_PARTITION = 4
+SHARDS_PER_PARTITION = 2
 U64 = np.uint64
 ENTRIES = "bucket int, shard int, keys binary, low binary, span binary"
 ANSWERS = "shard int, keys binary, low binary"
@@ -201,7 +201,7 @@ def dealt(docs: DataFrame) -> DataFrame:
 
 def confirmed_windows(texts: DataFrame) -> DataFrame:
     """shard, keys, low: the windows of a shard that also start in an earlier document."""
-    n_buckets = SHARDS_PER_PARTITION * width(texts)
+    n_buckets = width(texts)
 
     def send_anchors(group: pa.Table) -> pa.Table:
         hasher, found = SpanHasher(), []
