@@ -4,8 +4,8 @@ The pages of a host are merged into one tree: an element node stands for a place
 their classes), with the styles found there (the sequences of child elements) and, where text lies, its features (the
 texts of its blocks). Presentation importance of a node is the entropy of its styles over the pages that have it,
 content importance one less the mean entropy of its features: what looks or reads alike on every page scores 0, what
-differs from page to page scores 1. Importance is composed bottom-up, with a damping of ``GAMMA`` a level. Branches whose
-composite importance is low are removed from every page of the host.
+differs from page to page scores 1. Importance is composed bottom-up, with a damping of ``GAMMA`` a level. Branches in
+which no node has enough composite importance are removed from every page of the host.
 
 A site needs ``MIN_PAGES`` pages at a place before it can say anything there, so element names and class names that mark menus, headers,
 footers, sidebars, notices, adverts, forms and comments remove a branch on their own, and where a page marks its
@@ -206,7 +206,10 @@ def counted(pages: DataFrame) -> DataFrame:
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """host, place, n_pages, importance of every node of every site's tree. ``pages`` has host and html."""
+    """host, place, n_pages, importance, and the best importance in the branch, of every node of every site's tree.
+
+    ``pages`` has host and html.
+    """
 
     def of(kind: str, value):
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0.0))
@@ -231,6 +234,7 @@ def importance(pages: DataFrame) -> DataFrame:
         for place, r in rows.items():
             below.setdefault(r["parent"], []).append(place)
         done: dict[int, float] = {}
+        best: dict[int, float] = {}
         order = [p for p, r in rows.items() if r["parent"] not in rows]
         for place in order:  # grows: parents before children
             order += below.get(place, [])
@@ -244,11 +248,12 @@ def importance(pages: DataFrame) -> DataFrame:
                 done[place] = (1 - GAMMA) * r["look"] + GAMMA * share
             else:
                 done[place] = r["read"] if r["read"] is not None else r["look"]
+            best[place] = max([done[place], *(best[c] for c in below.get(place, []))])
         return pa.table(
-            {"host": group.column("host").take(pa.array([0] * len(done), pa.int64())), "place": pa.array(done, pa.int64()), "n_pages": pa.array([int(rows[p]["m"]) for p in done], pa.int64()), "importance": pa.array(done.values(), pa.float64())}
+            {"host": group.column("host").take(pa.array([0] * len(done), pa.int64())), "place": pa.array(done, pa.int64()), "n_pages": pa.array([int(rows[p]["m"]) for p in done], pa.int64()), "importance": pa.array(done.values(), pa.float64()), "best": pa.array([best[p] for p in done], pa.float64())}
         )
 
-    return nodes.groupBy("host").applyInArrow(compose, "host string, place long, n_pages long, importance double")
+    return nodes.groupBy("host").applyInArrow(compose, "host string, place long, n_pages long, importance double, best double")
 
 
 def kept_text(reader: Reader, page: str | None, low: dict[int, float]) -> str:
@@ -261,14 +266,14 @@ def kept_text(reader: Reader, page: str | None, low: dict[int, float]) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     sited = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host_of(F.col("url")))
-    noise = stored(importance(sited).where((F.col("n_pages") >= MIN_PAGES) & (F.col("importance") < NOISE_ANYWHERE)))
+    noise = stored(importance(sited).where((F.col("n_pages") >= MIN_PAGES) & (F.col("best") < NOISE_ANYWHERE)))
     few = noise.limit(MOST_SENT + 1).count() <= MOST_SENT
     sent: dict[str, dict[int, float]] = {}
     if few:
         for r in noise.collect():
-            sent.setdefault(r["host"], {})[r["place"]] = r["importance"]
+            sent.setdefault(r["host"], {})[r["place"]] = r["best"]
     else:
-        maps = noise.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("place", "importance"))).alias("low")).withColumnRenamed("host", "__host")
+        maps = noise.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("place", "best"))).alias("low")).withColumnRenamed("host", "__host")
         sited = sited.join(maps, F.col("host") == F.col("__host"), "left").drop("__host")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
