@@ -76,8 +76,8 @@ def test_hot_date_is_split_across_files(spark):
     import glob
     from txlake.sources.transactions import land_transactions
     tx = load_transactions(spark, "/root/testdata/sf0.01")
-    # Nine tenths of the rows on one date.
-    hot = tx.withColumn("block_timestamp", F.when(F.col("nonce") % 10 != 0, F.lit("2024-01-07 12:00:00")
+    # Nine tenths of the rows on one date, read by several tasks (a shuffle is split by its map tasks).
+    hot = tx.repartition(8, "hash").withColumn("block_timestamp", F.when(F.col("nonce") % 10 != 0, F.lit("2024-01-07 12:00:00")
                                                   .cast("timestamp")).otherwise(F.col("block_timestamp"))).drop("date")
     lake = scratch_path(spark, "hotlake")
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -6,13 +6,15 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL, as_multiset, df_multiset
+from txlake.plans import registry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

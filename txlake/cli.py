@@ -92,7 +92,7 @@ def cmd_monitor(spark, args) -> int:
         kwargs["watermark"] = args.watermark
     stream = read_lake_stream(spark, args.input, **_opts(args.source_option))
     keyless = args.query in ("tx_count", "gas_price_trend", "new_contracts")
-    parts = et.KEYLESS_STATE_PARTITIONS if keyless else (args.state_partitions or None)
+    parts = args.state_partitions or (et.KEYLESS_STATE_PARTITIONS if keyless else None)
     q = write_stream(getattr(et, fn_name)(stream, **kwargs), args.output,
                      args.checkpoint or f"{checkpoint_root(spark)}/txlake-monitor-{args.query}",
                      fmt=args.sink_format, trigger=_trigger(args), state_partitions=parts)

@@ -33,88 +33,49 @@ def hourly_activity(tx: DataFrame, n: int | None = None) -> DataFrame:
     return top_k(out, n, F.col("num_transactions").desc(), F.col("hour"))
 
 
-def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED,
-                           split_digits: int = 2, collapse_copies: bool = True) -> DataFrame:
+def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED, collapse_copies: bool = False) -> DataFrame:
     """Running sum of ``column`` within each (date, hour), ordered by
     ``(block_timestamp, hash)``, one output row per transaction.
 
     A plain window partitioned by (date, hour) sends a whole hour to one task.
-    Here the order is cut into chunks (date, hour, block_timestamp, first
-    ``split_digits`` hex digits of the hash) that are contiguous in that order:
-
-    1. exact copies of a transaction (replays) are collapsed to one row with a
-       count by a map-side combined aggregation (``collapse_copies``), so a
-       transaction delivered a million times is one row, not one hot chunk;
-    2. each row gets its running sum inside its chunk (window partitioned by
-       the chunk);
-    3. each chunk's offset is the sum of all earlier chunks of its hour: a
-       partial/final aggregation of the collapsed rows to one row per chunk
-       (beside step 2, not after it), then a window over those few rows per
-       hour;
-    4. rows and offsets are joined on the chunk key by a shuffled hash join
-       that builds from the offsets: the rows are already partitioned on the
-       key by step 2 and do not move again; only the offsets (one row per
-       chunk) are shuffled to them;
-    5. collapsed copies are expanded back by :func:`repeat_rows`, copy k of a
-       row getting ``prefix + k * value``.
-
-    A chunk holds the distinct transactions of one block timestamp whose hash
-    starts with the same digits: at most a block's gas limit / 21000,
-    divided by 16^split_digits. The per-hour offset window holds one row per
-    (block timestamp, hash prefix). Copies tie on (block_timestamp, hash,
-    value); their relative order does not change the multiset of outputs.
+    Here rows get their running sum inside their minute, and each minute an
+    offset: the sum of the hour's earlier minutes, a window over at most 60
+    aggregated rows per hour. Rows and offsets meet by an equi-join on the
+    minute; rows are shuffled once. A minute holds at most what its blocks'
+    gas limits allow; where replays deliver the same transactions many times,
+    ``collapse_copies`` first collapses exact copies to one row with a count
+    and expands them again at the end.
     """
     ts = F.col(BLOCK_TIMESTAMP)
-    # Chunk key columns are never NULL, so the join below is a plain equi-join on exactly the
-    # window's partition keys (the row side is not shuffled again). Rows without a block time
-    # form their own group through the impossible hour -1, like the (NULL, NULL) window partition.
-    keys = ["_day", "_hr", "_ts", "_pfx"]
+    # Keys are never NULL, so the join is a plain equi-join. Rows without a block time form their own
+    # group through the impossible hour -1, like the (NULL, NULL) window partition.
+    keys = ["_day", "_hr", "_min"]
     rows = tx.select(
         F.coalesce(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("_day"),
         F.coalesce(F.hour(ts), F.lit(-1)).alias("_hr"),
-        F.coalesce(ts, F.lit(0).cast("timestamp")).alias("_ts"),
-        F.coalesce(F.substring(HASH, 1, 2 + int(split_digits)), F.lit("")).alias("_pfx"),
-        F.col(HASH), F.col(column).cast("long").alias("_v"))
-    if collapse_copies:
-        rows = rows.groupBy(*keys, HASH, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    else:
-        rows = rows.withColumn("_c", F.lit(1).cast("long"))
-    weight = F.when(F.col("_v").isNull(), F.lit(None).cast("long")).otherwise(F.col("_v") * F.col("_c"))
-
-    w_chunk = (Window.partitionBy(*keys).orderBy(F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rows.select(*keys, HASH, "_v", "_c", F.sum(weight).over(w_chunk).alias("_incl"))
-
-    # Chunk totals from the collapsed rows (their shuffle is shared with the window branch):
-    # a partial/final aggregation that runs beside the chunk window, not after it.
-    chunk = rows.groupBy(*keys).agg(F.sum(weight).alias("_chunk"))
-    w_hour = (Window.partitionBy("_day", "_hr").orderBy("_ts", "_pfx").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = chunk.select(*keys, F.sum("_chunk").over(w_hour).alias("_off"))
-
-    # The offsets are the hashed (build) side and follow the rows' partitioning; the rows are
-    # never the broadcast or reshuffled side, and no broadcast of an unbounded table is forced.
-    joined = local.join(offsets.hint("shuffle_hash"), on=keys, how="inner")
+        F.coalesce(F.minute(ts), F.lit(0)).alias("_min"),
+        ts.alias("_ts"), F.col(HASH), F.col(column).cast("long").alias("_v"))
+    rows = rows.groupBy(*keys, "_ts", HASH, "_v").agg(F.count(F.lit(1)).alias("_c")) if collapse_copies \
+        else rows.withColumn("_c", F.lit(1).cast("long"))
+    weight = F.col("_v") * F.col("_c")
+    inside = (Window.partitionBy(*keys).orderBy("_ts", F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = Window.partitionBy("_day", "_hr").orderBy("_min").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*keys).agg(F.sum(weight).alias("_minute")).select(*keys, F.sum("_minute").over(before).alias("_off"))
+    # Every row has its offset; the left join keeps the rows from ever being the broadcast side.
+    joined = rows.withColumn("_incl", F.sum(weight).over(inside)).join(offsets, keys, "left")
+
     zero = F.lit(0).cast("long")
-    incl, off, v, c = F.col("_incl"), F.col("_off"), F.col("_v"), F.col("_c")
-    no_time = F.col("_hr") == F.lit(-1)
-    # Running total of the hour before this row's copies.
-    before_incl = F.coalesce(incl, zero) - F.coalesce(v * c, zero)
-    base = joined.select(
-        F.col(HASH), F.when(no_time, F.lit(None).cast("timestamp")).otherwise(F.col("_ts")).alias(BLOCK_TIMESTAMP),
-        F.when(no_time, F.lit(None).cast("int")).otherwise(F.col("_hr")).alias("hour"),
-        v.alias("_v"), c.alias("_c"), incl.alias("_incl"), off.alias("_off"),
-        (F.coalesce(off, zero) + before_incl).alias("_base"))
-    if collapse_copies:
-        base = repeat_rows(base, "_c", "_k")
-    else:
-        base = base.withColumn("_k", F.lit(1).cast("long")).drop("_c")
-    # Copy k: the total before the copies plus k times the value. SUM over the frame is NULL
-    # only while every value so far in the hour is NULL (no earlier chunk, nothing yet in this one).
-    incl_k = F.col("_base") + F.coalesce(F.col("_v") * F.col("_k"), zero)
-    return base.select(
-        HASH, BLOCK_TIMESTAMP, "hour",
-        F.when(F.col("_off").isNull() & F.col("_incl").isNull(), F.lit(None).cast("long"))
-        .otherwise(incl_k).alias("cumulative_gas_used"))
+    # The running total with all copies of the row; NULL only while every value so far in the hour is NULL.
+    total = F.when(F.col("_off").isNull() & F.col("_incl").isNull(), F.lit(None).cast("long")).otherwise(
+        F.coalesce("_off", zero) + F.coalesce("_incl", zero))
+    hour = F.when(F.col("_hr") >= 0, F.col("_hr"))
+    out = joined.select(HASH, F.col("_ts").alias(BLOCK_TIMESTAMP), hour.alias("hour"), "_v", "_c", total.alias("_total"))
+    if not collapse_copies:
+        return out.select(HASH, BLOCK_TIMESTAMP, "hour", F.col("_total").alias("cumulative_gas_used"))
+    later = F.coalesce(F.col("_v") * (F.col("_c") - F.col("_k")), zero)
+    return repeat_rows(out.withColumn("_n", F.col("_c")), "_n", "_k").select(
+        HASH, BLOCK_TIMESTAMP, "hour", (F.col("_total") - later).alias("cumulative_gas_used"))
 
 
 def cumulative_gas_in_hour_window(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED) -> DataFrame:

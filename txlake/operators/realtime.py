@@ -26,8 +26,10 @@ def in_frame(tx: DataFrame, as_of, frame: str) -> DataFrame:
     ts = F.col(BLOCK_TIMESTAMP)
     out = tx.where(ts.between(lo, hi))
     if DATE in tx.columns:
-        d = F.col(DATE)
-        out = out.where(d.isNull() | d.between(F.date_format(lo, "yyyy-MM-dd"), F.date_format(hi, "yyyy-MM-dd")))
+        # ``date`` is a UTC day and the bounds are written in the session's zone: a day more on
+        # either side prunes as well and loses no row; the exact filter is the one above.
+        d, day = F.col(DATE), F.expr("INTERVAL '1 day'")
+        out = out.where(d.isNull() | d.between(F.date_format(lo - day, "yyyy-MM-dd"), F.date_format(hi + day, "yyyy-MM-dd")))
     return out
 
 

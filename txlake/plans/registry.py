@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from txlake import operators as ops
 from txlake.operators import realtime as rt
 from txlake.schema import TX_SCHEMA_EXT
-from txlake.session import ensure_utc, partitions_for_input, path_exists, scratch_path
+from txlake.session import ensure_utc, input_version, partitions_for_input, path_exists, scratch_path
 from txlake.sources.envelope import (decode_envelope, encode_envelope, error_envelope_filter, error_response,
                                      explode_transactions, flatten_transaction, poll_window_extract)
 from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
@@ -198,10 +198,11 @@ _WRITTEN: dict[tuple, str] = {}
 def _derived_table(spark: SparkSession, sf_dir: str, kind: str, write, fresh: bool = False) -> str:
     """Path of a table Spark derived from ``sf_dir`` into the shared scratch area.
 
-    Written once per (application, input, kind) and reused while it exists,
-    so queries that only *read* the landed data do not pay for landing it.
+    Written once per (application, input, kind) and reused while it exists
+    and the input's files stay the same, so queries that only *read* the
+    landed data do not pay for landing it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, input_version(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     path = _WRITTEN.get(key)
     if fresh or path is None or not path_exists(spark, path):
         path = scratch_path(spark, kind)
@@ -222,6 +223,11 @@ def q_land_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return zone_less(scan_transactions(spark, _landed(spark, sf_dir)))
+
+
+def q_scan_transactions_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return zone_less(scan_transactions(spark, _landed(spark, sf_dir), "2024-01-10", "2024-01-20"))
 
@@ -322,6 +328,7 @@ _FLAT = ("hash, nonce, from_address AS sender, to_address AS receiver, CAST(gas
 ENVELOPE_QUERIES: dict[str, Query] = {
     "land_transactions": q_land_transactions,
     "scan_transactions": q_scan_transactions,
+    "scan_transactions_date_range": q_scan_transactions_date_range,
     "decode_envelope": q_decode_envelope,
     "explode_transactions": q_explode_transactions,
     "encode_envelope": q_encode_envelope,
@@ -336,7 +343,8 @@ ENVELOPE_QUERIES: dict[str, Query] = {
 
 ENVELOPE_ORACLE: dict[str, str] = {
     "land_transactions": TX_CTE + "SELECT * FROM tx",
-    "scan_transactions": TX_CTE + "SELECT * EXCLUDE (last_modified) FROM tx WHERE date BETWEEN '2024-01-10' AND '2024-01-20'",
+    "scan_transactions": TX_CTE + "SELECT * EXCLUDE (last_modified) FROM tx",
+    "scan_transactions_date_range": TX_CTE + "SELECT * EXCLUDE (last_modified) FROM tx WHERE date BETWEEN '2024-01-10' AND '2024-01-20'",
     "decode_envelope": ENV_CTE + "SELECT max(block_timestamp) AS timestamp, count(*) AS n_transactions "
                                  "FROM env GROUP BY message_id",
     "explode_transactions": ENV_CTE + "SELECT " + _FLAT.format(t="txType") + ", msg_time AS timestamp FROM env",

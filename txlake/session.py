@@ -26,7 +26,7 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = "local[*]", app: str = "txlake", shuffle_partitions: int | None = None,
+def build_session(master: str | None = None, app: str = "txlake", shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
     """Session with the library defaults; ``master=None`` keeps what spark-submit set."""
     b = SparkSession.builder.appName(app)
@@ -113,6 +113,14 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def input_version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at ``path``: changes whenever the input does."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
+
+
 def apply_sizing(spark: SparkSession, path: str) -> dict:
     """Set the shuffle sizing of :func:`sizing_conf` for the input at ``path``."""
     conf = sizing_conf(input_bytes(spark, path), default_parallelism(spark))

@@ -21,7 +21,9 @@ def envelope_tx_struct(tx_type: Column | None = None) -> Column:
         .alias("block"),
         F.col(GAS).cast("double").alias("gas"),
         F.col(GAS_PRICE).cast("double").alias("gasPrice"),
-        (F.col(GAS) * F.col(GAS_PRICE) / F.lit(WEI_PER_ETH)).alias("gasValue"),
+        # A decimal product: two bigints may exceed a bigint.
+        ((F.col(GAS).cast("decimal(19,0)") * F.col(GAS_PRICE).cast("decimal(19,0)")).cast("double") / F.lit(WEI_PER_ETH))
+        .alias("gasValue"),
         F.col(HASH).alias("hash"),
         F.col(NONCE).cast("long").alias("nonce"),
         F.struct(F.col(FROM_ADDRESS).alias("address")).alias("sender"),
@@ -54,7 +56,9 @@ def error_response(message: Column) -> Column:
 
 
 def is_error_envelope(value: Column) -> Column:
-    return F.get_json_object(value.cast("string"), "$.errors").isNotNull()
+    """Is there a top-level ``errors`` key, whatever its value? False for text that is no JSON object."""
+    keys = F.json_object_keys(value.cast("string"))
+    return F.coalesce(F.array_contains(keys, "errors"), F.lit(False))
 
 
 def error_envelope_filter(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -102,7 +106,7 @@ def flatten_transaction(exploded: DataFrame, keep: tuple[str, ...] = ()) -> Data
         F.col(t + "gasPrice").alias("gasPrice"),
         F.col(t + "gasValue").alias("gasValue"),
         F.col(t + "txType").alias("txType"),
-        F.to_timestamp(F.col(t + "block.timestamp.iso8601")).alias("block_time"),
+        F.try_to_timestamp(F.col(t + "block.timestamp.iso8601")).alias("block_time"),
         *keep_cols,
     )
 

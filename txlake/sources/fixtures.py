@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.session import default_parallelism
 
 # Fixed values of the fixture mapping (must be identical in both engines).
 TX_FROM_EVENTS = [
@@ -80,15 +79,8 @@ def envelope_rows_from_events(events: DataFrame) -> DataFrame:
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table. A file with one row group scans as one task; such
-    a scan is spread over the cluster's parallelism (round-robin, one cheap
-    shuffle of the raw columns) so the row-wise mapping runs in parallel.
-    Scans that already have enough splits are left alone (no shuffle)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    par = default_parallelism(spark)
-    if df.rdd.getNumPartitions() < par:
-        df = df.repartition(par)
-    return df
+    """Read a driver table as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_transactions(spark, sf_dir: str) -> DataFrame:

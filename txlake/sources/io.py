@@ -1,4 +1,4 @@
-"""Stream source (S03) and result sinks.
+"""Stream source (S03) and result sinks.
 
 Sources and sinks are chosen by format name and options, so any connector
 on the classpath (message bus, document store) plugs in unchanged; Parquet
@@ -7,15 +7,12 @@ is the default. Connector options are never logged (they may hold keys).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.schema import RAW_MESSAGE_SCHEMA
 
 FILE_FORMATS = {"parquet", "json", "orc", "csv", "text", "delta"}
-#: Default per-trigger caps of the stream source (override with the same option names).
-MAX_MESSAGES_PER_BATCH = 10_000_000   # bus messages (up to 100 transactions each)
-MAX_FILES_PER_BATCH = 1_000
 DOCUMENT_STORES = {"mongo", "mongodb"}
 
 
@@ -30,13 +27,11 @@ def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = N
     timestamp), e.g. JSON lines written by :func:`encode_envelope`.
     """
     reader = spark.readStream.format(fmt)
-    # Bound every micro-batch (catching up on a backlog must not become one huge batch that is
-    # persisted and fanned out); nothing is dropped, later batches continue where this one ends.
+    # No cap on a micro-batch unless the caller names one (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``):
+    # the analytics are per micro-batch, so a cap changes their numbers.
     if fmt == "kafka":
         options.setdefault("startingOffsets", "latest")
-        options.setdefault("maxOffsetsPerTrigger", MAX_MESSAGES_PER_BATCH)
     else:
-        options.setdefault("maxFilesPerTrigger", MAX_FILES_PER_BATCH)
         reader = reader.schema(schema or RAW_MESSAGE_SCHEMA)
     reader = reader.options(**{k: str(v) for k, v in options.items()})
     df = reader.load(path) if path is not None else reader.load()
@@ -45,13 +40,21 @@ def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = N
     return df
 
 
+def target_options(fmt: str, name: str, options: dict) -> dict:
+    """Options of a sink that is neither files nor a document store, with ``{name}`` filled in. Without a
+    ``{name}`` all results would overwrite one target."""
+    if not any("{name}" in str(v) for v in options.values()):
+        raise ValueError(f"format {fmt!r} needs an option with {{name}}, so that every result has its own target")
+    return {k: str(v).replace("{name}", name) for k, v in options.items()}
+
+
 def write_result(df: DataFrame, name: str, base: str | None = None, fmt: str = "parquet", mode: str = "overwrite",
                  partition_by: list[str] | None = None, **options) -> None:
     """Write one named result ("collection").
 
     File formats go to ``{base}/{name}``; document stores (``mongo``,
     ``mongodb``) get ``collection=name``; every other format must carry its
-    own target and connection options.
+    own connection options, one of them with ``{name}`` in it.
     """
     w = df.write.format(fmt).mode(mode)
     if partition_by:
@@ -63,19 +66,11 @@ def write_result(df: DataFrame, name: str, base: str | None = None, fmt: str = "
     else:
         if fmt in DOCUMENT_STORES:
             options.setdefault("collection", name)
+        else:
+            options = target_options(fmt, name, options)
         w.options(**options).save()
 
 
-def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The rows a console report shows, as a DataFrame (top-k, no collect)."""
-    return df.orderBy(*order).limit(int(n))
-
-
-def scalar_frame(df: DataFrame, *aggs: Column) -> DataFrame:
-    """A driver-side scalar KPI as a one-row DataFrame."""
-    return df.agg(*aggs)
-
-
 def publish_envelopes(messages: DataFrame, fmt: str = "kafka", topic: str | None = None, path: str | None = None,
                       mode: str = "append", **options) -> None:
     """S12 sink side: publish encoded messages (``value`` JSON text).

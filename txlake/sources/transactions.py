@@ -25,15 +25,19 @@ def scan_transactions(spark: SparkSession, path: str, start_date: str | None = N
     return df
 
 
-def read_lake_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1_000,
+def read_lake_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                      **options) -> DataFrame:
     """The lake as a stream of newly landed files (input of the event-time monitors).
 
     Declared schema (``block_timestamp`` is ``timestamp``, as watermarks
-    require); each micro-batch takes at most ``max_files_per_trigger`` new
-    files, so catching up on a backlog proceeds in bounded batches.
+    require). There is no cap by default: with ``max_files_per_trigger`` a
+    backlog is read in several batches, and a batch whose rows are older than
+    the watermark of an earlier one loses them. Set it only where files come
+    in time order within the watermark.
     """
-    opts = {"maxFilesPerTrigger": str(int(max_files_per_trigger)), **{k: str(v) for k, v in options.items()}}
+    opts = {k: str(v) for k, v in options.items()}
+    if max_files_per_trigger is not None:
+        opts["maxFilesPerTrigger"] = str(int(max_files_per_trigger))
     return spark.readStream.schema(TX_SCHEMA_EXT).options(**opts).parquet(path)
 
 
@@ -41,6 +45,9 @@ def conform_transactions(raw: DataFrame, with_last_modified: bool | None = None)
     """Cast a raw frame to the transaction schema; derive ``date`` when absent."""
     schema = TX_SCHEMA_EXT if (with_last_modified or (with_last_modified is None and LAST_MODIFIED in raw.columns)) \
         else TX_SCHEMA
+    missing = [f.name for f in schema.fields if f.name not in raw.columns and f.name not in (DATE, LAST_MODIFIED)]
+    if missing:
+        raise ValueError(f"not a transaction frame, it lacks: {', '.join(missing)}")
     cols = []
     for f in schema.fields:
         if f.name == DATE and DATE not in raw.columns:

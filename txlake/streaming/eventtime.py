@@ -47,11 +47,16 @@ def gas_price_trend_stream(tx_stream: DataFrame, granularity: str, watermark: st
 
 def new_contracts_stream(tx_stream: DataFrame, frame: str, slide: str | None = None,
                          watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """P03 stream: contract creations and their mean gas used per window."""
-    rows = tx_stream.where(F.col(TO_ADDRESS).isNull() & F.col(INPUT).isNotNull())
+    """P03 stream: contract creations and their mean gas used per window.
+
+    All rows move the watermark, so a window closes with the next transaction
+    of any kind, not only with a later creation.
+    """
+    created = F.col(TO_ADDRESS).isNull() & F.col(INPUT).isNotNull()
+    rows = tx_stream.withColumn("_gas", F.when(created, F.col(RECEIPT_GAS_USED)))
     return (_windowed(rows, frame, slide, watermark)
-            .agg(F.count(F.lit(1)).alias("contract_count"),
-                 exact_mean(RECEIPT_GAS_USED).alias("average_initial_gas_usage"))
+            .agg(F.count_if(created).alias("contract_count"), exact_mean("_gas").alias("average_initial_gas_usage"))
+            .where(F.col("contract_count") > 0)
             .select(*_bounds(), "contract_count", "average_initial_gas_usage"))
 
 

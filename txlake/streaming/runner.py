@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txlake.sources.envelope import decode_envelope, explode_transactions
-from txlake.sources.io import DOCUMENT_STORES, FILE_FORMATS
+from txlake.sources.io import DOCUMENT_STORES, FILE_FORMATS, target_options
 from txlake.streaming.microbatch import MICROBATCH_ANALYTICS
 
 
@@ -66,7 +66,7 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
             elif fmt in DOCUMENT_STORES:
                 w.mode("append").options(**{"collection": name, **opts}).save()
             else:
-                w.mode("append").options(**opts).save()
+                w.mode("append").options(**target_options(fmt, name, opts)).save()
 
         try:
             if not exploded.isEmpty():  # one small job; a batch without transactions writes no analytics
@@ -108,12 +108,21 @@ def run_stream(raw_stream: DataFrame, sink_base: str | None, checkpoint: str, fm
     return w.start()
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an ``availableNow`` query; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's recent batches dropped because they were older than the watermark."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_to_completion(query: StreamingQuery, timeout_s: float | None = None, allow_late: bool = False) -> None:
+    """Wait for an ``availableNow`` query; fail if it fails, if the time is up, or if it dropped late rows."""
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(str(exc))
+    if ended is False:
+        raise TimeoutError(f"the query still runs after {timeout_s} s")
+    if not allow_late and (n := late_rows(query)):
+        raise RuntimeError(f"{n} rows came later than the watermark allows and were dropped")
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", fmt: str = "parquet",
