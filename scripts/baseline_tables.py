@@ -20,8 +20,8 @@ PAIRS = [
      "B05_explode_one_scan_ours", "second scan"),
     ("B16", "window running sum + max", "B16_window_max", "sum per (date,hour) + max", "B16_group_sum_ours",
      "sort of every row, one task per hour"),
-    ("B16b", "window per (date,hour)", "B16b_hour_window", "copy collapse + chunked prefix sum",
-     "B16b_chunked_ours", "a whole hour (or a replayed tx) in one task"),
+    ("B16b", "window per (date,hour)", "B16b_hour_window", "running sum in minutes + offsets",
+     "B16b_minutes_ours", "a whole hour (or a replayed tx) in one task"),
     ("R01", "row_number per txType", "R01_type_window", "count per type + distributed expand",
      "R01_count_expand_ours", "a third of the batch per task (3 types)"),
     ("R03", "rank per hash", "R03_hash_window", "grouped rank + expand", "R03_grouped_rank_expand_ours",
