@@ -25,6 +25,7 @@ from txlake.llm import (
     sharding,
     site_style_tree,
 )
+from txlake.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, shard string, kept string"
@@ -298,6 +299,22 @@ def test_near_copies_of_each_other(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(label))
 
 
+def test_components(spark):
+    """Stars, chains in rising, falling and mixed order, copies of an edge, self-loops and random graphs."""
+    r = random.Random(11)
+    mixed = r.sample(range(1000, 1040), 40)
+    edges = [(0, i) for i in range(1, 60)] + [(99, i) for i in range(70, 99)] + [(i, i + 1) for i in range(200, 240)] + [(i + 1, i) for i in range(300, 320)]
+    edges += list(zip(mixed, mixed[1:])) + [(7, 7), (7, 0), (7, 0), (500, 500)] + [(r.randint(2000, 2200), r.randint(2000, 2200)) for _ in range(110)]
+    label = {x: x for a, b in edges if a != b for x in (a, b)}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(label) and {x.node: x.label for x in got} == label
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
 def test_register_likelihood():
     sketch = near_duplicates.Sketcher()
     rng = np.random.default_rng(1)
