@@ -432,6 +432,28 @@ def test_nearest_vectors(spark):
     assert permutation_index.search(df.where("false")).count() == 0
 
 
+def test_nearest_vectors_with_a_third_equal(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(3000, 16))
+    order = rng.permutation(3000)
+    common, close = order[:1000], order[1000:1150]
+    v[common] = v[common[0]]
+    v[close] = v[common[0]] + 0.5 * rng.normal(size=(150, 16))
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in permutation_index.search(df).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    ids, hits, n = np.arange(3000), 0, 0
+    for q in got:
+        score = (v * v[q]).sum(axis=1)
+        best = [int(i) for i in np.lexsort((ids, -score)) if i != q][:20]
+        if q in common or q in close:
+            hits, n = hits + len(set(best) & set(got[q])), n + 20
+        copies = [i for i in got[q] if i in common]
+        assert copies == [int(i) for i in np.sort(common) if i != q][: len(copies)]
+    assert n > 500 and hits >= 0.97 * n
+
+
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     v = {r.vec_id: np.array(r.embedding, float) for r in df.collect()}

@@ -1,16 +1,17 @@
 """Nearest neighbours by largest inner product with a permutation index.
 
 Every vector is represented by its ``prefix`` nearest pivots in order. The rows are dealt by hash into blocks of
-bounded size; inside a block each pivot has an inverted file of the rows whose prefix holds it, with its place there.
-A query walks the files of its own prefix, which gives the footrule distance between its order and that of every row
-posted (absent pivots count as the place behind the prefix), ranks the rows of the block by it and reranks the
-nearest ``share`` of them, at least ``at_least``, by the exact inner product in double precision. Query blocks meet
-all row blocks; each pair of blocks returns its ``k`` best rows per query, and the best of those are the answer.
+bounded size; inside a block equal vectors count as one, and each pivot has an inverted file of the vectors whose prefix
+holds it, with its place there. A query walks the files of its own prefix, which gives the footrule distance between its
+order and that of every vector posted (absent pivots count as the place behind the prefix), ranks the vectors of the block
+by it and reranks the nearest, as many as ``share`` of the block's rows, at least ``at_least``, and all of the last footrule,
+by the exact inner product in double precision. The best vectors stand for all their rows. Query blocks meet all row
+blocks; each pair of blocks returns its ``k`` best rows per query, and the best of those are the answer.
 
 Vectors are turned so that the largest inner product is the smallest angle: rows are divided by the largest norm and
 completed to length 1 by one more component, queries are made length 1 with 0 there.
 
-Only the pivots are a sample (``n_pivots`` rows, those with the smallest hash of vec_id); every row is indexed.
+Only the pivots are a sample (``n_pivots`` different vectors, those with the smallest hash); every row is indexed.
 
 Defined cases: rows whose vector is null, zero, of another length than most, or holds null or non-finite components,
 and rows with a null vec_id, take no part; ties go to the smaller vec_id; of repeated rows each is a candidate for the
@@ -51,12 +52,16 @@ def nearest_pivots(points: np.ndarray, pivots: np.ndarray, prefix: int) -> np.nd
 
 
 class Block:
-    """The pivot inverted files of a block of rows."""
+    """The pivot inverted files of the different vectors of a block of rows."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, pivots: np.ndarray, prefix: int, largest: float):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.rows, self.prefix = ids[order], rows[order], prefix
-        near = nearest_pivots(completed(self.rows, largest), pivots, prefix)
+        whole = np.ascontiguousarray(rows + 0.0)  # no -0.0: equal vectors are equal bytes
+        _, first, vector = np.unique(whole.view(np.dtype((np.void, whole.itemsize * whole.shape[1]))).ravel(), return_index=True, return_inverse=True)
+        self.vectors, self.prefix = whole[first], prefix
+        order = np.lexsort((ids, vector.ravel()))
+        self.ids = ids[order]  # the ids of vector i in order: from bounds[i] to bounds[i + 1]
+        self.bounds = np.searchsorted(vector.ravel()[order], np.arange(len(first) + 1))
+        near = nearest_pivots(completed(self.vectors, largest), pivots, prefix)
         at = np.argsort(near.ravel(), kind="stable")
         bounds = np.searchsorted(near.ravel()[at], np.arange(len(pivots) + 1))
         row, place = at // prefix, (at % prefix).astype(np.int32)
@@ -64,20 +69,26 @@ class Block:
 
     def search(self, query_id: int, query: np.ndarray, near: np.ndarray, k: int, n_candidates: int):
         """(ids, scores) of the best rows of this block."""
-        footrule = np.zeros(len(self.ids), np.int32)
+        footrule = np.zeros(len(self.vectors), np.int32)
         for place, pivot in enumerate(near):
             row, there = self.files[pivot]
             # Relative to a row that shares no pivot: its gap instead of the two that absence would cost.
             footrule[row] += np.abs(there - place) - (self.prefix - place) - (self.prefix - there)
         n = min(len(footrule), n_candidates + 1)
-        chosen = np.argpartition(footrule, n - 1)[:n] if n < len(footrule) else np.arange(len(footrule))
-        chosen = chosen[self.ids[chosen] != query_id]
-        rough = self.rows[chosen] @ query
-        if len(chosen) > k:
-            chosen = chosen[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-9 * (1 + np.abs(rough).max())]
-        exact = (self.rows[chosen] * query).sum(axis=1)
-        best = np.lexsort((self.ids[chosen], -exact))[:k]
-        return self.ids[chosen][best], exact[best]
+        chosen = np.flatnonzero(footrule <= np.partition(footrule, n - 1)[n - 1])
+        rough = self.vectors[chosen] @ query
+        if len(chosen) > k + 1:  # one more: the query's own vector may have no other row
+            chosen = chosen[rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - 1e-9 * (1 + np.abs(rough).max())]
+        exact = (self.vectors[chosen] * query).sum(axis=1)
+        ids, scores = [], []
+        for i, score in zip(chosen, exact):
+            own = self.ids[self.bounds[i] : self.bounds[i + 1]]
+            own = own[own != query_id][:k]  # of one score no more than k can be among the best
+            ids.append(own)
+            scores.append(np.full(len(own), score))
+        found, score = np.concatenate(ids), np.concatenate(scores)
+        best = np.lexsort((found, -score))[:k]
+        return found[best], score[best]
 
 
 def search(
@@ -85,7 +96,8 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by ``query_every``, its ``k`` nearest found."""
     rows = vectors(embeddings)
-    pivots = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()], np.float64)
+    hashes = [r[0] for r in rows.select(F.xxhash64("v").alias("h")).distinct().orderBy("h").limit(n_pivots).collect()]
+    pivots = np.array(sorted(r["v"] for r in rows.where(F.xxhash64("v").isin(hashes)).select("v").distinct().collect()), np.float64)
     stats = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     largest = float(np.sqrt(stats[1] or 1.0)) * (1 + 1e-12)
     pivots = completed(pivots, largest) if len(pivots) else np.zeros((0, 1))
