@@ -199,6 +199,17 @@ def test_resampling(spark, docs, empty):
     assert importance_resampling.resample(empty, labels_of(spark)).count() == 0
 
 
+def test_resampling_share_follows_toxic_labels(spark, docs):
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(10)] + [(10 + i, 1, 1) for i in range(20)] + [(30 + i, 0, 0) for i in range(7)] + [(40, 1, None), (41, None, 0), (42, 0, 1), (43, 0, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    rows = importance_resampling.resample(docs, labels).collect()
+    draws = sorted((r.draw for r in rows if r.draw is not None), reverse=True)
+    cut = draws[round(11 / 40 * len(draws)) - 1]  # 10 and the one of unknown toxicity, of 40 with a quality
+    assert all(r.kept == (r.draw is not None and r.draw >= cut) for r in rows)
+
+
 def test_kth_largest(spark):
     values = [None, -1.5, 2.0, 2.0, 2.0, 7.25, 1e300, -1e300] + [i / 3 for i in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "x double")

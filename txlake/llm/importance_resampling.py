@@ -4,8 +4,8 @@ Two generative models, bags of word unigrams and bigrams hashed into ``BUCKETS``
 document, the target one on labelled documents of good quality that are not toxic (at most ``MOST_TARGETS`` of them, those
 with the smallest hash of doc_id). A document's log weight is its mean log ratio of target to raw probability for each
 n-gram, times ``LENGTH``, so that long documents do not outweigh all others. Adding Gumbel noise to the log weights and
-taking the ``k`` largest draws ``k`` documents without replacement in proportion to their weights. ``k`` is the share of good
-documents among the labelled ones, or ``share``, of all documents with words.
+taking the ``k`` largest draws ``k`` documents without replacement in proportion to their weights. ``k`` is the share of target
+documents (good and not toxic) among those labelled good or bad, or ``share``, of all documents with words.
 
 The threshold of the ``k`` largest is found by counting in ever finer ranges, so no task or driver sees all
 documents. Defined cases: a null, empty or wordless text has no weight and is not kept; noise depends on doc_id and
@@ -89,7 +89,8 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0) -> DataFrame:
     """doc_id, n_ngrams, log_weight, draw (log weight and noise) and kept, for every row."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    good = labels.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    wanted = "quality = 1 and coalesce(toxic, 0) = 0"
+    good = labels.where(f"doc_id is not null and {wanted}").select("doc_id").distinct()
     chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TARGETS).collect()
     targets = np.array([r[0] for r in chosen], np.int64)
     ratio = fitted(rows, targets)
@@ -107,7 +108,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     weighed = rows.mapInArrow(run, "doc_id long, n_ngrams long, log_weight double")
     drawn = stored(weighed.withColumn("draw", F.col("log_weight") - F.log(-F.log(uniform))))
     if share is None:
-        share = labels.where("quality in (0, 1)").agg(F.avg("quality")).first()[0]
+        share = labels.where("quality in (0, 1)").agg(F.avg(F.expr(f"int({wanted})"))).first()[0]
         share = 1.0 if share is None else float(share)
     least = kth_largest(drawn, "draw", round(share * drawn.where("draw is not null").count()))
     kept = F.coalesce(F.col("draw") >= F.lit(least), F.lit(False)) if least is not None else F.lit(False)
