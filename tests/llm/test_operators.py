@@ -142,6 +142,18 @@ def test_main_text(spark):
     assert site_style_tree.extract(pages.where("false")).count() == 0
 
 
+def test_main_text_without_end_tags():
+    def text(page):
+        return site_style_tree.kept_text(site_style_tree.Reader(), page, {})
+
+    assert text("<html><head><title>t</title><meta charset=x><body><article><p>One<p>Two</article>") == "One\nTwo"
+    assert text("<head><title>t<body><p>One</p>") == text("<head><style>p{}<body><p>One</p><script>var x = 1") == "One"
+    assert text("<p>One</p><button>Press<p>Two</p><button>Other</button><p>Three</p>") == "One\nTwo\nThree"
+    assert text("<iframe src=x><div>One</div><noscript><p>Two</p><select><option>a<option>b</select><p>Three") == "One\nTwo\nThree"
+    assert text("<datalist><option>a<option>b</datalist>One <button>Two") == "One Two"
+    assert text("<p>One<script>'</button><p>'</script></p><button>x<!-- <p> --><p>Two <svg><svg></svg>no</svg>end") == "One\nTwo end"
+
+
 def test_repeats(docs, empty):
     words = [WORD.findall(t or "") for _, t in TEXTS]
     gone = windows_gone(words, [i for i, _ in TEXTS])

@@ -14,7 +14,8 @@ article or main part, text outside is not kept and inside only branches that har
 Counts travel as hashes and are summed before the shuffle; a host's tree has one row for each place, however many pages it
 has. The places to remove are sent to all tasks if they are few (``MOST_SENT``), else joined by host.
 
-Defined cases: a null or empty page has an empty text; a null url belongs to no site; ties do not arise; repeated
+Defined cases: a script, button or other element without page text that has no end tag ends at the next block element (without
+one, scripts and styles end with the page, of others only the tag goes); a head ends where its elements end; a null or empty page has an empty text; a null url belongs to no site; ties do not arise; repeated
 rows each get their text; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -45,7 +46,9 @@ BLOCKS = frozenset(
     "hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title iframe object svg canvas select option button textarea".split())
+#: Elements without page text. Of the raw ones the first end tag ends the element, whatever stands before it.
+RAW = frozenset("script style textarea title".split())
+SILENT = RAW | frozenset("noscript template iframe object svg canvas select option button".split())
 NOISE_TAGS = frozenset("nav footer aside form menu search dialog".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -58,6 +61,12 @@ NOISE_WORDS = frozenset(
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+NEXT_BLOCK = re.compile(rf"<!--.*?(?:-->|\Z)|</?(?:{'|'.join(sorted(BLOCKS | {'body', 'select', 'datalist'}))})(?=[\s/>]|\Z)", re.I | re.S)
+END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
+OWN = {
+    tag: re.compile(rf"""<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>])|<(/?){tag}(?=[\s/>]|\Z)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.I | re.S)
+    for tag in SILENT - RAW
+}
 
 
 def hash64(*parts) -> int:
@@ -72,6 +81,53 @@ class Element:
         self.children: list[str] = []
 
 
+class Silences:
+    """Where the silent elements of a page end; each search that fails is made once a page."""
+
+    def __init__(self, page: str):
+        self.page, self.open_raw, self.pairs, self.last_block = page, set(), {}, False
+
+    def _raw_end(self, tag: str, at: int) -> int | None:
+        if tag in self.open_raw:
+            return None
+        m = END[tag].search(self.page, at)
+        if m is None:
+            self.open_raw.add(tag)
+        return m.end() if m else None
+
+    def _pairs(self, tag: str) -> dict[int, int]:
+        """From the start of each ``tag`` that has an end tag of its own to the end of that."""
+        if tag not in self.pairs:
+            ends, waiting, at = {}, [], 0
+            while m := OWN[tag].search(self.page, at):
+                at = m.end()
+                if m[1]:
+                    at = self._raw_end(m[1].lower(), at) or at
+                elif m[2]:
+                    if waiting:
+                        ends[waiting.pop()] = m.end()
+                elif m[2] is not None and not m[3].rstrip().endswith("/"):
+                    waiting.append(m.start())
+            self.pairs[tag] = ends
+        return self.pairs[tag]
+
+    def end(self, tag: str, start: int, after: int) -> int:
+        """Where to read on behind the element whose start tag lies from ``start`` to ``after``."""
+        end = self._raw_end(tag, after) if tag in RAW else self._pairs(tag).get(start)
+        if end is not None:
+            return end
+        at = after
+        while not self.last_block:
+            m = NEXT_BLOCK.search(self.page, at)
+            if m is None:
+                self.last_block = True
+            elif m[0].startswith("<!--"):
+                at = m.end()
+            else:
+                return m.start()
+        return len(self.page) if tag in ("script", "style") else after
+
+
 class Reader:
     """Reads pages into blocks of text and elements with their places; the tree is kept as a stack."""
 
@@ -121,14 +177,8 @@ class Reader:
             style = " ".join(c for i, c in enumerate(e.children) if i == 0 or c != e.children[i - 1])
             elements.append((e.place, stack[-1].place, style))
 
-        at, end, silent_tag = 0, len(page), ""
+        at, end, silences = 0, len(page), Silences(page)
         while at < end:
-            if silent_tag:
-                close = re.compile(rf"</{re.escape(silent_tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-                if not close:
-                    break
-                at, silent_tag = close.end(), ""
-                continue
             m = TAG.search(page, at)
             if m is None:
                 text.append(page[at:])
@@ -141,7 +191,7 @@ class Reader:
                 continue
             if not m[1] and tag in SILENT:
                 if not m[3].rstrip().endswith("/"):
-                    silent_tag = tag
+                    at = silences.end(tag, m.start(), at)
                 continue
             if tag not in BLOCKS:
                 if tag in VOID:
