@@ -154,6 +154,17 @@ def test_main_text_without_end_tags():
     assert text("<p>One<script>'</button><p>'</script></p><button>x<!-- <p> --><p>Two <svg><svg></svg>no</svg>end") == "One\nTwo end"
 
 
+def test_main_text_of_copies(spark):
+    article = "<article><h1>Title</h1><p>Some text</p><ul><li>first</li><li>second</li></ul><blockquote><p>quoted</p></blockquote></article>"
+    rows = [(i, f"http://copies.example/{i}", article) for i in range(30)]
+    rows += [(100 + i, f"http://mixed.example/{i}", f"<article><p>page {i}</p></article>") for i in range(20)]
+    rows += [(200 + i, f"http://mixed.example/c{i}", article) for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7, "page_id")
+    text = {r.page_id: r.text for r in site_style_tree.extract(pages).collect()}
+    assert {text[i] for i in (*range(30), *range(200, 230))} == {"Title\nSome text\nfirst\nsecond\nquoted"}
+    assert all(text[100 + i] == f"page {i}" for i in range(20))
+
+
 def test_repeats(docs, empty):
     words = [WORD.findall(t or "") for _, t in TEXTS]
     gone = windows_gone(words, [i for i, _ in TEXTS])

@@ -7,11 +7,11 @@ content importance one less the mean entropy of its features: what looks or read
 differs from page to page scores 1. Importance is composed bottom-up, with a damping of ``GAMMA`` a level. Branches in
 which no node has enough composite importance are removed from every page of the host.
 
-A site needs ``MIN_PAGES`` pages at a place before it can say anything there, so element names and class names that mark menus, headers,
+Copies of a page count once. A site needs ``MIN_PAGES`` different pages at a place before it can say anything there, so element names and class names that mark menus, headers,
 footers, sidebars, notices, adverts, forms and comments remove a branch on their own, and where a page marks its
 article or main part, text outside is not kept and inside only branches that hardly vary at all are removed.
 
-Counts travel as hashes and are summed before the shuffle; a host's tree has one row for each place, however many pages it
+Pages travel as the hashes of their parts, are made distinct and summed; a host's tree has one row for each place, however many pages it
 has. The places to remove are sent to all tasks if they are few (``MOST_SENT``), else joined by host.
 
 Defined cases: a script, button or other element without page text that has no end tag ends at the next block element (without
@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import html as html_module
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -39,6 +38,7 @@ MIN_PAGES = 10
 #: Composite importance below which a branch is noise: where the page marks no article, and inside a marked one.
 NOISE_ANYWHERE, NOISE_IN_ARTICLE = 0.6, 0.05
 MOST_SENT = 100_000
+FOUND = pa.struct([("place", pa.int64()), ("parent", pa.int64()), ("kind", pa.string()), ("value", pa.int64())])
 
 # Element names of HTML.
 BLOCKS = frozenset(
@@ -228,13 +228,16 @@ def host_of(url):
 
 
 def counted(pages: DataFrame) -> DataFrame:
-    """host, place, parent, kind (page, style or content), value, n: how many pages of the host have it there."""
+    """host, place, parent, kind (page, style or content), value, n: how many different pages of the host have it there."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for part in slices(batches, "html"):
-            count: Counter = Counter()
+            seen: dict[tuple[str, int], list[dict]] = {}
             for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+                key = (host, hash64(page or ""))
+                if key in seen:
+                    continue
                 blocks, elements, _ = reader.read(page or "")
                 found = set()
                 for place, parent, style in elements:
@@ -243,16 +246,15 @@ def counted(pages: DataFrame) -> DataFrame:
                 for text, path, _, _ in blocks:
                     if path:
                         found.add((path[-1], path[-2] if len(path) > 1 else 0, "content", hash64(text)))
-                count.update((host, *f) for f in found)
-            host, place, parent, kind, value = zip(*count) if count else ((),) * 5
+                seen[key] = [dict(zip(("place", "parent", "kind", "value"), f)) for f in sorted(found)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(host, pa.string()), pa.array(place, pa.int64()), pa.array(parent, pa.int64()), pa.array(kind, pa.string()), pa.array(value, pa.int64()), pa.array(count.values(), pa.int64())],
-                ["host", "place", "parent", "kind", "value", "n"],
+                [pa.array([h for h, _ in seen], pa.string()), pa.array([d for _, d in seen], pa.int64()), pa.array(seen.values(), pa.list_(FOUND))], ["host", "page", "found"]
             )
 
-    keys = ("host", "place", "parent", "kind", "value")
     rows = pages.where(F.col("host").isNotNull()).select("host", "html")
-    return rows.mapInArrow(run, "host string, place long, parent long, kind string, value long, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    # Copies of a page are alike in all three columns and count once.
+    different = rows.mapInArrow(run, "host string, page long, found array<struct<place: long, parent: long, kind: string, value: long>>").distinct()
+    return different.select("host", F.inline("found")).groupBy("host", "place", "parent", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def importance(pages: DataFrame) -> DataFrame:
