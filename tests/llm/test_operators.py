@@ -165,6 +165,20 @@ def test_main_text_of_copies(spark):
     assert all(text[100 + i] == f"page {i}" for i in range(20))
 
 
+def test_main_text_against_names(spark):
+    page = (
+        "<body><nav><a>menu {i}</a></nav><div class='ad'>advert {i}</div><div><p>All rights</p></div><div class='story'><p>story {i}</p></div>"
+        "<article><header class='entry-header'><h1>Title {i}</h1></header><h2 id='search-methods'>Search {i}</h2><p class='notice'>Notice {i}</p>"
+        "<section id='reply'><p>Reply {i}</p></section><div class='share'><p>Share this</p></div></article></body>"
+    )
+    rows = [(i, f"http://big.example/{i}", page.format(i=i)) for i in range(20)]
+    rows += [(50, "http://small.example/", page.format(i=50))]
+    text = {r.page_id: r.text for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert text[i] == f"story {i}\nTitle {i}\nSearch {i}\nNotice {i}\nReply {i}"
+    assert text[50] == "Title 50\nSearch 50\nNotice 50"  # too few pages: names alone
+
+
 def test_repeats(docs, empty):
     words = [WORD.findall(t or "") for _, t in TEXTS]
     gone = windows_gone(words, [i for i, _ in TEXTS])

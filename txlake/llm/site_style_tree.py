@@ -7,9 +7,13 @@ content importance one less the mean entropy of its features: what looks or read
 differs from page to page scores 1. Importance is composed bottom-up, with a damping of ``GAMMA`` a level. Branches in
 which no node has enough composite importance are removed from every page of the host.
 
-Copies of a page count once. A site needs ``MIN_PAGES`` different pages at a place before it can say anything there, so element names and class names that mark menus, headers,
-footers, sidebars, notices, adverts, forms and comments remove a branch on their own, and where a page marks its
-article or main part, text outside is not kept and inside only branches that hardly vary at all are removed.
+Copies of a page count once. A site needs ``MIN_PAGES`` different pages at a place before it can say anything
+there. Beside the tree, names decide. Elements for menus, footers, sidebars, forms and dialogs and headers outside an article, and
+outside an article containers (not headings, paragraphs or list items) whose class, id or role has a word for such parts, are noise
+whatever the tree says: adverts, menus and footers that change from page to page are as important to the tree as the text. Doubtful
+are containers with such a word inside an article (``header`` is none there) and, where a page marks its article or main part, all
+else outside: they are kept where the site has enough pages at the place and its branch is important (``NOISE_ANYWHERE``), else not.
+Of the rest inside an article only branches that hardly vary at all are removed.
 
 Pages travel as the hashes of their parts, are made distinct and summed; a host's tree has one row for each place, however many pages it
 has. The places to remove are sent to all tasks if they are few (``MOST_SENT``), else joined by host.
@@ -52,6 +56,11 @@ SILENT = RAW | frozenset("noscript template iframe object svg canvas select opti
 NOISE_TAGS = frozenset("nav footer aside form menu search dialog".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
+#: Elements that hold text rather than parts of the page; their classes and ids say nothing about noise.
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p li dt dd pre blockquote figcaption legend summary address center caption".split())
+#: Kinds of blocks by names: wanted, doubtful (only the tree can keep them), noise.
+WANTED, DOUBTFUL, NOISE = range(3)
+
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer "
     "gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted promotion recommended related "
@@ -133,20 +142,22 @@ class Reader:
 
     def __init__(self):
         self.places: dict[tuple[int, str], int] = {}
-        self.marks: dict[tuple[str, str], tuple[str, bool, bool]] = {}
+        self.marks: dict[tuple[str, str], tuple[str, int, int, bool]] = {}
 
-    def _marked(self, tag: str, attributes: str) -> tuple[str, bool, bool]:
-        """(label, is noise by name, is the article or main part)."""
+    def _marked(self, tag: str, attributes: str) -> tuple[str, int, int, bool]:
+        """(label, kind by name outside an article, kind inside one, is the article or main part)."""
         known = self.marks.get((tag, attributes))
         if known is None:
             names: dict[str, str] = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
             words = [w.lower() for v in (names.get("class", ""), names.get("id", ""), names.get("role", "")) for w in WORD.findall(v)]
             article = tag in ("article", "main") or "main" in names.get("role", "").lower().split()
-            noise = tag in NOISE_TAGS or (not article and tag not in ("html", "body") and any(w in NOISE_WORDS for w in words))
+            marks = set() if article or tag in TEXTS or tag in ("html", "body") else NOISE_WORDS.intersection(words)
+            outside = NOISE if tag in NOISE_TAGS or tag == "header" or marks else WANTED
+            inside = NOISE if tag in NOISE_TAGS else DOUBTFUL if marks - {"header"} else WANTED
             label = ".".join([tag, *sorted(set(words))])
             if len(self.marks) > 50_000:
                 self.marks.clear()
-            known = self.marks[tag, attributes] = (label, noise, article)
+            known = self.marks[tag, attributes] = (label, outside, inside, article)
         return known
 
     def _place(self, parent: int, label: str) -> int:
@@ -158,10 +169,10 @@ class Reader:
             place = self.places[key] = hash64(parent, label)
         return place
 
-    def read(self, page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], list[tuple[int, int, str]], bool]:
-        """(blocks: text, places from the root, noise, in the article), (place, parent, style) of elements, has an article."""
+    def read(self, page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple[int, int, str]], bool]:
+        """(blocks: text, places from the root, kind), (place, parent, style) of elements, has an article."""
         blocks, elements = [], []
-        root = Element("", 0, "", False, False)
+        root = Element("", 0, "", WANTED, False)
         stack, text, has_article = [root], [], False
 
         def flush() -> None:
@@ -209,15 +220,19 @@ class Reader:
             if tag in VOID:
                 continue
             parent = stack[-1]
-            label, noise, article = self._marked(tag, m[3])
+            label, noise_outside, noise_inside, article = self._marked(tag, m[3])
             inside = parent.article or article
-            noise = parent.noise or noise or (tag == "header" and not inside)
-            has_article |= article and not noise
+            noise = max(parent.noise, noise_inside if inside else noise_outside)
+            has_article |= article and noise == WANTED
             parent.children.append(label)
             stack.append(Element(tag, self._place(parent.place, label), label, noise, inside))
         flush()
         while len(stack) > 1:
             pop()
+        if has_article:
+            blocks = [(text, path, max(kind, WANTED if inside else DOUBTFUL)) for text, path, kind, inside in blocks]
+        else:
+            blocks = [(text, path, kind) for text, path, kind, _ in blocks]
         return blocks, elements, has_article
 
 
@@ -228,7 +243,7 @@ def host_of(url):
 
 
 def counted(pages: DataFrame) -> DataFrame:
-    """host, place, parent, kind (page, style or content), value, n: how many different pages of the host have it there."""
+    """host, place, parent, kind (page, style, content or doubt), value, n: how many different pages of the host have it there."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -243,9 +258,12 @@ def counted(pages: DataFrame) -> DataFrame:
                 for place, parent, style in elements:
                     found.add((place, parent, "page", 0))
                     found.add((place, parent, "style", hash64(style)))
-                for text, path, _, _ in blocks:
+                for text, path, kind in blocks:
                     if path:
-                        found.add((path[-1], path[-2] if len(path) > 1 else 0, "content", hash64(text)))
+                        parent = path[-2] if len(path) > 1 else 0
+                        found.add((path[-1], parent, "content", hash64(text)))
+                        if kind == DOUBTFUL:
+                            found.add((path[-1], parent, "doubt", 0))
                 seen[key] = [dict(zip(("place", "parent", "kind", "value"), f)) for f in sorted(found)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in seen], pa.string()), pa.array([d for _, d in seen], pa.int64()), pa.array(seen.values(), pa.list_(FOUND))], ["host", "page", "found"]
@@ -258,7 +276,7 @@ def counted(pages: DataFrame) -> DataFrame:
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """host, place, n_pages, importance, and the best importance in the branch, of every node of every site's tree.
+    """host, place, n_pages, importance, the best importance in the branch, doubtful (some text there is), of every node of every site's tree.
 
     ``pages`` has host and html.
     """
@@ -274,11 +292,12 @@ def importance(pages: DataFrame) -> DataFrame:
         of("style", n * F.log(n)).alias("style_logs"),
         of("content", F.lit(1.0)).alias("features"),
         of("content", F.log(n)).alias("feature_logs"),
+        (of("doubt", n) > 0).alias("doubtful"),
     )
     scale = F.log("m")
     look = F.when(F.col("m") > 1, F.when(F.col("styles") > 0, (F.log("styles") - F.col("style_logs") / F.col("styles")) / scale)).otherwise(1.0)
     read = F.when(F.col("features") > 0, F.when(F.col("m") > 1, 1 - F.col("feature_logs") / F.col("features") / scale).otherwise(1.0))
-    nodes = nodes.select("host", "place", "parent", "m", F.coalesce(look, F.lit(0.0)).alias("look"), read.alias("read"))
+    nodes = nodes.select("host", "place", "parent", "m", F.coalesce(look, F.lit(0.0)).alias("look"), read.alias("read"), "doubtful")
 
     def compose(group: pa.Table) -> pa.Table:
         rows = {r["place"]: r for r in group.to_pylist()}
@@ -302,23 +321,29 @@ def importance(pages: DataFrame) -> DataFrame:
                 done[place] = r["read"] if r["read"] is not None else r["look"]
             best[place] = max([done[place], *(best[c] for c in below.get(place, []))])
         return pa.table(
-            {"host": group.column("host").take(pa.array([0] * len(done), pa.int64())), "place": pa.array(done, pa.int64()), "n_pages": pa.array([int(rows[p]["m"]) for p in done], pa.int64()), "importance": pa.array(done.values(), pa.float64()), "best": pa.array([best[p] for p in done], pa.float64())}
+            {"host": group.column("host").take(pa.array([0] * len(done), pa.int64())), "place": pa.array(done, pa.int64()), "n_pages": pa.array([int(rows[p]["m"]) for p in done], pa.int64()), "importance": pa.array(done.values(), pa.float64()), "best": pa.array([best[p] for p in done], pa.float64()), "doubtful": pa.array([rows[p]["doubtful"] for p in done], pa.bool_())}
         )
 
-    return nodes.groupBy("host").applyInArrow(compose, "host string, place long, n_pages long, importance double, best double")
+    return nodes.groupBy("host").applyInArrow(compose, "host string, place long, n_pages long, importance double, best double, doubtful boolean")
 
 
-def kept_text(reader: Reader, page: str | None, low: dict[int, float]) -> str:
-    """The blocks of a page outside noise, joined by line breaks. ``low``: places of the site with little importance."""
+def kept_text(reader: Reader, page: str | None, best: dict[int, float]) -> str:
+    """The blocks of a page outside noise, joined by line breaks. ``best``: places of the site with little importance or with doubtful text."""
     blocks, _, has_article = reader.read(page or "")
     limit = NOISE_IN_ARTICLE if has_article else NOISE_ANYWHERE
-    return "\n".join(text for text, path, noise, inside in blocks if not noise and (inside or not has_article) and not any(low.get(p, 1.0) < limit for p in path))
+
+    def kept(path: tuple[int, ...], kind: int) -> bool:
+        if kind == DOUBTFUL:
+            return bool(path) and best.get(path[-1], 0.0) >= NOISE_ANYWHERE
+        return kind == WANTED and not any(best.get(p, 1.0) < limit for p in path)
+
+    return "\n".join(text for text, path, kind in blocks if kept(path, kind))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     sited = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host_of(F.col("url")))
-    noise = stored(importance(sited).where((F.col("n_pages") >= MIN_PAGES) & (F.col("best") < NOISE_ANYWHERE)))
+    noise = stored(importance(sited).where((F.col("n_pages") >= MIN_PAGES) & ((F.col("best") < NOISE_ANYWHERE) | F.col("doubtful"))))
     few = noise.limit(MOST_SENT + 1).count() <= MOST_SENT
     sent: dict[str, dict[int, float]] = {}
     if few:
