@@ -214,6 +214,17 @@ def test_shards(docs, empty):
     assert sharding.shards(empty, 8).count() == 0
 
 
+def test_shards_keep_groups_whole(spark):
+    rows = [(i, f"single text number {i}") for i in range(4000)] + [(10_000 + i, f"copied text of group {i % 20}") for i in range(1000)]
+    rows += [(20_000 + i, "common") for i in range(4000)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    where = {r.doc_id: r.shard for r in got}
+    assert all(len({where[10_000 + i] for i in range(1000) if i % 20 == g}) == 1 for g in range(20))
+    assert len({where[20_000 + i] for i in range(4000)}) > 1  # more than a shard: cut
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(sizes) < 1.02 * min(sizes)
+
+
 def test_placed_is_level():
     vectors = np.abs(np.random.default_rng(0).normal(size=(4000, 3))) + 0.01
     loads = np.bincount(sharding.placed(vectors, 40), weights=vectors[:, 0], minlength=40)

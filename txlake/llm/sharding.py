@@ -1,7 +1,7 @@
 """Shards of near-equal size by vector bin packing.
 
 Groups of equal texts have a vector of bytes, tokens (words) and rows. Groups above a small share of a shard are
-items of their own, cut into parts by doc_id when larger; the others are dealt by hash into bundles. So the number
+items of their own, cut into parts by doc_id only when larger than ``WHOLE`` of a shard; the others are dealt by hash into bundles. So the number
 of items is bounded by ``n_shards * GRAIN``, whatever the number of documents, and they are placed on the driver,
 largest first, each on the shard where the dot product of its vector with the residual capacity is highest, among
 the shards that are least filled in bytes once an item no longer fits everywhere. The law is ``bytes``: sums of
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from .common import numbered, stored, width
 from .textops import slices, text_buffer, word_spans
 
-#: Items of a shard: an item is at most about one part in GRAIN of a shard, unless one document is larger.
+#: Items of a shard: bundles and the parts of a cut group are at most about one part in GRAIN of a shard, unless one document is larger.
 GRAIN = 500
+#: The share of a shard up to which a group of equal texts stays whole.
+WHOLE = 0.5
 ROW_BYTES = 16
 
 
@@ -76,8 +78,9 @@ def shards(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     n_items = n_shards * GRAIN
     unit = max(1, (rows.agg(F.sum("size")).first()[0] or 0) // n_items)
     groups = rows.groupBy("digest").agg(F.sum("size").alias("__bytes")).where(F.col("__bytes") > unit)
+    parts = F.when(F.col("__bytes") <= WHOLE * GRAIN * unit, 1).otherwise(F.ceil(F.col("__bytes") / unit))
     # At most n_items groups are larger than the unit: the broadcast is bounded.
-    large = F.broadcast(groups.select(F.col("digest").alias("__large"), F.ceil(F.col("__bytes") / unit).alias("__parts")))
+    large = F.broadcast(groups.select(F.col("digest").alias("__large"), parts.alias("__parts")))
     item = F.when(
         F.col("__large").isNotNull(), F.concat_ws("/", F.hex("digest"), F.pmod(F.xxhash64("doc_id"), F.col("__parts")).cast("string"))
     ).otherwise(F.pmod(F.xxhash64("digest"), F.lit(n_items)).cast("string"))
