@@ -179,6 +179,13 @@ def test_main_text_against_names(spark):
     assert text[50] == "Title 50\nSearch 50\nNotice 50"  # too few pages: names alone
 
 
+def test_main_text_with_ids_of_titles(spark):
+    names = [f"post-{chr(97 + i // 5)}{chr(97 + i % 5)}x" for i in range(20)]
+    rows = [(i, f"http://ids.example/{i}", f"<div class='post' id='{n}'><div><p>All rights</p></div><section><p>story {i}</p></section></div>") for i, n in enumerate(names)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in site_style_tree.extract(pages).collect()} == {i: f"story {i}" for i in range(20)}
+
+
 def test_repeats(docs, empty):
     words = [WORD.findall(t or "") for _, t in TEXTS]
     gone = windows_gone(words, [i for i, _ in TEXTS])

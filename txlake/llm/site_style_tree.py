@@ -154,7 +154,8 @@ class Reader:
             marks = set() if article or tag in TEXTS or tag in ("html", "body") else NOISE_WORDS.intersection(words)
             outside = NOISE if tag in NOISE_TAGS or tag == "header" or marks else WANTED
             inside = NOISE if tag in NOISE_TAGS else DOUBTFUL if marks - {"header"} else WANTED
-            label = ".".join([tag, *sorted(set(words))])
+            # Ids are often made from titles: with them every page would have places of its own.
+            label = ".".join([tag, *sorted({w.lower() for w in WORD.findall(names.get("class", ""))})])
             if len(self.marks) > 50_000:
                 self.marks.clear()
             known = self.marks[tag, attributes] = (label, outside, inside, article)
