@@ -65,9 +65,21 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end) of every word in bytes, and ``first``: words of text ``i`` are ``first[i]:first[i + 1]``."""
-    inside = ~is_space()[data]
+def is_between_terms(digits: bool) -> np.ndarray:
+    """True for the ASCII bytes that separate terms: all but letters and, with ``digits``, digits."""
+    table = np.zeros(256, bool)
+    table[:128] = True
+    table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1] = False
+    if digits:
+        table[ord("0") : ord("9") + 1] = False
+    return table
+
+
+def word_spans(data: np.ndarray, offs: np.ndarray, separates: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end) of every word in bytes, and ``first``: words of text ``i`` are ``first[i]:first[i + 1]``.
+
+    ``separates`` tells for each of the 256 bytes if it separates words; white space by default."""
+    inside = ~(is_space() if separates is None else separates)[data]
     begin, stop = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     stop[:-1] &= ~inside[1:]
