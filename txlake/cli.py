@@ -2,6 +2,7 @@
 
   batch    the ten-output batch job over the lake (S01 + S06)
   land     conform raw Parquet files and write the date-partitioned lake (S02)
+  poll     frames of the lake -> pages -> messages on the bus, from a kept cursor (S11, S12, S13)
   stream   message bus -> decode -> foreachBatch R01-R05 -> sinks (R06)
   monitor  one event-time query (P01-P05 stream form) -> streaming sink
 
@@ -18,6 +19,7 @@ import sys
 if __package__ in (None, ""):  # run as a file (spark-submit txlake/cli.py): make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from txlake.schema import POLL_DELAY, POLL_EVERY, POLL_FRAME, POLL_LIMIT  # noqa: E402
 from txlake.session import apply_sizing, build_session, checkpoint_root  # noqa: E402
 
 
@@ -45,16 +47,19 @@ def cmd_batch(spark, args) -> int:
     tx = scan_transactions(spark, args.input, args.start_date, args.end_date)
     outputs = args.outputs.split(",") if args.outputs else None
     timings = run_batch_job(tx, args.output, fmt=args.format, outputs=outputs, shared_scan=args.shared_scan,
-                            parallel_jobs=args.parallel_jobs, **_opts(args.option))
+                            parallel_jobs=args.parallel_jobs, committed=args.committed, **_opts(args.option))
     print(json.dumps(timings))
     return 0
 
 
 def cmd_land(spark, args) -> int:
-    from txlake.sources.transactions import land_transactions
+    from txlake.sources.transactions import land_folder, land_transactions
     if args.auto_size:
         apply_sizing(spark, args.input)
-    land_transactions(spark.read.parquet(args.input), args.output, mode=args.mode)
+    if args.mode == "append":
+        print(f"{land_folder(spark, args.input, args.output)} new files")
+    else:
+        land_transactions(spark.read.parquet(args.input), args.output, mode=args.mode)
     return 0
 
 
@@ -64,11 +69,28 @@ def cmd_stream(spark, args) -> int:
     src = read_tx_stream(spark, args.source_format, args.source_path, **_opts(args.source_option))
     q = run_stream(src, args.sink, args.checkpoint or f"{checkpoint_root(spark)}/txlake-stream",
                    fmt=args.sink_format, trigger=_trigger(args), sink_options=_opts(args.option),
-                   parallel_jobs=args.parallel_jobs, dead_letter=args.dead_letter)
+                   parallel_jobs=args.parallel_jobs, dead_letter=args.dead_letter, committed=args.committed,
+                   dedup=args.dedup, state_partitions=args.state_partitions)
     q.awaitTermination()
     return 0
 
 
+def cmd_poll(spark, args) -> int:
+    """Polls from the cursor (or ``--since``) up to ``--until``, one poll every ``--every``."""
+    import datetime as dt
+    from txlake.sources.poll import Poller, seconds
+    from txlake.sources.transactions import scan_transactions
+    poller = Poller(scan_transactions(spark, args.input), args.cursor, args.bus, args.format, args.frame, args.delay,
+                    args.overlap, args.page_rows, **_opts(args.option))
+    until = dt.datetime.fromisoformat(args.until) if args.until else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = dt.datetime.fromisoformat(args.since) if args.since else until
+    while now <= until:
+        found = poller.poll(now)
+        print(f"poll at {now}: {'nothing new' if found is None else found}")
+        now += dt.timedelta(seconds=seconds(args.every))
+    return 0
+
+
 MONITORS = {
     "tx_count": ("tx_count_stream", ("frame", "slide")),
     "gas_price_trend": ("gas_price_trend_stream", ("granularity",)),
@@ -115,6 +137,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--shared-scan", action="store_true")
     b.add_argument("--parallel-jobs", type=int, default=4)
     b.add_argument("--option", action="append")
+    b.add_argument("--committed", action="store_true", help="the outputs appear together, through a commit log")
     b.add_argument("--auto-size", action="store_true", help="size shuffles from the input's bytes")
 
     la = sub.add_parser("land")
@@ -134,8 +157,25 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--interval")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--parallel-jobs", type=int, default=5)
+    s.add_argument("--dedup", metavar="TIME", help="let each transaction through once in this time, e.g. '30 minutes'")
+    s.add_argument("--committed", action="store_true", help="all outputs of a batch appear together (file sinks)")
+    s.add_argument("--state-partitions", type=int, help="state partitions of --dedup (new checkpoint only)")
     s.add_argument("--dead-letter", action="store_true", help="keep undecodable messages in a dead_letter output")
 
+    p = sub.add_parser("poll")
+    p.add_argument("--input", required=True, help="lake directory")
+    p.add_argument("--cursor", required=True, help="folder that keeps how far the poller came")
+    p.add_argument("--bus", help="folder of a file bus")
+    p.add_argument("--format", default="parquet", help="file format, or kafka with --option")
+    p.add_argument("--option", action="append")
+    p.add_argument("--since", help="time of the first poll; default: one poll at --until")
+    p.add_argument("--until", help="time of the last poll; default: now (UTC)")
+    p.add_argument("--every", default=POLL_EVERY)
+    p.add_argument("--frame", default=POLL_FRAME)
+    p.add_argument("--delay", default=POLL_DELAY)
+    p.add_argument("--overlap", default=POLL_EVERY)
+    p.add_argument("--page-rows", type=int, default=POLL_LIMIT)
+
     m = sub.add_parser("monitor")
     m.add_argument("query", choices=sorted(MONITORS))
     m.add_argument("--input", required=True, help="lake directory read as a file stream")
@@ -159,7 +199,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = build_session(args.master, app=f"txlake-{args.cmd}")
-    return {"batch": cmd_batch, "land": cmd_land, "stream": cmd_stream, "monitor": cmd_monitor}[args.cmd](spark, args)
+    return {"batch": cmd_batch, "land": cmd_land, "stream": cmd_stream, "poll": cmd_poll, "monitor": cmd_monitor}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

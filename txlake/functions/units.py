@@ -68,3 +68,8 @@ def exact_mean(c) -> Column:
 def percent(part: Column, total: Column, digits: int = 4) -> Column:
     """round(part / total * 100, digits); NULL when total is 0 or NULL."""
     return F.round(F.try_divide(part.cast("double"), total.cast("double")) * F.lit(100.0), digits)
+
+
+def floored(a: Column, b: int) -> Column:
+    """floor(a / b) of whole numbers, without the rounding of a double."""
+    return F.call_function("div", a - F.pmod(a, F.lit(b).cast("long")), F.lit(b).cast("long"))

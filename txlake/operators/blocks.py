@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txlake.operators.common import top_k
 from txlake.operators.expand import repeat_rows
+from txlake.operators.prefix import running_sum, split_crowded
 from txlake.schema import (BLOCK_GAS_LIMIT, BLOCK_NUMBER, BLOCK_TIMESTAMP, HASH, RECEIPT_CUMULATIVE_GAS_USED,
                            RECEIPT_GAS_USED)
 
@@ -33,47 +34,43 @@ def hourly_activity(tx: DataFrame, n: int | None = None) -> DataFrame:
     return top_k(out, n, F.col("num_transactions").desc(), F.col("hour"))
 
 
-def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED, collapse_copies: bool = False) -> DataFrame:
+def cumulative_gas_in_hour(tx: DataFrame, column: str = RECEIPT_CUMULATIVE_GAS_USED, collapse_copies: bool = False,
+                           split_rows: int | None = None) -> DataFrame:
     """Running sum of ``column`` within each (date, hour), ordered by
     ``(block_timestamp, hash)``, one output row per transaction.
 
     A plain window partitioned by (date, hour) sends a whole hour to one task.
-    Here rows get their running sum inside their minute, and each minute an
-    offset: the sum of the hour's earlier minutes, a window over at most 60
-    aggregated rows per hour. Rows and offsets meet by an equi-join on the
-    minute; rows are shuffled once. A minute holds at most what its blocks'
-    gas limits allow; where replays deliver the same transactions many times,
+    Here rows get their running sum inside a bucket, by default their minute, and the sums of the
+    buckets before it as offsets (:func:`running_sum`); rows are shuffled once. A minute with more than
+    ``split_rows`` rows is cut into its instants, and those by the first digits of the hash, so that even
+    rows of a single second spread over tasks. Where replays deliver the same transactions many times,
     ``collapse_copies`` first collapses exact copies to one row with a count
     and expands them again at the end.
     """
     ts = F.col(BLOCK_TIMESTAMP)
     # Keys are never NULL, so the join is a plain equi-join. Rows without a block time form their own
     # group through the impossible hour -1, like the (NULL, NULL) window partition.
-    keys = ["_day", "_hr", "_min"]
+    hour, minute = ["_day", "_hr"], ["_min"]
     rows = tx.select(
         F.coalesce(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("_day"),
         F.coalesce(F.hour(ts), F.lit(-1)).alias("_hr"),
         F.coalesce(F.minute(ts), F.lit(0)).alias("_min"),
         ts.alias("_ts"), F.col(HASH), F.col(column).cast("long").alias("_v"))
-    rows = rows.groupBy(*keys, "_ts", HASH, "_v").agg(F.count(F.lit(1)).alias("_c")) if collapse_copies \
+    rows = rows.groupBy(*hour, *minute, "_ts", HASH, "_v").agg(F.count(F.lit(1)).alias("_c")) if collapse_copies \
         else rows.withColumn("_c", F.lit(1).cast("long"))
-    weight = F.col("_v") * F.col("_c")
-    inside = (Window.partitionBy(*keys).orderBy("_ts", F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = Window.partitionBy("_day", "_hr").orderBy("_min").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(*keys).agg(F.sum(weight).alias("_minute")).select(*keys, F.sum("_minute").over(before).alias("_off"))
-    # Every row has its offset; the left join keeps the rows from ever being the broadcast side.
-    joined = rows.withColumn("_incl", F.sum(weight).over(inside)).join(offsets, keys, "left")
-
-    zero = F.lit(0).cast("long")
-    # The running total with all copies of the row; NULL only while every value so far in the hour is NULL.
-    total = F.when(F.col("_off").isNull() & F.col("_incl").isNull(), F.lit(None).cast("long")).otherwise(
-        F.coalesce("_off", zero) + F.coalesce("_incl", zero))
-    hour = F.when(F.col("_hr") >= 0, F.col("_hr"))
-    out = joined.select(HASH, F.col("_ts").alias(BLOCK_TIMESTAMP), hour.alias("hour"), "_v", "_c", total.alias("_total"))
+    rows = split_crowded(rows, [*hour, *minute], HASH, split_rows)
+    # The instants of a minute that was not cut are one.
+    instant = F.when(F.col("_crowded"), F.unix_micros("_ts"))
+    rows = rows.withColumn("_instant", F.coalesce(instant, F.lit(0).cast("long")))
+    order = ["_ts", F.col(HASH).asc_nulls_first(), F.col("_v").asc_nulls_first()]
+    summed = running_sum(rows, hour, [minute, ["_instant", "_part"]], order, F.col("_v") * F.col("_c"), "_total")
+
+    out = summed.select(HASH, F.col("_ts").alias(BLOCK_TIMESTAMP), F.when(F.col("_hr") >= 0, F.col("_hr")).alias("hour"),
+                        "_v", "_c", "_total")
     if not collapse_copies:
         return out.select(HASH, BLOCK_TIMESTAMP, "hour", F.col("_total").alias("cumulative_gas_used"))
-    later = F.coalesce(F.col("_v") * (F.col("_c") - F.col("_k")), zero)
+    # ``_total`` is the running total with all copies of the row.
+    later = F.coalesce(F.col("_v") * (F.col("_c") - F.col("_k")), F.lit(0).cast("long"))
     return repeat_rows(out.withColumn("_n", F.col("_c")), "_n", "_k").select(
         HASH, BLOCK_TIMESTAMP, "hour", (F.col("_total") - later).alias("cumulative_gas_used"))
 

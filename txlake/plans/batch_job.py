@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txlake import operators as ops
+from txlake.sources.commits import CommitLog
 from txlake.sources.io import write_result
 
 #: collection name -> analytic (names as written by the reference's job).
@@ -45,10 +46,16 @@ JOB_COLUMNS = ["hash", "from_address", "to_address", "gas", "gas_price", "input"
 
 
 def run_batch_job(tx: DataFrame, sink_base: str | None, fmt: str = "parquet", outputs: list[str] | None = None,
-                  shared_scan: bool = False, parallel_jobs: int = 4, **sink_options) -> dict[str, float]:
+                  shared_scan: bool = False, parallel_jobs: int = 4, committed: bool = False,
+                  **sink_options) -> dict[str, float]:
     """Compute and write the chosen outputs; returns seconds per output (and
-    ``categorized_rows``, the row count observed while writing ``transaction_counts``)."""
+    ``categorized_rows``, the row count observed while writing ``transaction_counts``).
+
+    With ``committed`` (file formats) the outputs become visible together when the last one is written, through
+    the :class:`CommitLog` under ``sink_base``; a run that dies on the way leaves the earlier outputs readable."""
     names = outputs or list(JOB_OUTPUTS)
+    log = CommitLog(tx.sparkSession, sink_base, fmt) if committed else None
+    epoch, staged = (log.next_epoch() if log else 0), {}
     base = tx.select(*[c for c in JOB_COLUMNS if c in tx.columns])
     cached = shared_scan and len(names) > 1
     if cached:
@@ -62,7 +69,10 @@ def run_batch_job(tx: DataFrame, sink_base: str | None, fmt: str = "parquet", ou
     def one(name: str) -> None:
         t0 = time.perf_counter()
         src = base.observe(observed, F.count(F.lit(1)).alias("rows")) if name == "transaction_counts" else base
-        write_result(JOB_OUTPUTS[name](src), name, sink_base, fmt=fmt, mode="overwrite", **sink_options)
+        if log:
+            staged[name] = log.stage(JOB_OUTPUTS[name](src), name, epoch, **sink_options)
+        else:
+            write_result(JOB_OUTPUTS[name](src), name, sink_base, fmt=fmt, mode="overwrite", **sink_options)
         timings[name] = round(time.perf_counter() - t0, 3)
 
     try:
@@ -72,6 +82,8 @@ def run_batch_job(tx: DataFrame, sink_base: str | None, fmt: str = "parquet", ou
         else:
             for n in names:
                 one(n)
+        if log and not log.commit(epoch, staged):
+            raise RuntimeError(f"another run committed epoch {epoch} of {sink_base}")
     finally:
         if cached:
             base.unpersist()

@@ -9,6 +9,7 @@ engines report a zone-less timestamp.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,16 @@ from pyspark.sql import types as T
 
 from txlake import operators as ops
 from txlake.operators import realtime as rt
+from txlake.plans.batch_job import JOB_OUTPUTS, run_batch_job
 from txlake.schema import TX_SCHEMA_EXT
 from txlake.session import ensure_utc, input_version, partitions_for_input, path_exists, scratch_path
+from txlake.sources.commits import CommitLog
 from txlake.sources.envelope import (decode_envelope, encode_envelope, error_envelope_filter, error_response,
                                      explode_transactions, flatten_transaction, poll_window_extract)
 from txlake.sources.fixtures import (ENVELOPE_FROM_EVENTS, envelope_rows_from_events, load_transactions, read_table,
                                      tx_from_events, tx_sql_select)
 from txlake.sources.io import read_tx_stream
+from txlake.sources.poll import poll_messages, publish_once
 from txlake.sources.transactions import land_transactions, read_lake_stream, scan_transactions
 from txlake.streaming import eventtime as et
 from txlake.streaming import microbatch as mb
@@ -156,10 +160,12 @@ SELECT from_address, {_mean('gas')} AS avg_gas_used, max(gas) AS max_gas_used, m
 FROM tx GROUP BY from_address""",
     "address_activity": "SELECT from_address, count(hash) AS transaction_count FROM tx GROUP BY from_address",
     "hourly_gas_usage": """
-SELECT hour, CAST(max(s) AS BIGINT) AS total_gas_used
-FROM (SELECT CAST(block_timestamp AS DATE) AS d, CAST(hour(block_timestamp) AS INTEGER) AS hour,
-             sum(receipt_cumulative_gas_used) AS s
-      FROM tx GROUP BY 1, 2)
+SELECT hour, CAST(max(running) AS BIGINT) AS total_gas_used
+FROM (SELECT CAST(hour(block_timestamp) AS INTEGER) AS hour,
+             sum(receipt_cumulative_gas_used) OVER (
+               PARTITION BY CAST(block_timestamp AS DATE), hour(block_timestamp) ORDER BY block_timestamp
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+      FROM tx)
 GROUP BY hour""",
     "cumulative_gas_in_hour": """
 SELECT hash, block_timestamp, CAST(hour(block_timestamp) AS INTEGER) AS hour,
@@ -242,7 +248,7 @@ ERROR_EVERY = 7  # every 7th message (id % 7 = 3) is an API error response in th
 def encoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bus records (``message_id, value, timestamp``) encoded from ``events``."""
     rows = envelope_rows_from_events(read_table(spark, sf_dir, "events"))
-    return encode_envelope(rows, "message_id", tx_type=F.col("txType"))
+    return encode_envelope(rows, "message_id", tx_type=F.col("txType")).drop("message_no")
 
 
 MESSAGE_SCHEMA = "message_id bigint, value string, timestamp timestamp"
@@ -475,16 +481,81 @@ def q_schema(fn, spark: SparkSession, params: dict):
     return fn(spark.createDataFrame([], TX_SCHEMA_EXT), **params).schema
 
 
-def q_stream_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _consumer_sinks(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
     """R06 + S03 + S08: message files -> stream -> decode -> foreachBatch R01-R05
-    -> batch_id-partitioned sinks; returns the R01 sink (one input batch)."""
-    ensure_utc(spark)
+    -> batch_id-partitioned sinks (one input batch)."""
     src = message_table(spark, sf_dir)
-    sinks, ck = scratch_path(spark, "rt-sinks"), scratch_path(spark, "rt-ckpt")
-    q = run_stream(read_tx_stream(spark, "parquet", src, schema=MESSAGE_SCHEMA), sinks, ck,
-                   trigger={"availableNow": True}, parallel_jobs=len(mb.MICROBATCH_ANALYTICS))
-    run_to_completion(q)
-    return spark.read.parquet(f"{sinks}/rt_transaction_type_count").select("txType", "running_count")
+
+    def write(sinks: str) -> None:
+        q = run_stream(read_tx_stream(spark, "parquet", src, schema=MESSAGE_SCHEMA), sinks, scratch_path(spark, "rt-ckpt"),
+                       trigger={"availableNow": True}, parallel_jobs=len(mb.MICROBATCH_ANALYTICS))
+        run_to_completion(q)
+    return _derived_table(spark, sf_dir, "rt-sinks", write, fresh)
+
+
+def _sink(name: str, fresh: bool = False) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return spark.read.parquet(f"{_consumer_sinks(spark, sf_dir, fresh)}/{name}").drop("batch_id")
+    run.__name__ = f"stream_consumer_{name}"
+    return run
+
+
+# ---------------------------------------------------------------------------
+# The poll chain (S11 -> S12 -> S13) and the consumer behind it.
+# ---------------------------------------------------------------------------
+
+POLLS = {"first": dt.datetime(2024, 1, 2), "polls": 60, "every": "12 hours", "frame": "1 day", "delay": "5 minutes"}
+POLLED_SCHEMA = "poll_id bigint, message_no bigint, value string, timestamp timestamp"
+
+
+def polled_messages(spark: SparkSession, sf_dir: str) -> str:
+    """The messages of 60 polls with frames that overlap by half."""
+    return _derived_table(spark, sf_dir, "polled",
+                          lambda p: poll_messages(load_transactions(spark, sf_dir), **POLLS).write.parquet(p))
+
+
+def q_poll_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames -> pages of 100 -> JSON messages -> error filter -> decode -> explode -> flat rows."""
+    ensure_utc(spark)
+    raw = spark.read.schema(POLLED_SCHEMA).parquet(polled_messages(spark, sf_dir))
+    good, _errors = error_envelope_filter(raw)
+    keys = ("poll_id", "message_no")
+    return zone_less(flatten_transaction(explode_transactions(decode_envelope(good, keep=keys), keep=keys), keep=keys))
+
+
+def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumer with dedup over overlapping polls; then all messages come again, and the stream starts again from
+    its checkpoint. Returns the committed R01 output: every transaction once."""
+    ensure_utc(spark)
+    messages = spark.read.schema(POLLED_SCHEMA).parquet(polled_messages(spark, sf_dir))
+    bus, sinks, ck = (scratch_path(spark, n) for n in ("dedup-bus", "dedup-sinks", "dedup-ckpt"))
+    for epoch in range(2):
+        publish_once(messages, "parquet", bus, epoch)
+        q = run_stream(read_tx_stream(spark, "parquet", bus), sinks, ck, trigger={"availableNow": True}, dedup="1 day",
+                       committed=True, parallel_jobs=len(mb.MICROBATCH_ANALYTICS),
+                       state_partitions=partitions_for_input(spark, bus))
+        run_to_completion(q)
+    return CommitLog(spark, sinks).read("rt_transaction_type_count").drop("batch_id")
+
+
+# ---------------------------------------------------------------------------
+# The ten outputs of the batch job (S06), committed together and read back.
+# ---------------------------------------------------------------------------
+
+def _job_output(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        base = _derived_table(spark, sf_dir, "batch-job",
+                              lambda p: run_batch_job(load_transactions(spark, sf_dir), p, committed=True))
+        return zone_less(CommitLog(spark, base).read(name))
+    run.__name__ = f"batch_job_{name}"
+    return run
+
+
+#: Output of the job -> key of the query whose oracle it shares.
+JOB_KEYS = {name: name for name in JOB_OUTPUTS} | {
+    "efficiency_analysis": "fee_stats_by_type", "transaction_counts": "transaction_category_counts"}
 
 
 STREAM_QUERIES: dict[str, Query] = {
@@ -493,7 +564,26 @@ STREAM_QUERIES: dict[str, Query] = {
     "new_contracts_stream": _stream(et.new_contracts_stream, "new_contracts_stream", keyless=True),
     "large_transfers_stream": _stream(et.large_transfers_stream, "large_transfers_stream", stateful=False),
     "suspicious_activity_stream": _stream(et.suspicious_activity_stream, "suspicious_activity_stream"),
-    "stream_consumer": q_stream_consumer,
+    "stream_consumer": _sink("rt_transaction_type_count", fresh=True),
+    **{f"stream_consumer_{name}": _sink(name) for name in mb.MICROBATCH_ANALYTICS if name != "rt_transaction_type_count"},
+    "poll_publish_round_trip": q_poll_publish_round_trip,
+    "dedup_stream": q_dedup_stream,
+}
+
+JOB_QUERIES: dict[str, Query] = {f"batch_job_{name}": _job_output(name) for name in JOB_OUTPUTS}
+
+_POLL_END = f"TIMESTAMP '{POLLS['first']}' - INTERVAL '{POLLS['delay']}'"
+POLL_ORACLE: dict[str, str] = {
+    "poll_publish_round_trip": f"""
+SELECT poll_id, CAST(place // 100 AS BIGINT) AS message_no, {_FLAT.format(t="CAST(transaction_type AS VARCHAR)")}
+FROM (SELECT tx.*, poll_id, row_number() OVER (PARTITION BY poll_id ORDER BY block_timestamp DESC, hash) - 1 AS place
+      FROM tx JOIN (SELECT range AS poll_id, {_POLL_END} + range * INTERVAL '{POLLS['every']}' AS till
+                    FROM range({POLLS['polls']})) p
+      ON block_timestamp BETWEEN till - INTERVAL '{POLLS['frame']}' AND till)""",
+    "dedup_stream": f"""
+SELECT CAST(transaction_type AS VARCHAR) AS txType, row_number() OVER (PARTITION BY transaction_type ORDER BY hash) AS running_count
+FROM tx WHERE block_timestamp BETWEEN {_POLL_END} - INTERVAL '{POLLS['frame']}'
+                                  AND {_POLL_END} + {POLLS['polls'] - 1} * INTERVAL '{POLLS['every']}'""",
 }
 
 _EMITTED = f"window_end <= (SELECT max(block_timestamp) FROM tx) - INTERVAL '{STREAM_WATERMARK}'"
@@ -536,6 +626,7 @@ def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:
     _landed(spark, sf_dir)
     message_table(spark, sf_dir)
     _tx_stream_source(spark, sf_dir)
+    polled_messages(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -543,6 +634,7 @@ def queries() -> dict[str, Query]:
     out.update(ENVELOPE_QUERIES)
     out.update(REALTIME_QUERIES)
     out.update(STREAM_QUERIES)
+    out.update(JOB_QUERIES)
     return out
 
 
@@ -552,4 +644,8 @@ def oracle_sql() -> dict[str, str]:
     out.update({k: TX_CTE + v.strip() for k, v in REALTIME_ORACLE.items()})
     out.update({k: TX_CTE + v.strip() for k, v in STREAM_ORACLE.items()})
     out["stream_consumer"] = ENVELOPE_ORACLE["rt_transaction_type_count"].strip()
+    out.update({k: ENVELOPE_ORACLE[k.removeprefix("stream_consumer_")].strip() for k in STREAM_QUERIES
+                if k.startswith("stream_consumer_")})
+    out.update({k: TX_CTE + v.strip() for k, v in POLL_ORACLE.items()})
+    out.update({f"batch_job_{name}": out[key] for name, key in JOB_KEYS.items()})
     return out

@@ -22,6 +22,7 @@ TOP_N = 10                    # rows shown by the console reports
 POLL_LIMIT = 100              # newest transactions per poll frame
 POLL_FRAME = "10 minutes"     # poll frame length
 POLL_DELAY = "5 minutes"      # frame end = now - 5 minutes
+POLL_EVERY = "5 minutes"      # time between two polls
 SIMPLE_TRANSFER = "simple_transfer"
 CONTRACT_INTERACTION = "contract_interaction"
 

@@ -89,6 +89,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder in one step; fails if ``target`` is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = b.getFileSystem(conf)
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
+def scratch_sibling(path: str, name: str) -> str:
+    """A new folder beside the data in ``path``, on the same file system; the leading ``_`` hides it from readers."""
+    return f"{path.rstrip('/')}/{name if name.startswith('_') else '_' + name}-{uuid.uuid4().hex[:12]}"
+
+
 def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
     """Shuffle settings for an input of ``input_bytes`` on ``total_cores`` cores.
 

@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txlake.functions.units import floored
+from txlake.operators.prefix import running_sum, split_crowded
 from txlake.schema import (BLOCK_TIMESTAMP, ENVELOPE_SCHEMA, FROM_ADDRESS, GAS, GAS_PRICE, HASH, NONCE,
                            POLL_LIMIT, TO_ADDRESS, TRANSACTION_TYPE, WEI_PER_ETH)
 
+MESSAGE_NO = "message_no"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -32,22 +35,45 @@ def envelope_tx_struct(tx_type: Column | None = None) -> Column:
     )
 
 
-def encode_envelope(rows: DataFrame, message_key: str | list[str] = "message_id",
-                    tx_type: Column | None = None) -> DataFrame:
+def paged(rows: DataFrame, keys: list[str], page_rows: int, split_rows: int | None = None) -> DataFrame:
+    """Adds ``message_no`` to rows of ``_tx``, ``_ts`` and ``_hash``: newest first, ``page_rows`` rows a page, from 0 for each key.
+
+    Rows are counted by instant and, in crowded instants, by the first digits of the hash, so no task holds a key."""
+    ids = [f"_key{i}" for i in range(len(keys))]
+    # Newest first; rows without a time are the oldest.
+    known = {i: F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for i, k in zip(ids, keys)}
+    oldest = F.lit((1 << 63) - 1)
+    rows = rows.withColumns({**known, "_back": F.coalesce(-F.unix_micros("_ts"), oldest)})
+    rows = rows.withColumn("_day", floored(F.col("_back"), 86_400_000_000))
+    rows = split_crowded(rows, [*ids, "_day", "_back"], "_hash", split_rows)
+    order = [F.col("_hash").asc_nulls_first()]
+    counted = running_sum(rows, ids, [["_day"], ["_back", "_part"]], order, F.lit(1).cast("long"), "_place")
+    return counted.withColumn(MESSAGE_NO, floored(F.col("_place") - 1, page_rows))
+
+
+def encode_envelope(rows: DataFrame, message_key: str | list[str] | None = "message_id",
+                    tx_type: Column | None = None, page_rows: int | None = POLL_LIMIT) -> DataFrame:
     """Pack transactions into JSON messages ``{"data":{"ethereum":{"transactions":[...]}}}``.
 
-    One message per ``message_key`` value, transactions newest first (as the
-    poller returns them), plus ``timestamp`` = newest block time (the key
-    columns are kept; drop them for a bus record of ``value, timestamp``). The key
-    must bound the message size (the poller's limit is 100 per message);
-    the grouping is a partial/final hash aggregation.
+    ``rows`` are transaction-table rows or carry nested transactions in a column ``transaction`` (as
+    :func:`poll_window_extract` gives them). A message holds rows of one ``message_key`` value (a column, several, or
+    None for all rows), transactions newest first (as the
+    poller returns them), plus ``timestamp`` = newest block time. The rows of a key are cut into messages of at most
+    ``page_rows`` transactions, numbered by ``message_no`` from the newest on; with ``page_rows=None`` the key itself must
+    bound the message. The key columns are kept; drop them for a bus record of ``value, timestamp``.
     """
-    keys = [message_key] if isinstance(message_key, str) else list(message_key)
-    txs = F.sort_array(F.collect_list(envelope_tx_struct(tx_type)), asc=False)
-    grouped = rows.groupBy(*keys).agg(txs.alias("transactions"), F.max(BLOCK_TIMESTAMP).alias("timestamp"))
+    keys = [] if message_key is None else [message_key] if isinstance(message_key, str) else list(message_key)
+    nested = "transaction" in rows.columns
+    flat = rows.select(
+        *keys, (F.col("transaction") if nested else envelope_tx_struct(tx_type)).alias("_tx"),
+        (F.try_to_timestamp("transaction.block.timestamp.iso8601") if nested else F.col(BLOCK_TIMESTAMP)).alias("_ts"),
+        (F.col("transaction.hash") if nested else F.col(HASH)).alias("_hash"))
+    flat = flat.withColumn(MESSAGE_NO, F.lit(0).cast("long")) if page_rows is None else paged(flat, keys, int(page_rows))
+    txs = F.sort_array(F.collect_list("_tx"), asc=False)
+    grouped = flat.groupBy(*keys, MESSAGE_NO).agg(txs.alias("transactions"), F.max("_ts").alias("timestamp"))
     value = F.to_json(F.struct(F.struct(F.struct(F.col("transactions").alias("transactions"))
                                         .alias("ethereum")).alias("data")))
-    return grouped.select(*keys, value.alias("value"), F.col("timestamp"))
+    return grouped.select(*keys, MESSAGE_NO, value.alias("value"), F.col("timestamp"))
 
 
 def error_response(message: Column) -> Column:

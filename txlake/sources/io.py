@@ -14,6 +14,8 @@ from txlake.schema import RAW_MESSAGE_SCHEMA
 
 FILE_FORMATS = {"parquet", "json", "orc", "csv", "text", "delta"}
 DOCUMENT_STORES = {"mongo", "mongodb"}
+#: Formats that keep nothing, or keep it under a query's name.
+WITHOUT_TARGET = {"noop", "console", "memory"}
 
 
 def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema=None,
@@ -43,6 +45,8 @@ def read_tx_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = N
 def target_options(fmt: str, name: str, options: dict) -> dict:
     """Options of a sink that is neither files nor a document store, with ``{name}`` filled in. Without a
     ``{name}`` all results would overwrite one target."""
+    if fmt in WITHOUT_TARGET:
+        return dict(options)
     if not any("{name}" in str(v) for v in options.values()):
         raise ValueError(f"format {fmt!r} needs an option with {{name}}, so that every result has its own target")
     return {k: str(v).replace("{name}", name) for k, v in options.items()}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.schema import BLOCK_TIMESTAMP, DATE, LAST_MODIFIED, TX_SCHEMA, TX_SCHEMA_EXT
+from txlake.schema import BLOCK_TIMESTAMP, DATE, HASH, LAST_MODIFIED, TX_SCHEMA, TX_SCHEMA_EXT
+from txlake.session import path_exists
 
 
 def scan_transactions(spark: SparkSession, path: str, start_date: str | None = None,
@@ -59,8 +60,31 @@ def conform_transactions(raw: DataFrame, with_last_modified: bool | None = None)
     return raw.select(*cols)
 
 
+def row_key() -> Column:
+    """A transaction's hash; one without a hash is told by its content."""
+    content = F.sha2(F.to_json(F.struct(*[F.col(f.name) for f in TX_SCHEMA.fields])), 256)
+    return F.coalesce(F.col(HASH), content)
+
+
+def without_landed(conformed: DataFrame, path: str) -> DataFrame:
+    """Rows whose transaction the lake at ``path`` does not have yet on their date.
+
+    Only the partitions of the rows' own dates are read (their list comes to the driver: one value a calendar day), and of
+    them only dates and hashes. The anti-join's keys are (date, hash), so a date with a third of all rows is spread; where
+    those dates are empty, the join vanishes at run time."""
+    spark = conformed.sparkSession
+    if not path_exists(spark, path):
+        return conformed
+    dates = [r[0] for r in conformed.select(DATE).distinct().collect()]
+    day = F.coalesce(F.col(DATE), F.lit(""))
+    landed = spark.read.schema(TX_SCHEMA).parquet(path).where(F.col(DATE).isin([d for d in dates if d is not None]) | F.col(DATE).isNull())
+    landed = landed.select(day.alias("_day"), row_key().alias("_key"))
+    new = conformed.withColumns({"_day": day, "_key": row_key()})
+    return new.join(landed, ["_day", "_key"], "left_anti").drop("_day", "_key")
+
+
 def land_transactions(raw: DataFrame, path: str, mode: str = "append",
-                      with_last_modified: bool | None = None) -> None:
+                      with_last_modified: bool | None = None, skip_landed: bool = True) -> None:
     """Conform raw rows and write them ``date``-partitioned.
 
     Rows are rebalanced on ``date`` (``REBALANCE`` hint): one shuffle, after
@@ -69,11 +93,35 @@ def land_transactions(raw: DataFrame, path: str, mode: str = "append",
     a few files of sensible size, without the extra sampling pass over the
     input that a range repartition runs first. With ``mode="overwrite"`` and
     dynamic partition overwrite only the dates present in ``raw`` are
-    replaced, so a re-run after a failure is idempotent.
+    replaced; with ``append`` and ``skip_landed`` transactions that the lake has are left out (the lake's row stays, if the
+    contents differ). So a re-run after a failure is idempotent either way. Copies inside ``raw`` are kept.
     """
     conformed = conform_transactions(raw, with_last_modified)
+    if mode == "append" and skip_landed:
+        conformed = without_landed(conformed, path)
     (conformed.hint("rebalance", DATE)
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(DATE)
      .parquet(path))
+
+
+FILE_FACTS = ["path", "length", "modificationTime"]
+
+
+def land_folder(spark: SparkSession, source: str, path: str, with_last_modified: bool | None = None) -> int:
+    """Lands the Parquet files under ``source`` that were not landed before; returns how many.
+
+    The lake keeps a table of the files it has (path, length, time) in its folder ``_landing``, which readers of the lake
+    do not see. It is written after the rows: a run that dies in between finds its files again and leaves out their rows by hash."""
+    known = f"{path.rstrip('/')}/_landing"
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(source).select(*FILE_FACTS))
+    if path_exists(spark, known):
+        files = files.join(spark.read.parquet(known), FILE_FACTS, "left_anti")
+    found = files.collect()  # the list that the reader needs as well
+    if found:
+        raw = spark.read.option("basePath", source).parquet(*[r.path for r in found])
+        land_transactions(raw, path, "append", with_last_modified)
+        spark.createDataFrame(found, files.schema).coalesce(1).write.mode("append").parquet(known)
+    return len(found)
