@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from txlake.llm import divergence, lexical, line_dedup
+from txlake.llm import divergence, lexical, line_dedup, near_duplicates, repeats, secret_scan
 
 #: Column names that the operators use inside are data here.
 SCHEMA = "doc_id long, text string, lang string, source string, row string, `n.docs` string, keep string, term string, item string"
@@ -213,3 +213,24 @@ def test_shares_are_exact(spark):
     want = [1 + 10**9 * (a + 1) // b for a, b in values]
     assert got == want
     assert [1 + int(divergence.divided(np.int64(a + 1), np.int64(b), np.divmod)) for a, b in values] == want
+
+
+def test_survivors_are_chosen_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    near = a.replace("a39", "changed")
+    rows = [(1, a), (1, b), (2, a), (None, c), (None, c), (None, d), (3, near), (4, b), (7, ""), (7, ""), (None, None), (9, d), (9, d)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `a.b` int").repartition(3)
+    got = near_duplicates.survivors(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, c), (9, d), (7, ""), (7, ""), (None, None)], key=str)
+    assert near_duplicates.survivors(docs.where("false")).count() == 0
+
+
+def test_names_with_dots(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, words, "x"), (2, "own\n" + words + " tail", "y"), (3, words, "z")], "doc_id long, text string, `a.b` string")
+    got = repeats.without_repeats(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(1, words, "x"), (2, "own tail", "y")]
+    assert secret_scan.redacted(docs).columns == docs.columns

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlake.session import checkpoint_root
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder of ``spark.checkpoint.dir``; later reads survive lost executors."""
     checkpoint_root(df.sparkSession)

@@ -15,7 +15,7 @@ probability (1 - 0.8 ** 4) ** 40, below 1e-9.
 
 Defined cases: null, empty and wordless texts have an empty set and stand alone; a text with fewer words than a
 shingle has its whole sequence as the one shingle; a null doc_id belongs to its text's component, and is kept only if
-no id is in it; rows that repeat a doc_id are documents of their own; extra columns are ignored by ``groups`` and
+no id is in it; rows that repeat a doc_id are documents of their own, also for ``survivors``; extra columns are ignored by ``groups`` and
 kept by ``survivors``; an empty table gives an empty result.
 """
 
@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -114,8 +114,13 @@ def estimated(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return np.take_along_axis(grid, likelihood.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
+def row_of(docs: DataFrame) -> Column:
+    """Tells rows with the same doc_id apart by their texts."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, the class (digest of the set) and its registers; one pass, no shuffle."""
+    """doc_id, row (a hash of the text), n_shingles, the class (digest of the set) and its registers; one pass, no shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sketcher = SpanHasher(fold=True), Sketcher()
@@ -127,13 +132,12 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
                 if len(s) and d not in known:
                     known[d] = sketcher(s).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([known.get(d) for d in digests], pa.binary())],
-                ["doc_id", "n_shingles", "class", "registers"],
+                [part.column("doc_id"), part.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([known.get(d) for d in digests], pa.binary())],
+                ["doc_id", "row", "n_shingles", "class", "registers"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, class binary, registers binary"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), row_of(docs).alias("row"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, row long, n_shingles long, class binary, registers binary")
 
 
 def banded(classes: DataFrame) -> DataFrame:
@@ -260,8 +264,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("cluster", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
 
 
-def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept, for every row."""
+def labelled(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(the sketched rows, the classes of those with words, class and label: the least class reachable over links)."""
     rows = stored(sketched(docs, size))
     classes = rows.where("n_shingles > 0").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.min("registers").alias("registers")
@@ -285,6 +289,12 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     members = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
     labels = components(block_links(members, sets_of(clusters.select("class"), docs, classes, size), percent))
     labels = classes.select("class").join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("label", "class").alias("label"))
+    return rows, classes, labels
+
+
+def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept, for every row."""
+    rows, classes, labels = labelled(docs, size, percent)
     smallest = labels.join(classes, "class").groupBy("label").agg(F.min("first_id").alias("component_id"))
     ids = labels.join(smallest, "label").select(F.col("class").alias("of"), "component_id")
     named = rows.join(ids, F.col("class") == F.col("of"), "left")
@@ -293,10 +303,17 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def survivors(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, with all their columns. Of rows that repeat a doc_id
-    one stays, the one with the least hash of its text; rows without a doc_id stay unless their group has an id."""
-    found = groups(docs, size, percent).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["__kept_id"], "left_semi")
-    one = kept.groupBy(F.col("doc_id").alias("__kept_id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("__row"))
-    nameless = docs.where(F.col("doc_id").isNull()).join(found.where(F.col("__kept_id").isNull()), how="left_semi")
-    return one.select("__row.*").union(nameless)
+    """One row of ``docs`` for each component, with all its columns: the one with the smallest doc_id, without an id the
+    last; where a doc_id repeats, the one with the least class and hash of its text. Rows without words all stay. Decided
+    by row: a row goes only if the row that stays is linked with it over its own text."""
+    rows, _, labels = labelled(docs, size, percent)
+    copies = rows.groupBy("doc_id", "row", "n_shingles", "class").agg(F.count(F.lit(1)).alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "class", "row", "copies")
+    first = copies.join(labels, "class").groupBy("label").agg(F.min(place).alias("first")).select("first.doc_id", "first.row", "first.copies")
+    bare = copies.where("n_shingles = 0").select("doc_id", "row", F.lit(1).alias("copies"))
+    staying = first.union(bare).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("copies").alias("__copies"))
+    told = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (row_of(docs) == F.col("__row"))
+    kept = docs.join(staying, told)
+    # Rows equal in id and text are one row; only those are brought together.
+    once = kept.where("__copies > 1").dropDuplicates(["__id", "__row"])
+    return kept.where("__copies = 1").union(once).drop("__id", "__row", "__copies")

@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import width
+from .common import named, width
 from .textops import SpanHasher, slices, text_buffer, text_of_words, window_hashes, word_spans
 
 SIZE, GRAM = 13, 5
@@ -263,27 +264,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     they are. Other columns are kept."""
     columns = docs.columns
     schema = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")).schema
-    others = F.struct(*[F.col(c) for c in columns if c not in ("doc_id", "text")]) if len(columns) > 2 else F.struct(F.lit(0).alias("none"))
+    others = F.struct(*[named(c) for c in columns if c not in ("doc_id", "text")]) if len(columns) > 2 else F.struct(F.lit(0).alias("none"))
     texts = dealt(docs.select("doc_id", "text"))
 
     def run(text: pa.Table, confirmed: pa.Table) -> pa.Table:
-        ids, new, row = [], [], []
+        out = []
         for part, rows in located(text.select(["doc_id", "text", "others"]), confirmed):
-            whole = part.column("text").to_pylist()
-            for i, (raw, words, gone) in enumerate(rows):
-                if not gone.any():
-                    ids.append(part.column("doc_id")[i].as_py())
-                    new.append(whole[i])
-                elif not gone.all():
-                    ids.append(part.column("doc_id")[i].as_py())
-                    new.append(remaining(raw, gone))
-                else:
-                    continue
-                row.append(part.column("others").slice(i, 1))
-        kind = text.schema.field("others").type
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(new, pa.string()), "others": pa.concat_arrays(row) if row else pa.array([], kind)})
+            # Rows of which nothing goes are taken as they are, the others' texts are written anew.
+            at = [i for i, (_, _, gone) in enumerate(rows) if not gone.any() or not gone.all()]
+            kept = part.take(pa.array(at, pa.int64()))
+            if any(rows[i][2].any() for i in at):
+                whole = kept.column("text").to_pylist()
+                new = [remaining(rows[i][0], rows[i][2]) if rows[i][2].any() else t for i, t in zip(at, whole)]
+                kept = kept.set_column(1, "text", pa.array(new, pa.string()))
+            out.append(kept)
+        return pa.Table.from_batches(out, schema=text.select(["doc_id", "text", "others"]).schema) if out else text.select(["doc_id", "text", "others"]).slice(0, 0)
 
     carried = dealt(docs.select("doc_id", "text", others.alias("others")))
-    kind = carried.schema["others"].dataType.simpleString()
-    out = carried.groupBy("shard").cogroup(confirmed_windows(texts).groupBy("shard")).applyInArrow(run, f"doc_id long, text string, others {kind}")
-    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"others.`{c}`").alias(c) for c in columns]).to(schema)
+    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), carried.schema["others"]])
+    out = carried.groupBy("shard").cogroup(confirmed_windows(texts).groupBy("shard")).applyInArrow(run, kind)
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("others").getField(c).alias(c) for c in columns]).to(schema)
