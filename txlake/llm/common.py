@@ -61,3 +61,19 @@ def process_cache(name: str, build):
     if not hasattr(home, name):
         setattr(home, name, build())
     return getattr(home, name)
+
+
+def forget_process_cache() -> None:
+    """Gives back what earlier operators left in this Python worker: workers live on from stage to stage."""
+    import ctypes
+    import sys
+
+    import pyarrow as pa
+
+    home = sys.modules.pop("txlake_process_cache", None)
+    if home is not None:
+        vars(home).clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only; elsewhere freed pages go back by themselves
+        if trim is not None:
+            trim(0)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget_process_cache, stored
 from .graph import components
 from .textops import BASE, SpanHasher, mix, slices, text_buffer, window_hashes, word_spans
 from .wordids import gathered
@@ -123,6 +123,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, row (a hash of the text), n_shingles, the class (digest of the set) and its registers; one pass, no shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_process_cache()
         hasher, sketcher = SpanHasher(fold=True), Sketcher()
         for part in slices(batches):
             sets = list(shingle_sets(part, size, hasher))

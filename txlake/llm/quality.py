@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget_process_cache, stored
 from .textops import SpanHasher, covered, is_space, line_spans, mix, per_text, slices, text_buffer, text_of_words, window_hashes, word_spans
 
 BASE_FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -95,6 +95,7 @@ def measure(docs: DataFrame) -> DataFrame:
     """doc_id, stratum (the language), the base counts and the signals of every row; one pass, no shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_process_cache()
         hasher = SpanHasher()
         for part in slices(batches):
             found = measured_slice(part, hasher)
@@ -183,6 +184,7 @@ def accepted(docs: DataFrame, labels: DataFrame, max_false: float = 0.05, delta:
     cutoffs = calibrate(stored(measure(docs)), labels, max_false, delta)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_process_cache()
         hasher = SpanHasher()
         for part in slices(batches):
             found = measured_slice(part, hasher)
