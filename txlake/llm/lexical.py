@@ -1,7 +1,7 @@
 """Ranked lexical search by K2-treaps over the grid of terms and documents.
 
-Every slice of documents becomes one grid: a row for each of its terms (the frequent ones first, so that rare rows lie
-among empty ones), a column for each document (by doc_id), and in a cell the impact of the term in the document,
+Every slice of documents becomes one grid: a row for each of its terms, a column for each document, arranged so
+that much of it is empty, and in a cell the impact of the term in the document,
 (10^9 tf) div (1000 tf + 12 m). A K2-treap stores it: the root is the whole square, and every node holds the largest cell
 of its quadrant that no node above it holds, so there are as many nodes as cells, and a node's impact bounds all below it.
 Level by level a node has four bits for its children, the place of its cell inside its quadrant in as few bytes as
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from txlake.session import scratch_path
 
 from .textops import SpanHasher, is_between_terms, mix, slices, text_buffer, text_of_words, word_spans
+from .wordids import gathered
 
 SLICE = 8 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -41,7 +42,9 @@ NO_ID = np.iinfo(np.int64).max
 PACK_TERMS = 1 << 19
 DESCENT_TERMS = 1 << 13
 #: Ranges that an item splits in a round.
-BEAM = 8
+BEAM = 64
+#: Parts of a grid's documents by which its terms are arranged.
+PARTS = 16
 INDEX = "docs array<long>, terms binary, df binary, height int, levels array<struct<masks:binary,places:binary,drops:binary>>"
 #: For a node's child bits and a quadrant: how many children come before it.
 BEFORE = np.array([[bin(bits & ((1 << k) - 1)).count("1") for k in range(4)] for bits in range(16)])
@@ -111,11 +114,33 @@ def treap(rows: np.ndarray, cols: np.ndarray, impact: np.ndarray) -> tuple[int,
     return height, levels
 
 
+def inverted(order: np.ndarray) -> np.ndarray:
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return place
+
+
+def arranged(row: np.ndarray, col: np.ndarray, df: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the terms, order of the documents) that leaves much of the grid empty.
+
+    Documents with the same most frequent term lie together, which tells languages apart; terms lie by the part of
+    the documents that they are in, there the frequent ones first."""
+    by_df = inverted(np.argsort(-df, kind="stable"))
+    commonest = np.full(len(ids), len(df))
+    np.minimum.at(commonest, col, by_df[row])
+    of_col = np.lexsort((ids, commonest))
+    middle = np.bincount(row, inverted(of_col)[col]) / df
+    return np.lexsort((-df, (middle * PARTS // len(ids)).astype(np.int64))), of_col
+
+
 class Grid:
     """A slice's tree with the row, column and impact of every node, and where its children begin."""
 
     def __init__(self, docs: np.ndarray, terms: np.ndarray, height: int, levels: list[dict[str, bytes]]):
-        self.docs, self.height = docs, height
+        self.docs, self.height, self.least = docs, height, [docs]
+        for _ in range(height):
+            below = self.least[-1]
+            self.least.append(np.minimum.reduceat(below, np.arange(0, len(below), 2)))
         self.by_hash = np.argsort(terms)
         self.sorted = terms[self.by_hash]
         masks, codes, impacts, first = [], [], [], []
@@ -177,77 +202,112 @@ def run_heads(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
 
 
+class Store:
+    """Entries of ranges, in columns that only grow until more than half of them belong to no range."""
+
+    NAMES = ("term", "node", "col", "impact")
+
+    def __init__(self):
+        self.columns, self.n = {k: np.zeros(1 << 12, np.int64) for k in self.NAMES}, 0
+
+    def add(self, *columns: np.ndarray) -> int:
+        """The place of the first of the new entries."""
+        begin, self.n = self.n, self.n + len(columns[0])
+        for k, new in zip(self.NAMES, columns):
+            if self.n > len(self.columns[k]):
+                self.columns[k] = np.concatenate([self.columns[k][:begin], np.zeros(2 * self.n - begin, np.int64)])
+            self.columns[k][begin : self.n] = new
+        return begin
+
+    def of(self, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        at = gathered(np.arange(self.n), start, size)
+        return [self.columns[k][at] for k in self.NAMES]
+
+
 def descend(grid: Grid, best: Best, item: np.ndarray, row: np.ndarray, weight: np.ndarray) -> None:
     """Enters into ``best`` the documents of ``grid`` for the terms (item, row, weight), sorted by item.
 
     An entry is a term of a range with the node on its path (-1: a cell met above, with its column) and its impact.
-    Ranges are (item, level, block of columns, bound); their entries lie one behind another."""
-    height = grid.height
+    A range has an item, a level, a block of columns, a bound, and the place and number of its entries."""
+    height, store = grid.height, Store()
     items, heads = np.unique(item, return_index=True)
+    n = len(items)
+    store.add(np.arange(len(item)), np.zeros(len(item), np.int64), np.full(len(item), -1), np.repeat(grid.impact[:1], len(item)))
     sizes = np.diff(np.append(heads, len(item)))
-    ranges = {"item": items, "level": np.zeros(len(items), np.int64), "block": np.zeros(len(items), np.int64), "bound": np.full(len(items), np.iinfo(np.int64).max), "size": sizes}
-    entries = {"term": np.arange(len(item)), "node": np.zeros(len(item), np.int64), "col": np.full(len(item), -1), "impact": np.repeat(grid.impact[:1], len(item))}
-    while len(ranges["item"]):
+    ranges = np.stack([items, np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max), heads, sizes])
+    while ranges.shape[1]:
         # The best ranges of every item are split, the others wait.
-        order = np.lexsort((-ranges["bound"], ranges["item"]))
+        order = np.lexsort((-ranges[3], ranges[0]))
         chosen = np.zeros(len(order), bool)
-        chosen[order[placed(ranges["item"][order]) < BEAM]] = True
-        mine = np.repeat(chosen, ranges["size"])
-        own = {k: v[chosen] for k, v in ranges.items()}
-        waiting = {k: v[~chosen] for k, v in ranges.items()}, {k: v[~mine] for k, v in entries.items()}
-        term, node, col, impact = (entries[k][mine] for k in ("term", "node", "col", "impact"))
-        of = np.repeat(np.arange(len(own["item"])), own["size"])
-        shift = height - own["level"][of] - 1
-
-        is_node = np.flatnonzero(node >= 0)
+        chosen[order[placed(ranges[0][order]) < BEAM]] = True
+        own_item, own_level, own_block, _, start, size = ranges[:, chosen]
+        term, node, col, impact = store.of(start, size)
+        of = np.repeat(np.arange(len(size)), size)
+        shift = height - own_level[of] - 1
+
+        is_node, cell = np.flatnonzero(node >= 0), np.flatnonzero(node < 0)
         x, row_bit = node[is_node], (row[term[is_node]] >> shift[is_node]) & 1
-        hit = is_node[grid.row[x] == row[term[is_node]]]
-        cell = np.flatnonzero(node < 0)
+        mask, first = grid.mask[x], grid.first[x]
+        at = grid.row[x] == row[term[is_node]]
+        hit, met = is_node[at], grid.col[x[at]]
         new = [
-            (of[cell], col[cell] >> shift[cell] & 1, term[cell], node[cell], col[cell], impact[cell]),
-            (of[hit], grid.col[node[hit]] >> shift[hit] & 1, term[hit], np.full(len(hit), -1), grid.col[node[hit]], grid.impact[node[hit]]),
+            (of[cell] * 2 + (col[cell] >> shift[cell] & 1), term[cell], node[cell], col[cell], impact[cell]),
+            (of[hit] * 2 + (met >> shift[hit] & 1), term[hit], np.full(len(hit), -1), met, impact[hit]),
         ]
         for half in (0, 1):
-            k, mask = 2 * row_bit + half, grid.mask[x]
+            k = 2 * row_bit + half
             has = (mask >> k) & 1 == 1
-            child = (grid.first[x] + BEFORE[mask, k])[has]
+            child = (first + BEFORE[mask, k])[has]
             to = is_node[has]
-            new.append((of[to], np.full(len(to), half), term[to], child, np.full(len(to), -1), grid.impact[child]))
-        of, half, term, node, col, impact = (np.concatenate(x) for x in zip(*new))
-        key = of * 2 + half
-        order = np.lexsort((-impact, term, key))
-        key, term, node, col, impact = (x[order] for x in (key, term, node, col, impact))
+            new.append((of[to] * 2 + half, term[to], child, np.full(len(to), -1), grid.impact[child]))
+        key, term, node, col, impact = (np.concatenate(x) for x in zip(*new))
+        both = key * len(item) + term
+        order = np.argsort(both, kind="stable")
+        both, key, term, node, col, impact = (x[order] for x in (both, key, term, node, col, impact))
 
         # A term counts once in a bound, with its largest impact.
-        heads = run_heads(key)
+        heads, terms = run_heads(key), run_heads(both)
         sizes = np.diff(np.append(heads, len(key)))
-        largest = np.concatenate([[True], (key[1:] != key[:-1]) | (term[1:] != term[:-1])])[: len(key)]
         parent = key[heads] >> 1
-        bound = np.add.reduceat(np.where(largest, weight[term] * impact, 0), heads) if len(heads) else heads
-        level = own["level"][parent] + 1
-        found = {"item": own["item"][parent], "level": level, "block": own["block"][parent] * 2 + (key[heads] & 1), "bound": bound, "size": sizes}
-        nodes = np.add.reduceat((node >= 0).astype(np.int64), heads) if len(heads) else heads
-        done = (level == height) | (nodes == 0)
+        level = own_level[parent] + 1
+        if len(heads):
+            weighed = weight[term[terms]] * np.maximum.reduceat(impact, terms)
+            bound = np.add.reduceat(weighed, np.searchsorted(terms, heads))
+            done = (level == height) | (np.maximum.reduceat(node, heads) < 0)
+        else:
+            bound, done = heads, np.zeros(0, bool)
 
         # Single documents, and ranges of which only cells are left: here the sum by column is the score.
         ends = np.repeat(done, sizes)
         if ends.any():
-            its_item = np.repeat(found["item"], sizes)[ends]
+            its_item = np.repeat(own_item[parent], sizes)[ends]
             its_col = np.where(node[ends] >= 0, grid.col[node[ends]], col[ends])
             value = weight[term[ends]] * impact[ends]
             order = np.lexsort((its_col, its_item))
             its_item, its_col, value = its_item[order], its_col[order], value[order]
-            at = np.flatnonzero(np.concatenate([[True], (its_item[1:] != its_item[:-1]) | (its_col[1:] != its_col[:-1])]))
+            at = run_heads(its_item * (1 << height) + its_col)
             best.add(its_item[at], np.add.reduceat(value, at), grid.docs[its_col[at]])
 
-        pools = [{k: np.concatenate([a, b[~done]]) for (k, a), b in zip(waiting[0].items(), found.values())}]
-        pools.append({k: np.concatenate([a, b[~ends]]) for (k, a), b in zip(waiting[1].items(), (term, node, col, impact))})
-        ranges, entries = pools
-        begin = ranges["block"] << (height - ranges["level"])
-        real = begin < len(grid.docs)
-        stays = real & best.may_enter(ranges["item"], ranges["bound"], grid.docs[np.where(real, begin, 0)])
-        entries = {k: v[np.repeat(stays, ranges["size"])] for k, v in entries.items()}
-        ranges = {k: v[stays] for k, v in ranges.items()}
+        found = np.stack([own_item[parent], level, own_block[parent] * 2 + (key[heads] & 1), bound, heads, sizes])[:, ~done]
+        found = found[:, enterable(grid, best, found)]
+        at = gathered(np.arange(len(key)), found[4], found[5])
+        found[4] = store.add(term[at], node[at], col[at], impact[at]) + np.cumsum(found[5]) - found[5]
+        ranges = np.concatenate([ranges[:, ~chosen], found], axis=1)
+        if ends.any():
+            ranges = ranges[:, enterable(grid, best, ranges)]
+        if store.n > (1 << 16) and ranges[5].sum() * 2 < store.n:
+            kept, store = store.of(ranges[4], ranges[5]), Store()
+            store.add(*kept)
+            ranges[4] = np.cumsum(ranges[5]) - ranges[5]
+
+
+def enterable(grid: Grid, best: Best, ranges: np.ndarray) -> np.ndarray:
+    """If a document of the range may yet be one of its item's best."""
+    least = np.empty(ranges.shape[1], np.int64)
+    for level in np.unique(ranges[1]):
+        at = ranges[1] == level
+        least[at] = grid.least[grid.height - level][ranges[2][at]]
+    return best.may_enter(ranges[0], ranges[3], least)
 
 
 def corpus_size(docs: DataFrame) -> tuple[int, int]:
@@ -282,19 +342,14 @@ def index(docs: DataFrame, documents: int, terms: int) -> DataFrame:
             if not len(starts):
                 continue
             ids = part.column("doc_id").fill_null(int(NO_ID)).to_numpy()
-            by_id = np.argsort(ids, kind="stable")
-            column = np.empty(len(ids), np.int64)
-            column[by_id] = np.arange(len(ids))
             owner, term = text_of_words(first), hasher(data, starts, ends)
             _, at, tf = np.unique(mix(term ^ mix(owner.astype(np.uint64))), return_index=True, return_counts=True)
             own, row, df = np.unique(term[at], return_inverse=True, return_counts=True)
-            by_df = np.argsort(-df, kind="stable")
-            place = np.empty(len(own), np.int64)
-            place[by_df] = np.arange(len(own))
             m = length_terms(np.diff(first), documents, terms)
             impact = 1_000_000_000 * tf // (1000 * tf + 12 * m[owner[at]])
-            height, levels = treap(place[row], column[owner[at]], impact)
-            values = [[ids[by_id]], [own[by_df].tobytes()], [packed(df[by_df])], [height], [levels]]
+            of_row, of_col = arranged(row, owner[at], df, ids)
+            height, levels = treap(inverted(of_row)[row], inverted(of_col)[owner[at]], impact)
+            values = [[ids[of_col]], [own[of_row].tobytes()], [packed(df[of_row])], [height], [levels]]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int32(), kind))], names)
 
     spark = docs.sparkSession
