@@ -1,18 +1,18 @@
 """How far the term use of each source lies from that of the other sources of its language, by hash-consed segment trees.
 
 Terms are maximal runs of letters (``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+``), A-Z lower-cased. A language keeps the
-terms in at least ``LEAST_DOCUMENTS`` of its documents and numbers them from 0. A group is a (language, source); its
+terms in at least ``LEAST_DOCUMENTS`` of its documents; a term's id is its place by hash. A group is a (language, source); its
 smoothed share of a kept term is p = 1 + floor(10^9 (count + 1) / (N + V)), with N its occurrences of all V kept terms.
 A group with shares p lies sum(floor((p - q)^2 / q)) from one with shares q.
 
-The counts of a group over the term numbers are a segment tree. Its subtrees over ``2 ** k`` terms are the work of one
-task for all groups of the language: there, equal subtrees of any group and place are one node, found level by level as
+The counts of a group over the term ids are a segment tree. Blocks of about ``2 ** MOST_BITS`` terms, its subtrees, are the
+work of one task for all groups of the language: there, equal subtrees of any group and place are one node, found level by level as
 the distinct pairs of nodes below. Two groups' subtrees are walked together from the top; a pair of nodes met again
 for the same two groups only raises its multiplicity, so each is priced once, in both directions. What the subtrees
 give is added up by Spark.
 
 Counting pre-aggregates by slice of text, then by map task, so a source with a third of all documents is no heavier
-than its vocabulary. In a slice terms are told apart by 64-bit hashes; everywhere else by themselves. Arithmetic is
+than its vocabulary. Inside a slice and inside a block, terms are told apart by 64-bit hashes. Arithmetic is
 in 64-bit integers without overflow: shares by long division in steps of 1000.
 
 Defined cases: null text, lang and source are ''; doc_id is not read, every row is a document; a group without kept
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from txlake.session import scratch_path
 
-from .common import numbered, width
 from .textops import SpanHasher, is_between_terms, mix, slices, text_buffer, text_of_words, word_spans
 from .wordids import gathered
 
@@ -147,54 +146,57 @@ def distances(counts: np.ndarray, totals: np.ndarray) -> Iterator[tuple[np.ndarr
             yield one, two, value
 
 
+def kept_cells(counts: DataFrame, least_documents: int) -> DataFrame:
+    """lang, source, term, n, lang_n (occurrences in the language), first (true on one row a term) for the kept terms.
+
+    The rows of a term are one for each source of the language."""
+    term = Window.partitionBy("lang", "term")
+    first = F.row_number().over(term.orderBy("source")) == 1
+    cells = counts.select("*", F.sum("docs").over(term).alias("in_docs"), F.sum("n").over(term).alias("lang_n"), first.alias("first"))
+    return cells.where(F.col("in_docs") >= least_documents).select("lang", "source", "term", "n", "lang_n", "first")
+
+
+def priced_block(table: pa.Table) -> pa.Table:
+    """lang, source, item, value: what the terms of one block add to the distances; rows without a hash name the groups."""
+    named = pc.is_null(table.column("hash"))
+    groups, cells = table.filter(named), table.filter(pc.invert(named))
+    terms, column = np.unique(cells.column("hash").to_numpy(), return_inverse=True)
+    grid = np.zeros((len(groups), 1 << max(0, len(terms) - 1).bit_length()), np.int64)
+    grid[:, len(terms) :] = -1
+    source = groups.column("source").combine_chunks()
+    grid[pc.index_in(cells.column("source"), source).to_numpy(), column] = cells.column("n").to_numpy()
+    found = [np.concatenate(x) for x in zip(*distances(grid, groups.column("p_all").to_numpy()))] or [np.zeros(0, np.int64)] * 3
+    lang = pa.repeat(groups.column("lang")[0], len(found[0]))
+    return pa.table({"lang": lang, "source": source.take(pa.array(found[0])), "item": source.take(pa.array(found[1])), "value": pa.array(found[2])})
+
+
 def divergences(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, most_ranks: int = MOST_RANKS, bits: int = MOST_BITS) -> DataFrame:
     """lang, source, part, item, value, rank: ``pair`` ranks the other sources of the language, ``term`` the terms used more than there."""
     spark = docs.sparkSession
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = written(spark, term_counts(named), "counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_documents)
-    kept = written(spark, numbered(kept.drop("docs"), "lang", ["term"], "id", 4 * width(docs)), "terms")
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
-    cells = written(spark, counts.drop("docs").join(kept, ["lang", "term"]), "cells")
-
-    # A subtree is as wide as all groups' counts over it fit a task.
+    cells = written(spark, kept_cells(term_counts(named), least_documents), "cells")
+    langs = cells.where("first").groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     groups = named.select("lang", "source").distinct().join(cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-    groups = groups.join(langs, "lang", "left").select(
-        "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("lang_total", F.lit(0)).alias("lang_total")
+    # The terms of a block, about 2 ** bits of them, are fewer where a language has so many groups that a task could not hold their counts.
+    blocks = F.ceil(F.col("v") / F.least(F.lit(1 << bits), F.greatest(F.lit(1), F.lit(CELLS) / F.col("many"))))
+    langs = langs.join(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("many")), "lang").select("lang", "v", "lang_total", blocks.alias("blocks"))
+    facts = groups.join(langs, "lang", "left").select(
+        "lang", "source", "blocks", (F.coalesce("total", F.lit(0)) + F.col("v")).alias("p_all"), (F.col("lang_total") + F.col("v")).alias("q_all")
     )
-    many = groups.groupBy("lang").agg(F.greatest(F.lit(0), F.least(F.lit(bits), F.floor(F.log2(CELLS / F.count(F.lit(1)))).cast("int"))).alias("bits"))
-    groups = written(spark, groups.join(many, "lang"), "groups")
-    facts = groups.select("lang", "source", "bits", "total", (F.col("total") + F.col("v")).alias("p_all"), (F.col("lang_total") + F.col("v")).alias("q_all"))
+    facts = written(spark, facts, "groups")
 
-    priced = cells.join(facts, ["lang", "source"]).select(
-        "lang", "source", "term", share_column(F.col("n"), F.col("p_all")).alias("p"), share_column(F.col("lang_n"), F.col("q_all")).alias("q")
-    )
+    own = cells.join(facts, ["lang", "source"])
+    priced = own.select("lang", "source", "term", share_column(F.col("n"), F.col("p_all")).alias("p"), share_column(F.col("lang_n"), F.col("q_all")).alias("q"))
     terms = priced.where(F.col("p") > F.col("q")).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance_column(F.col("p"), F.col("q")).alias("value"))
 
-    held = cells.join(facts.select("lang", "source", "bits"), ["lang", "source"])
-    held = held.select("lang", "source", F.expr("shiftright(id, bits)").alias("block"), F.struct(F.expr("id - shiftleft(shiftright(id, bits), bits)").alias("at"), "n").alias("cell"))
-    held = held.groupBy("lang", "source", "block").agg(F.collect_list("cell").alias("cells"))
-    blocks = groups.where("v > 0").select(
-        "lang", "source", "bits", "v", (F.col("total") + F.col("v")).alias("p_all"), F.explode(F.expr("sequence(0L, shiftright(v - 1, bits))")).alias("block")
+    hashed = own.select("lang", "source", "blocks", "n", F.xxhash64("term").alias("hash"))
+    hashed = hashed.select("lang", F.pmod("hash", F.col("blocks")).alias("block"), "source", "hash", "n", F.lit(None).cast("long").alias("p_all"))
+    names = facts.where("blocks > 0").select(
+        "lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "source", F.lit(None).cast("long").alias("hash"), F.lit(None).cast("long").alias("n"), "p_all"
     )
-    trees = blocks.join(held, ["lang", "source", "block"], "left")
-
-    def price(table: pa.Table) -> pa.Table:
-        bits, v, block = (table.column(c)[0].as_py() for c in ("bits", "v", "block"))
-        lists = table.column("cells").combine_chunks()
-        grid = np.zeros((table.num_rows, 1 << bits), np.int64)
-        grid[:, max(0, v - (block << bits)) :] = -1
-        row = pc.list_parent_indices(lists).to_numpy()
-        cell = pc.list_flatten(lists)
-        grid[row, pc.struct_field(cell, "at").to_numpy()] = pc.struct_field(cell, "n").to_numpy()
-        source, totals = table.column("source"), table.column("p_all").to_numpy()
-        found = [np.concatenate(x) for x in zip(*distances(grid, totals))] or [np.zeros(0, np.int64)] * 3
-        lang = pa.repeat(table.column("lang")[0], len(found[0]))
-        return pa.table({"lang": lang, "source": source.take(pa.array(found[0])), "item": source.take(pa.array(found[1])), "value": pa.array(found[2])})
-
-    parts = trees.groupBy("lang", "block").applyInArrow(price, "lang string, source string, item string, value long")
-    names = groups.select("lang", "source")
-    none = names.join(names.withColumnRenamed("source", "item"), "lang").where("source <> item").select("lang", "source", "item", F.lit(0).cast("long").alias("value"))
+    parts = hashed.unionByName(names).groupBy("lang", "block").applyInArrow(priced_block, "lang string, source string, item string, value long")
+    both = facts.select("lang", "source")
+    none = both.join(both.withColumnRenamed("source", "item"), "lang").where("source <> item").select("lang", "source", "item", F.lit(0).cast("long").alias("value"))
     pairs = parts.unionByName(none).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
