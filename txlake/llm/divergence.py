@@ -41,7 +41,7 @@ SCALE = 1_000_000_000
 #: Counts of all groups that one task holds at once, and the widest subtree.
 CELLS = 1 << 20
 MOST_BITS = 12
-SLICE = 16 << 20
+SLICE = 6 << 20
 
 
 def written(spark, df: DataFrame, name: str) -> DataFrame:
