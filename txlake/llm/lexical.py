@@ -40,7 +40,7 @@ SLICE = 8 << 20
 NO_ID = np.iinfo(np.int64).max
 #: Item terms in one pack, and in one joint descent.
 PACK_TERMS = 1 << 19
-DESCENT_TERMS = 1 << 13
+DESCENT_TERMS = 1 << 11
 #: Ranges that an item splits in a round.
 BEAM = 64
 #: Parts of a grid's documents by which its terms are arranged.
