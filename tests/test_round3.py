@@ -61,6 +61,23 @@ def test_running_sum_of_nulls_and_missing_hashes(spark):
     assert found == {(1, 0, None): None, (1, 0, ""): 2, (1, 1, "b"): 2, (2, 0, "a"): None}
 
 
+@pytest.mark.parametrize("split_rows", [None, 40, 1])
+def test_ranks_of_a_sender_with_most_rows(spark, tx, split_rows):
+    from pyspark.sql import Window
+    t = "transaction."
+    batch = explode_transactions(decode_envelope(encode_envelope(tx.withColumn("message_id", F.lit(1)))))
+    hot = F.col("transaction.nonce") % 3 != 0
+    value = F.when(F.col("transaction.nonce") % 17 == 0, F.lit(None)).when(F.col("transaction.nonce") % 13 == 0, F.lit(0.5)).otherwise(F.col("transaction.gasValue"))
+    odd = F.when(F.col("transaction.nonce") % 31 == 1, F.lit(float("nan"))).when(F.col("transaction.nonce") % 29 == 1, -value).otherwise(value)
+    sender = F.when(hot, F.struct(F.lit("0xhot").alias("address"))).otherwise(F.struct(F.when(F.col("transaction.nonce") > 5, F.col("transaction.sender.address")).alias("address")))
+    batch = batch.select(F.col("transaction").withField("sender", sender).withField("gasValue", odd).alias("transaction")).cache()
+    w = Window.partitionBy(t + "sender.address").orderBy(F.col(t + "gasValue").desc_nulls_last())
+    want = batch.select(F.col(t + "hash").alias("hash"), F.col(t + "gasValue").alias("gasValue"), F.rank().over(w).cast("long").alias("gas_value_rank"))
+    got = mb.rt_transactions_value(batch, "sender.address", split_rows=split_rows)
+    assert df_multiset(got) == df_multiset(want)
+    assert df_multiset(mb.rt_transactions_value(batch, "sender.address", top=4, split_rows=split_rows)) == df_multiset(want.where("gas_value_rank <= 4"))
+
+
 # -- the poll chain ----------------------------------------------------------------------------------------------------
 
 def flat(messages, keep=()):

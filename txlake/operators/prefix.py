@@ -52,3 +52,27 @@ def running_sum(rows: DataFrame, keys: list[str], levels: list[list[str]], order
     # Every row has its offsets; the left join keeps the rows from ever being the broadcast side.
     joined = rows.withColumn("_inside", F.sum(weight).over(inside)).join(offsets, path, "left")
     return joined.withColumn(name, total.cast("long")).drop("_inside", *(f"_before{d}" for d in range(len(levels))))
+
+
+#: Bins that a crowded group's values are dealt to at a time.
+BINS = 1024
+
+
+def log_scale(value: Column) -> Column:
+    """A scale on which values of very different sizes lie apart; never turns the order of two values round."""
+    return F.signum(value) * F.log1p(F.abs(value) * 1e9)
+
+
+def value_bins(rows: DataFrame, keys: list[str], value: str, name: str, scale=None, limit: int | None = None) -> DataFrame:
+    """Adds ``name``: 0 for rows of a group (non-null ``keys``) with at most ``limit`` rows, else the bin of ``value`` between the
+    group's least and greatest, by falling value, null last and NaN first. A histogram from exact bounds: the same
+    bins whenever it is computed. The broadcast table has at most one row for every ``limit`` rows."""
+    limit = int(limit or SPLIT_ROWS)
+    at = (scale or (lambda v: v))(F.col(value).cast("double"))
+    real = F.when(~F.isnan(at), at)
+    crowded = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(real).alias("_lo"), F.max(real).alias("_hi"))
+    crowded = crowded.where(F.col("_n") > limit).drop("_n")
+    found = rows.join(F.broadcast(crowded.withColumn("_crowded", F.lit(True))), keys, "left")
+    place = F.floor(F.try_divide(at - F.col("_lo"), F.col("_hi") - F.col("_lo")) * BINS).cast("int")
+    bin_ = F.when(F.col("_crowded").isNull(), 0).when(F.col(value).isNull(), 1).when(F.isnan(at), -BINS - 1).otherwise(F.coalesce(-place, F.lit(0)))
+    return found.withColumn(name, bin_).drop("_lo", "_hi", "_crowded")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txlake.functions.units import exact_mean
 from txlake.operators.expand import repeat_rows
+from txlake.operators.prefix import log_scale, running_sum, value_bins
 from txlake.schema import DEFAULT_TX_TYPE
 
 T = "transaction."
@@ -50,7 +51,8 @@ def rt_average_gas(batch: DataFrame) -> DataFrame:
     return batch.agg(F.avg(T + "gas").alias("average_gas"), F.avg(T + "gasPrice").alias("average_gas_price"))
 
 
-def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int | None = None) -> DataFrame:
+def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int | None = None,
+                          split_rows: int | None = None) -> DataFrame:
     """``rank()`` by ``gasValue`` descending within ``partition_by`` (default: the hash).
 
     rank = 1 + number of rows of the group with a larger value. Rows are
@@ -58,8 +60,8 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     those few distinct values, then rows are replicated back. ``top`` keeps
     ranks <= top. With the default key (the hash) a group's distinct values
     are the versions of one transaction, so the rank window is tiny; with a
-    coarser ``partition_by`` (e.g. the sender) the window holds one row per
-    distinct value of the group.
+    coarser ``partition_by`` (e.g. the sender) a group with more than ``split_rows`` distinct values
+    is cut by a histogram of its values, twice, and counts of the bins above are added: no window holds the group.
     """
     pairs = batch.select(F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
     if partition_by in ("hash", T + "hash"):
@@ -73,17 +75,19 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
             ranked = ranked.where(F.col("gas_value_rank") <= F.lit(int(top)))
         return repeat_rows(ranked, "_c").select("hash", "gasValue", "gas_value_rank")
     key = F.col(partition_by if partition_by.startswith(T) else T + partition_by)
-    grouped = (batch.select(key.alias("_g"), F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
+    # The key as text, never NULL: it only tells groups apart.
+    grouped = (batch.select(F.coalesce(key.cast("string"), F.lit("\x00")).alias("_g"), F.col(T + "hash").alias("hash"),
+                            F.col(T + "gasValue").alias("gasValue"))
                .groupBy("_g", "hash", "gasValue").agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy("_g").orderBy(F.col("gasValue").desc_nulls_last())
-         .rowsBetween(Window.unboundedPreceding, -1))
     per_value = grouped.groupBy("_g", "gasValue").agg(F.sum("_c").alias("_vc"))
-    ranks = per_value.select("_g", "gasValue",
-                             (F.coalesce(F.sum("_vc").over(w), F.lit(0)) + 1).alias("gas_value_rank"))
+    binned = value_bins(per_value, ["_g"], "gasValue", "_coarse", log_scale, split_rows)
+    binned = value_bins(binned, ["_g", "_coarse"], "gasValue", "_fine", None, split_rows)
+    counted = running_sum(binned, ["_g"], [["_coarse"], ["_fine"]], [F.col("gasValue").desc_nulls_last()], F.col("_vc"), "_upto")
+    ranks = counted.select("_g", "gasValue", (F.col("_upto") - F.col("_vc") + 1).alias("gas_value_rank"))
     if top is not None:
         ranks = ranks.where(F.col("gas_value_rank") <= F.lit(int(top)))
     g, r = grouped.alias("g"), ranks.alias("r")
-    joined = g.join(r, F.col("g._g").eqNullSafe(F.col("r._g"))
+    joined = g.join(r, (F.col("g._g") == F.col("r._g"))
                     & F.col("g.gasValue").eqNullSafe(F.col("r.gasValue")), "inner")
     out = joined.select(F.col("g.hash").alias("hash"), F.col("g.gasValue").alias("gasValue"),
                         F.col("r.gas_value_rank").alias("gas_value_rank"), F.col("g._c").alias("_c"))
