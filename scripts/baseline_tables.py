@@ -39,7 +39,7 @@ def section(d: dict) -> str:
            "`python bench.py`: each query forced by a `noop` write. Not counted: JVM/streaming warm-up on sf0.001",
            f"({d['warmup_sec']} s) and the one-time setup that writes the inputs Spark derives from the tables",
            f"(landed lake, message table, file-stream source: {d['setup_sec']} s).",
-           f"Total over {len(q)} registered queries: **{d['value']} s** (first measurement this round: 125 s).\n",
+           f"Total over {len(q)} registered queries: **{d['value']} s**.\n",
            "### Reference-shaped plan vs ours (same result, sf0.1, same session)\n",
            "| operator | reference-shaped plan | s | ours | s | what ours avoids at scale |",
            "|---|---|---|---|---|---|"]
