@@ -48,7 +48,8 @@ def fitted(docs: DataFrame, targets: np.ndarray) -> np.ndarray:
         for part in slices(batches):
             bucket, text = features(part, hasher)
             raw += np.bincount(bucket, minlength=BUCKETS)
-            wanted = np.isin(part.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False), targets)
+            ids = part.column("doc_id")
+            wanted = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), targets) & ids.is_valid().to_numpy(zero_copy_only=False)
             target += np.bincount(bucket[wanted[text]], minlength=BUCKETS)
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
