@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,16 +172,45 @@ def test_main_text_against_names(spark):
     page = (
         "<body><nav><a>menu {i}</a></nav><div class='ad'>advert {i}</div><div><p>All rights</p></div><div class='story'><p>story {i}</p></div>"
         "<article><header class='entry-header'><h1>Title {i}</h1></header><h2 id='search-methods'>Search {i}</h2><p class='notice'>Notice {i}</p>"
-        "<section id='reply'><p>Reply {i}</p></section><div class='share'><p>Share this</p></div></article></body>"
+        "<section id='reply'><p>Reply {i}</p></section><div class='notice'><p>Tip {i}</p></div><div class='share'><p>Share this</p></div></article></body>"
     )
     rows = [(i, f"http://big.example/{i}", page.format(i=i)) for i in range(20)]
     rows += [(50, "http://small.example/", page.format(i=50))]
     text = {r.page_id: r.text for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(20):
-        assert text[i] == f"story {i}\nTitle {i}\nSearch {i}\nNotice {i}\nReply {i}"
+        assert text[i] == f"story {i}\nTitle {i}\nSearch {i}\nNotice {i}\nTip {i}"
     assert text[50] == "Title 50\nSearch 50\nNotice 50"  # too few pages: names alone
 
 
+def test_main_text_without_comments_and_adverts(spark):
+    page = "<article><p>story {i}</p><div class='comments'><p>reader {i} says foo{i}</p></div><div class='ad'>Buy product {i}</div></article>"
+    pages = spark.createDataFrame([(i, f"http://c.example/{i}", page.format(i=i)) for i in range(12)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in site_style_tree.extract(pages).collect()} == {i: f"story {i}" for i in range(12)}
+
+
+def test_main_text_in_named_containers():
+    def text(page):
+        return site_style_tree.kept_text(site_style_tree.Reader(), page, {})
+
+    body = "<nav>Menu</nav><h1>Title</h1><p>A story of some length</p><div class=sidebar><p>More</p></div><div class=comments><p>I think so</p></div>"
+    assert text(f"<div class='has-sidebar content'>{body}</div>") == "Title\nA story of some length"
+    assert text(f"<body><div id='main-header-wrap'>{body}</div><p>Outside</p>") == "Title\nA story of some length\nOutside"
+    assert text(f"<div class='has-sidebar'><article>{body}</article></div>") == "Title\nA story of some length"
+    assert text("<div class='comments'><p>A long comment of a reader, and more of it</p></div><p>Text</p>") == "Text"
+    assert text("<div class='menu'><ul><li>A long list of places<li>and more of them</ul></div><p>Text</p>") == "Text"
+
+
+def test_main_text_with_odd_quotes():
+    def text(page):
+        return site_style_tree.kept_text(site_style_tree.Reader(), page, {})
+
+    assert text("<p title=it's fine>Text one</p>") == "Text one"
+    assert text("""<p title = "a>b" alt='c>d'>Text <b x"y>two</b></p>""") == "Text two"
+    assert text("""<p title="never closed>Text three</p><p class=x>four</p>""") == "Text three\nfour"
+    assert text("<button title=it's>Press</button><p>five</p>") == "five"
+    assert text("<p " + "a=" * 50_000 + ">six") == "six"
+
+
 def test_main_text_with_ids_of_titles(spark):
     names = [f"post-{chr(97 + i // 5)}{chr(97 + i % 5)}x" for i in range(20)]
     rows = [(i, f"http://ids.example/{i}", f"<div class='post' id='{n}'><div><p>All rights</p></div><section><p>story {i}</p></section></div>") for i, n in enumerate(names)]
@@ -254,6 +286,43 @@ def test_resampling(spark, docs, empty):
     assert importance_resampling.resample(empty, labels_of(spark)).count() == 0
 
 
+def test_resampling_weights(spark, docs):
+    """Log weights from models counted one n-gram at a time."""
+    bag = {}
+    for k, (i, t) in enumerate(TEXTS):
+        part = pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([t], pa.string())], ["doc_id", "text"])
+        bag[k] = importance_resampling.features(part, importance_resampling.SpanHasher())[0].tolist()
+        n = len(WORD.findall(t or ""))
+        assert len(bag[k]) == max(0, 2 * n - 1)
+    good = {r.doc_id for r in labels_of(spark).collect() if r.doc_id is not None and r.quality == 1 and not r.toxic}
+    raw, target = Counter(), Counter()
+    for k, (i, _) in enumerate(TEXTS):
+        raw.update(bag[k])
+        if i in good:
+            target.update(bag[k])
+    assert target and target != raw
+    size = importance_resampling.BUCKETS
+
+    def weight(k):
+        if not bag[k]:
+            return None
+        logs = [math.log((target[b] + 1) / (target.total() + size)) - math.log((raw[b] + 1) / (raw.total() + size)) for b in bag[k]]
+        return importance_resampling.LENGTH * sum(logs) / len(logs)
+
+    got = importance_resampling.resample(docs, labels_of(spark)).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0.0)
+    have, want = sorted(((r.doc_id, r.log_weight) for r in got), key=order), sorted(((i, weight(k)) for k, (i, _) in enumerate(TEXTS)), key=order)
+    for (i, a), (j, b) in zip(have, want, strict=True):
+        assert i == j and (a is None) == (b is None) and (a is None or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9))
+
+
+def test_a_label_of_minus_one_is_no_label_of_a_missing_id(spark):
+    docs = spark.createDataFrame([(-1, "one two"), (None, "three four three")], "doc_id long, text string")
+    labels = spark.createDataFrame([(-1, 1, 0)], "doc_id long, quality int, toxic int")
+    weight = {r.doc_id: r.log_weight for r in importance_resampling.resample(docs, labels).collect()}
+    assert weight[-1] > weight[None]
+
+
 def test_resampling_share_follows_toxic_labels(spark, docs):
     labels = spark.createDataFrame(
         [(i, 1, 0) for i in range(10)] + [(10 + i, 1, 1) for i in range(20)] + [(30 + i, 0, 0) for i in range(7)] + [(40, 1, None), (41, None, 0), (42, 0, 1), (43, 0, None)],

@@ -10,10 +10,13 @@ which no node has enough composite importance are removed from every page of the
 Copies of a page count once. A site needs ``MIN_PAGES`` different pages at a place before it can say anything
 there. Beside the tree, names decide. Elements for menus, footers, sidebars, forms and dialogs and headers outside an article, and
 outside an article containers (not headings, paragraphs or list items) whose class, id or role has a word for such parts, are noise
-whatever the tree says: adverts, menus and footers that change from page to page are as important to the tree as the text. Doubtful
-are containers with such a word inside an article (``header`` is none there) and, where a page marks its article or main part, all
+whatever the tree says: adverts, menus and footers that change from page to page are as important to the tree as the text. So are
+containers named for reader comments, adverts, menus, footers or sidebars (``NEVER_TEXT``) inside an article. Doubtful
+are containers with another such word inside an article (``header`` is none there) and, where a page marks its article or main part, all
 else outside: they are kept where the site has enough pages at the place and its branch is important (``NOISE_ANYWHERE``), else not.
-Of the rest inside an article only branches that hardly vary at all are removed.
+Of the rest inside an article only branches that hardly vary at all are removed. On a page without an article a name does not
+count for a container that holds more than half of the page's text outside lists and tables (``has-sidebar`` around everything),
+unless it names comments or adverts.
 
 Pages travel as the hashes of their parts, are made distinct and summed; a host's tree has one row for each place, however many pages it
 has. The places to remove are sent to all tasks if they are few (``MOST_SENT``), else joined by host.
@@ -67,13 +70,23 @@ NOISE_WORDS = frozenset(
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
+COMMENTS_ADVERTS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promoted promotion replies reply respond sponsor sponsored".split()
+)
+#: Names of what is no part of an article even inside one.
+NEVER_TEXT = COMMENTS_ADVERTS | frozenset("breadcrumb breadcrumbs footer menu nav navbar navigation sidebar".split())
+#: Text directly in these is no sign that a container holds the page's prose.
+LISTED = frozenset("li dt dd td th option legend".split())
+
+#: A quote opens a value only behind an equals sign, and only if it is closed; elsewhere it is a character like others.
+ATTRIBUTES = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+"""
+TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 NEXT_BLOCK = re.compile(rf"<!--.*?(?:-->|\Z)|</?(?:{'|'.join(sorted(BLOCKS | {'body', 'select', 'datalist'}))})(?=[\s/>]|\Z)", re.I | re.S)
 END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
 OWN = {
-    tag: re.compile(rf"""<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>])|<(/?){tag}(?=[\s/>]|\Z)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.I | re.S)
+    tag: re.compile(rf"""<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>])|<(/?){tag}(?=[\s/>]|\Z)({ATTRIBUTES})(?:>|\Z)""", re.I | re.S)
     for tag in SILENT - RAW
 }
 
@@ -83,10 +96,12 @@ def hash64(*parts) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "place", "label", "noise", "article", "children")
+    __slots__ = ("tag", "place", "label", "noise", "article", "number", "prose", "children")
 
-    def __init__(self, tag, place, label, noise, article):
+    def __init__(self, tag, place, label, noise, article, number=None):
         self.tag, self.place, self.label, self.noise, self.article = tag, place, label, noise, article
+        #: Of a container that only its name makes noise: its number on the page; the characters of prose in it.
+        self.number, self.prose = number, 0
         self.children: list[str] = []
 
 
@@ -142,10 +157,10 @@ class Reader:
 
     def __init__(self):
         self.places: dict[tuple[int, str], int] = {}
-        self.marks: dict[tuple[str, str], tuple[str, int, int, bool]] = {}
+        self.marks: dict[tuple[str, str], tuple[str, int, int, bool, bool]] = {}
 
-    def _marked(self, tag: str, attributes: str) -> tuple[str, int, int, bool]:
-        """(label, kind by name outside an article, kind inside one, is the article or main part)."""
+    def _marked(self, tag: str, attributes: str) -> tuple[str, int, int, bool, bool]:
+        """(label, kind by name outside an article, kind inside one, is the article or main part, may hold the page in spite of its name)."""
         known = self.marks.get((tag, attributes))
         if known is None:
             names: dict[str, str] = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
@@ -153,12 +168,13 @@ class Reader:
             article = tag in ("article", "main") or "main" in names.get("role", "").lower().split()
             marks = set() if article or tag in TEXTS or tag in ("html", "body") else NOISE_WORDS.intersection(words)
             outside = NOISE if tag in NOISE_TAGS or tag == "header" or marks else WANTED
-            inside = NOISE if tag in NOISE_TAGS else DOUBTFUL if marks - {"header"} else WANTED
+            inside = NOISE if tag in NOISE_TAGS or marks & NEVER_TEXT else DOUBTFUL if marks - {"header"} else WANTED
+            named = bool(marks) and tag not in NOISE_TAGS and tag != "header" and not marks & COMMENTS_ADVERTS
             # Ids are often made from titles: with them every page would have places of its own.
             label = ".".join([tag, *sorted({w.lower() for w in WORD.findall(names.get("class", ""))})])
             if len(self.marks) > 50_000:
                 self.marks.clear()
-            known = self.marks[tag, attributes] = (label, outside, inside, article)
+            known = self.marks[tag, attributes] = (label, outside, inside, article, named)
         return known
 
     def _place(self, parent: int, label: str) -> int:
@@ -170,9 +186,13 @@ class Reader:
             place = self.places[key] = hash64(parent, label)
         return place
 
-    def read(self, page: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple[int, int, str]], bool]:
-        """(blocks: text, places from the root, kind), (place, parent, style) of elements, has an article."""
-        blocks, elements = [], []
+    def read(self, page: str, holders: frozenset[int] = frozenset()) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple[int, int, str]], bool]:
+        """(blocks: text, places from the root, kind), (place, parent, style) of elements, has an article.
+
+        ``holders``: numbers of the containers whose names do not count, found by a first reading.
+        """
+        blocks, elements, n_opened = [], [], 0
+        named: list[tuple[int, int]] = []
         root = Element("", 0, "", WANTED, False)
         stack, text, has_article = [root], [], False
 
@@ -183,11 +203,16 @@ class Reader:
                 if block:
                     top = stack[-1]
                     blocks.append((block, tuple(e.place for e in stack[1:]), top.noise, top.article))
+                    if top.tag not in LISTED:
+                        top.prose += len(block)
 
         def pop() -> None:
             e = stack.pop()
             style = " ".join(c for i, c in enumerate(e.children) if i == 0 or c != e.children[i - 1])
             elements.append((e.place, stack[-1].place, style))
+            stack[-1].prose += e.prose
+            if e.number is not None:
+                named.append((e.number, e.prose))
 
         at, end, silences = 0, len(page), Silences(page)
         while at < end:
@@ -221,15 +246,22 @@ class Reader:
             if tag in VOID:
                 continue
             parent = stack[-1]
-            label, noise_outside, noise_inside, article = self._marked(tag, m[3])
+            label, noise_outside, noise_inside, article, by_name = self._marked(tag, m[3])
+            n_opened += 1
+            if by_name and n_opened in holders:
+                noise_outside = noise_inside = WANTED
             inside = parent.article or article
             noise = max(parent.noise, noise_inside if inside else noise_outside)
             has_article |= article and noise == WANTED
             parent.children.append(label)
-            stack.append(Element(tag, self._place(parent.place, label), label, noise, inside))
+            stack.append(Element(tag, self._place(parent.place, label), label, noise, inside, n_opened if by_name else None))
         flush()
         while len(stack) > 1:
             pop()
+        if not has_article and not holders:
+            found = frozenset(n for n, prose in named if 2 * prose > root.prose)
+            if found:
+                return self.read(page, found)
         if has_article:
             blocks = [(text, path, max(kind, WANTED if inside else DOUBTFUL)) for text, path, kind, inside in blocks]
         else:
