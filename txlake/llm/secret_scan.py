@@ -109,8 +109,9 @@ def trigram_query(pattern: str) -> list[list[list[str]]]:
 
 def postings(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """doc_id, trigram: the index, for the trigrams of ``vocabulary``."""
-    low = F.lower(F.col("text").cast("string"))
-    present = F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in vocabulary]))
+    # The variable of a lambda is computed once: a plain column would be put into every branch and lower-cased there again.
+    once = F.array(F.lower(F.col("text").cast("string")))
+    present = F.transform(once, lambda low: F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in vocabulary])))[0]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(present).alias("trigram"))
 
 
