@@ -368,6 +368,19 @@ def test_secrets(spark, docs, empty):
     assert secret_scan.digests(empty).count() == 0
 
 
+def test_many_secrets_in_one_text(spark):
+    """Stretches within, at and over the edges of the blocks; texts of more than a block between two secrets."""
+    r = random.Random(9)
+    secret, letters = "0f" * 12, "xyz é😀\n"
+    pieces = ["".join(r.choices(letters, k=r.choice([1, 3, 40, 4096 - 24, 4096, 9000]))) for _ in range(300)] + ["", "zz "]
+    texts = [(1, f"{secret}z".join(pieces)), (2, secret), (3, "z" * 4096 + secret), (4, "z" * (4096 - 24) + secret + "z" * 4096), (5, " ".join([secret] * 5000))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    assert got == {i: re.sub("[0-9a-f]{24,}", "[SECRET]", t) for i, t in texts}
+    counted = {r.doc_id: r.n_hex for r in secret_scan.digests(docs).collect()}
+    assert counted == {i: len(re.findall("[0-9a-f]{24,}", t)) for i, t in texts}
+
+
 def test_trigram_queries_are_mandatory():
     samples = {"assign": ["Token: abcdefg", "API_KEY=1", "apikey'='x", "passwd:1"], "access": ["AKIAX"], "private_key": ["-----BEGIN RSA PRIVATE KEY-----"], "chat": ["xoxb-1234567890"], "payment": ["sk_live_" + "a" * 16]}
     for rule in secret_scan.BASE + secret_scan.ADDED:

@@ -46,6 +46,9 @@ ADDED = (
     Rule("payment", r"[rs]k_live_[A-Za-z0-9]{16,}"),
 )
 MOST_SPELLINGS = 64
+SPAN = "struct<start:int,order:int,end:int,kind:string,size:int>"
+#: Code points of the blocks that a text is cut into for replacements, and the items that a fold takes at a time.
+BLOCK, CHUNK = 4096, 128
 
 
 def spellings(parsed, fold: bool) -> tuple[list[frozenset[str]], frozenset[str] | None]:
@@ -137,22 +140,38 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return found.select(F.col("doc_id").alias("__id"), fitting.alias("__rules")).where(F.size("__rules") > 0)
 
 
+def folded(items: Column, item: str, step) -> Column:
+    """struct<at:int,found:array<``item``>>: ``step(state, x)`` over ``items``, from 0 and an empty array.
+
+    An array that grows is copied at each step, so chunks are folded by themselves and joined.
+    """
+    kind = f"struct<at:int,found:array<{item}>>"
+
+    def whole(every: Column) -> Column:
+        def add(state: Column, begin: Column) -> Column:
+            fresh = F.struct(state["at"].alias("at"), F.array().cast(f"array<{item}>").alias("found"))
+            chunk = F.aggregate(F.slice(every, begin + 1, CHUNK), fresh, step)
+            return F.transform(F.array(chunk), lambda c: F.struct(c["at"].alias("at"), F.concat(state["found"], c["found"]).alias("found")))[0]
+
+        begins = F.sequence(F.lit(0), F.greatest(F.size(every), F.lit(1)) - 1, F.lit(CHUNK))
+        return F.aggregate(begins, F.struct(F.lit(0).alias("at"), F.array().alias("found")).cast(kind), add)
+
+    return F.transform(F.array(items), whole)[0]  # the items are a variable of the lambda, computed once a row
+
+
 def matches(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, order, end, kind>> of a rule's matches: texts between the matches and the matches give the places."""
     between, found = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    kind = f"struct<at:int,spans:array<struct<start:int,order:int,end:int,kind:string,size:int>>>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().alias("spans")).cast(kind)
-
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["before"])
         end = start + F.length(pair["match"])
         size = F.length(F.regexp_extract(pair["match"], rule.pattern, rule.group)) if rule.group else F.length(pair["match"])
         span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"), size.alias("size"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")).cast(kind)
+        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
 
     # The text behind the last match has none of its own.
     pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("before"), found.alias("match"))
-    return F.filter(F.aggregate(pairs, empty, step)["spans"], lambda s: s["size"] >= rule.least)
+    return F.filter(folded(pairs, SPAN, step)["found"], lambda s: s["size"] >= rule.least)
 
 
 def spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, keep: bool = False) -> DataFrame:
@@ -164,7 +183,7 @@ def spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, keep: bool =
     rows = docs if keep else docs.select("doc_id", "text")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     joined = rows.join(candidates(docs, rules), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,size:int>>")
+    none = F.array().cast(f"array<{SPAN}>")
     parts = []
     for order, rule in enumerate(rules):
         wanted = F.col("text").isNotNull() if rule.kind in scanning else F.array_contains("__rules", rule.kind)
@@ -194,15 +213,26 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of ``text`` (overlapping ones as one) replaced by ``mark``."""
-    kind = "struct<at:int,out:string>"
+    """``docs`` with every span of ``text`` (overlapping ones as one) replaced by ``mark``.
+
+    The stretches between the spans are cut out of blocks of the text, so a stretch costs its length, not that of the text.
+    """
 
     def step(state: Column, s: Column) -> Column:
-        apart = s["start"] >= state["at"]
-        out = F.when(apart, F.concat(state["out"], F.substring("text", state["at"] + 1, s["start"] - state["at"]), F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out")).cast(kind)
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(kind)
-    done = F.aggregate("__spans", start, step)
-    rest = F.concat(done["out"], F.substring("text", done["at"] + 1, F.length("text")))
-    return spans(docs, keep=True).withColumn("text", F.when(F.size("__spans") > 0, rest).otherwise(F.col("text"))).drop("__spans")
+        gap = F.array(F.struct(state["at"].alias("start"), s["start"].alias("end")))
+        gaps = F.when(s["start"] >= state["at"], F.concat(state["found"], gap)).otherwise(state["found"])
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), gaps.alias("found"))
+
+    def joined(blocks: Column, done: Column) -> Column:
+        def stretch(gap: Column) -> Column:
+            first, last = F.floor(gap["start"] / BLOCK).cast("int"), F.floor(gap["end"] / BLOCK).cast("int")
+            near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            return F.substring(near, gap["start"] - first * BLOCK + 1, gap["end"] - gap["start"])
+
+        end = F.struct(done["at"].alias("start"), F.length("text").alias("end"))
+        return F.array_join(F.transform(F.concat(done["found"], F.array(end)), stretch), mark)
+
+    # Both are variables of a lambda, so they are computed once a row.
+    parts = F.array(F.struct(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"), folded(F.col("__spans"), "struct<start:int,end:int>", step).alias("done")))
+    clean = F.transform(parts, lambda p: joined(p["blocks"], p["done"]))[0]
+    return spans(docs, keep=True).withColumn("text", F.when(F.size("__spans") > 0, clean).otherwise(F.col("text"))).drop("__spans")
