@@ -100,10 +100,30 @@ MONITORS = {
 }
 
 
+def cmd_bus(spark, args) -> int:
+    from txlake.sources.io import read_tx_stream
+    from txlake.streaming.bus import land_bus
+    src = read_tx_stream(spark, args.source_format, args.source_path, **_opts(args.source_option))
+    q = land_bus(src, args.output, args.checkpoint or f"{checkpoint_root(spark)}/txlake-bus", args.dedup, _trigger(args),
+                 args.state_partitions)
+    q.awaitTermination()
+    return 0
+
+
 def cmd_monitor(spark, args) -> int:
     from txlake.sources.transactions import read_lake_stream
+    from txlake.streaming.bus import BUS_MONITORS, read_bus_stream, run_gas_price_view
     from txlake.streaming import eventtime as et
     from txlake.streaming.runner import write_stream
+    read = read_bus_stream if args.bus else read_lake_stream
+    if args.query == "gas_price_view":
+        q = run_gas_price_view(read(spark, args.input, **_opts(args.source_option)), args.output,
+                               args.checkpoint or f"{checkpoint_root(spark)}/txlake-monitor-gas_price_view",
+                               args.granularity, args.frame, args.watermark, _trigger(args))
+        q.awaitTermination()
+        return 0
+    if args.bus and args.query not in BUS_MONITORS:
+        raise SystemExit(f"the bus does not carry what {args.query} needs")
     fn_name, params = MONITORS[args.query]
     kwargs = {}
     for p in params:
@@ -112,7 +132,7 @@ def cmd_monitor(spark, args) -> int:
             kwargs[p] = v
     if args.query != "large_transfers":
         kwargs["watermark"] = args.watermark
-    stream = read_lake_stream(spark, args.input, **_opts(args.source_option))
+    stream = read(spark, args.input, **_opts(args.source_option))
     keyless = args.query in ("tx_count", "gas_price_trend", "new_contracts")
     parts = args.state_partitions or (et.KEYLESS_STATE_PARTITIONS if keyless else None)
     q = write_stream(getattr(et, fn_name)(stream, **kwargs), args.output,
@@ -176,9 +196,21 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overlap", default=POLL_EVERY)
     p.add_argument("--page-rows", type=int, default=POLL_LIMIT)
 
+    u = sub.add_parser("bus", help="decode the messages of the bus once, for the monitors")
+    u.add_argument("--source-format", default="kafka")
+    u.add_argument("--source-path")
+    u.add_argument("--source-option", action="append")
+    u.add_argument("--output", required=True)
+    u.add_argument("--checkpoint")
+    u.add_argument("--dedup", metavar="TIME", help="let each transaction through once in this time, e.g. '30 minutes'")
+    u.add_argument("--state-partitions", type=int, help="state partitions of --dedup (new checkpoint only)")
+    u.add_argument("--interval")
+    u.add_argument("--available-now", action="store_true")
+
     m = sub.add_parser("monitor")
-    m.add_argument("query", choices=sorted(MONITORS))
+    m.add_argument("query", choices=sorted([*MONITORS, "gas_price_view"]))
     m.add_argument("--input", required=True, help="lake directory read as a file stream")
+    m.add_argument("--bus", action="store_true", help="the input is the folder that `bus` lands, not a lake")
     m.add_argument("--output", required=True)
     m.add_argument("--sink-format", default="parquet")
     m.add_argument("--source-option", action="append")
@@ -199,7 +231,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = build_session(args.master, app=f"txlake-{args.cmd}")
-    return {"batch": cmd_batch, "land": cmd_land, "stream": cmd_stream, "poll": cmd_poll, "monitor": cmd_monitor}[args.cmd](spark, args)
+    return {"batch": cmd_batch, "land": cmd_land, "stream": cmd_stream, "poll": cmd_poll, "bus": cmd_bus, "monitor": cmd_monitor}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

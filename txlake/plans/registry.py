@@ -31,6 +31,7 @@ from txlake.sources.poll import poll_messages, publish_once
 from txlake.sources.transactions import land_transactions, read_lake_stream, scan_transactions
 from txlake.streaming import eventtime as et
 from txlake.streaming import microbatch as mb
+from txlake.streaming.bus import land_bus, read_bus_stream, read_gas_price_view, run_gas_price_view
 from txlake.streaming.runner import run_stream, run_to_completion, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,6 +451,11 @@ STREAM_PARAMS = {
     "new_contracts_stream": {"frame": "1 day"},
     "large_transfers_stream": {"threshold": 2.5e20},
     "suspicious_activity_stream": {"frame": "1 day", "max_count": 1, "max_avg_gas_price": 85e9},
+    "tx_count_sliding_stream": {"frame": "6 hours", "slide": "1 hour"},
+    "new_contracts_sliding_stream": {"frame": "1 day", "slide": "6 hours"},
+    "tx_count_on_bus_stream": {"frame": "1 hour"},
+    "gas_price_trend_on_bus_stream": {"granularity": "1 hour"},
+    "suspicious_activity_on_bus_stream": {"frame": "1 day", "slide": "12 hours", "max_count": 1, "max_avg_gas_price": 85e9},
 }
 
 
@@ -457,17 +463,18 @@ def _tx_stream_source(spark: SparkSession, sf_dir: str) -> str:
     return _derived_table(spark, sf_dir, "tx-stream-src", lambda p: load_transactions(spark, sf_dir).write.parquet(p))
 
 
-def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
+def _stream(fn, name, stateful: bool = True, keyless: bool = False, on_bus: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
         params = dict(STREAM_PARAMS[name])
         if stateful:
             params["watermark"] = STREAM_WATERMARK
-        src = _tx_stream_source(spark, sf_dir)
+        src = _bus_landed(spark, sf_dir) if on_bus else _tx_stream_source(spark, sf_dir)
+        read = read_bus_stream if on_bus else read_lake_stream
         out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
         # Keyless windows: a few state partitions; keyed state grows with the input, so size it from it.
         parts = et.KEYLESS_STATE_PARTITIONS if keyless else partitions_for_input(spark, src)
-        q = write_stream(fn(read_lake_stream(spark, src), **params), out, ck,
+        q = write_stream(fn(read(spark, src), **params), out, ck,
                          trigger={"availableNow": True}, state_partitions=parts)
         run_to_completion(q)
         return zone_less(spark.read.schema(q_schema(fn, spark, params)).parquet(out))
@@ -478,7 +485,7 @@ def _stream(fn, name, stateful: bool = True, keyless: bool = False) -> Query:
 def q_schema(fn, spark: SparkSession, params: dict):
     """Output schema of a streaming query (same function over an empty batch frame), so
     that a sink with no emitted rows still reads back with the right columns."""
-    return fn(spark.createDataFrame([], TX_SCHEMA_EXT), **params).schema
+    return fn(spark.createDataFrame([], TX_SCHEMA_EXT), **params).schema  # the bus has fewer columns of the same types
 
 
 def _consumer_sinks(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
@@ -539,6 +546,28 @@ def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CommitLog(spark, sinks).read("rt_transaction_type_count").drop("batch_id")
 
 
+def _bus_landed(spark: SparkSession, sf_dir: str) -> str:
+    """The polled messages decoded once, each transaction once: what the monitors of the bus read."""
+    bus = polled_messages(spark, sf_dir)
+
+    def write(path: str) -> None:
+        run_to_completion(land_bus(read_tx_stream(spark, "parquet", bus, schema=POLLED_SCHEMA), path, scratch_path(spark, "bus-ckpt"),
+                                   dedup="1 day", trigger={"availableNow": True}, state_partitions=partitions_for_input(spark, bus)))
+    return _derived_table(spark, sf_dir, "bus-landed", write)
+
+
+GAS_VIEW = {"granularity": "1 hour", "frame": "2 days"}
+
+
+def q_gas_price_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P02 with the newest window first, open windows included."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "gas-view")
+    run_to_completion(run_gas_price_view(read_lake_stream(spark, _tx_stream_source(spark, sf_dir)), base, scratch_path(spark, "gas-view-ckpt"),
+                                         watermark=STREAM_WATERMARK, trigger={"availableNow": True}, **GAS_VIEW))
+    return zone_less(read_gas_price_view(spark, base))
+
+
 # ---------------------------------------------------------------------------
 # The ten outputs of the batch job (S06), committed together and read back.
 # ---------------------------------------------------------------------------
@@ -568,6 +597,12 @@ STREAM_QUERIES: dict[str, Query] = {
     **{f"stream_consumer_{name}": _sink(name) for name in mb.MICROBATCH_ANALYTICS if name != "rt_transaction_type_count"},
     "poll_publish_round_trip": q_poll_publish_round_trip,
     "dedup_stream": q_dedup_stream,
+    "tx_count_sliding_stream": _stream(et.tx_count_stream, "tx_count_sliding_stream", keyless=True),
+    "new_contracts_sliding_stream": _stream(et.new_contracts_stream, "new_contracts_sliding_stream", keyless=True),
+    "tx_count_on_bus_stream": _stream(et.tx_count_stream, "tx_count_on_bus_stream", keyless=True, on_bus=True),
+    "gas_price_trend_on_bus_stream": _stream(et.gas_price_trend_stream, "gas_price_trend_on_bus_stream", keyless=True, on_bus=True),
+    "suspicious_activity_on_bus_stream": _stream(et.suspicious_activity_stream, "suspicious_activity_on_bus_stream", on_bus=True),
+    "gas_price_view": q_gas_price_view,
 }
 
 JOB_QUERIES: dict[str, Query] = {f"batch_job_{name}": _job_output(name) for name in JOB_OUTPUTS}
@@ -620,6 +655,45 @@ WHERE {_EMITTED}""",
 }
 
 
+#: What the polls bring to the bus, each transaction once.
+_BUS = f"""(SELECT * FROM tx WHERE block_timestamp BETWEEN {_POLL_END} - INTERVAL '{POLLS['frame']}'
+                                  AND {_POLL_END} + {POLLS['polls'] - 1} * INTERVAL '{POLLS['every']}')"""
+_EMITTED_ON_BUS = f"window_end <= (SELECT max(block_timestamp) FROM {_BUS}) - INTERVAL '{STREAM_WATERMARK}'"
+
+
+def _frames(rows: str, frame: str, slide: str, n: int) -> str:
+    """``rows`` once for each of the ``n`` sliding frames that hold them."""
+    return f"""(SELECT *, time_bucket(INTERVAL '{slide}', block_timestamp) - k * INTERVAL '{slide}' AS window_start,
+        time_bucket(INTERVAL '{slide}', block_timestamp) - k * INTERVAL '{slide}' + INTERVAL '{frame}' AS window_end
+      FROM {rows}, range({n}) AS slides(k))"""
+
+
+STREAM_ORACLE |= {
+    "tx_count_sliding_stream": f"""
+SELECT window_start, window_end, count(*) AS transaction_count FROM {_frames('tx', '6 hours', '1 hour', 6)}
+WHERE {_EMITTED} GROUP BY 1, 2""",
+    "new_contracts_sliding_stream": f"""
+SELECT window_start, window_end, count(*) AS contract_count, {_mean('receipt_gas_used')} AS average_initial_gas_usage
+FROM {_frames('tx', '1 day', '6 hours', 4)}
+WHERE {_EMITTED} AND to_address IS NULL AND input IS NOT NULL GROUP BY 1, 2""",
+    "tx_count_on_bus_stream": f"""
+SELECT * FROM (SELECT {_win('1 hour')}, count(*) AS transaction_count FROM {_BUS} GROUP BY 1, 2)
+WHERE {_EMITTED_ON_BUS}""",
+    "gas_price_trend_on_bus_stream": f"""
+SELECT * FROM (SELECT {_win('1 hour')}, {_mean('gas_price')} AS average_gas_price FROM {_BUS} GROUP BY 1, 2)
+WHERE {_EMITTED_ON_BUS}""",
+    "suspicious_activity_on_bus_stream": f"""
+SELECT window_start, window_end, from_address, to_address, count(*) AS transaction_count, {_mean('gas_price')} AS average_gas_price
+FROM {_frames(_BUS, '1 day', '12 hours', 2)}
+WHERE {_EMITTED_ON_BUS} GROUP BY 1, 2, 3, 4
+HAVING count(*) > {STREAM_PARAMS['suspicious_activity_on_bus_stream']['max_count']}
+    OR {_mean('gas_price')} > {STREAM_PARAMS['suspicious_activity_on_bus_stream']['max_avg_gas_price']!r}""",
+    "gas_price_view": f"""
+SELECT * FROM (SELECT {_win('1 hour')}, {_mean('gas_price')} AS average_gas_price FROM tx GROUP BY 1, 2)
+WHERE window_start > (SELECT date_trunc('hour', max(block_timestamp)) FROM tx) - INTERVAL '{GAS_VIEW['frame']}'""",
+}
+
+
 def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:
     """Write the inputs Spark derives from ``sf_dir`` once (the landed lake, the
     message table, the transaction file stream); queries that read them reuse them."""
@@ -627,6 +701,7 @@ def prepare_inputs(spark: SparkSession, sf_dir: str) -> None:
     message_table(spark, sf_dir)
     _tx_stream_source(spark, sf_dir)
     polled_messages(spark, sf_dir)
+    _bus_landed(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
