@@ -202,9 +202,68 @@ FROM found QUALIFY part = 'pair' OR rank <= 200
 """
 
 
+def secret_spans_sql(rules: tuple[secret_scan.Rule, ...] = secret_scan.BASE + secret_scan.ADDED) -> str:
+    """Every rule on every text, without an index: what lies between the matches tells where they are."""
+
+    def matched(order: int, rule: secret_scan.Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        gaps = f"string_split_regex(text, {pattern})"
+        return f"""
+  SELECT row_id, {order} AS rule, '{rule.kind}' AS kind, {rule.least} AS least, unnest({gaps}) AS gap, generate_subscripts({gaps}, 1) AS pos,
+         unnest(regexp_extract_all(text, {pattern})) AS match, unnest(regexp_extract_all(text, {pattern}, {rule.group})) AS value FROM docs"""
+
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), matched AS ({"  UNION ALL".join(matched(i, r) for i, r in enumerate(rules))}
+), placed AS (
+  SELECT row_id, rule, kind, least, value, match,
+         CAST(sum(length(gap) + coalesce(length(match), 0)) OVER (PARTITION BY row_id, rule ORDER BY pos) AS BIGINT) AS stop
+  FROM matched
+), found AS (
+  SELECT row_id, rule, stop - length(match) AS start, concat_ws(':', kind, stop - length(match), stop) AS span
+  FROM placed WHERE match IS NOT NULL AND length(value) >= least
+)
+SELECT doc_id, count(*) FILTER (WHERE rule = 0) AS n_assign, count(*) FILTER (WHERE rule = 1) AS n_access, count(*) FILTER (WHERE rule = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rule) FILTER (WHERE rule < {len(secret_scan.BASE)}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM docs LEFT JOIN found USING (row_id) GROUP BY row_id, doc_id
+"""
+
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row_id, CASE WHEN len(words) < 4 THEN words ELSE list_slice(words, i, i + 3) END AS shingle
+  FROM (SELECT row_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id
+), shared AS (
+  SELECT shingle, row_number() OVER () AS number FROM (SELECT shingle FROM shingles GROUP BY shingle HAVING count(*) > 1)
+), held AS (
+  SELECT row_id, n, number FROM shingles JOIN shared USING (shingle) JOIN sizes USING (row_id)
+), links AS (
+  SELECT a.row_id AS a, b.row_id AS b
+  FROM held a JOIN held b ON a.number = b.number AND a.row_id < b.row_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.row_id, b.row_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(a, b) AS (
+  SELECT row_id, row_id FROM docs UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id, d.doc_id = min(o.doc_id) AS kept
+FROM docs d LEFT JOIN sizes USING (row_id) JOIN reached r ON r.a = d.row_id JOIN docs o ON o.row_id = r.b GROUP BY d.row_id, d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_repeated_passages": REPEATED_WORDS,
+        "op6_secret_spans": secret_spans_sql(),
+        "op7_near_duplicates": NEAR_DUPLICATES,
         "op11_shared_lines": SHARED_LINES,
         "op12_ranked_documents": RANKED_DOCUMENTS,
         "op13_source_divergence": SOURCE_DIVERGENCE,
