@@ -518,6 +518,20 @@ def test_cutoffs_keep_the_promise(spark):
     assert sum(not x.kept for x in judged if x.quality == 1) <= 0.05 * 400
 
 
+def test_copies_are_one_draw(spark):
+    """Forty good texts certify nothing, and a hundred copies and labels of each add no evidence; 1,000 good texts do."""
+
+    def docs_of(n_good, copies):
+        texts = [(" ".join(f"w{i}x{j}" for j in range(60)), 1) for i in range(n_good)] + [(" ".join(f"b{i}x{j}%%%" for j in range(60)), 0) for i in range(40)]
+        rows = [(c * len(texts) + i, t, "en", q) for c in range(copies) for i, (t, q) in enumerate(texts)]
+        return spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+
+    for n_good, copies, certified in ((40, 1, False), (40, 100, False), (1000, 1, True), (1000, 2, True)):
+        docs = docs_of(n_good, copies)
+        labels = docs.select("doc_id", "quality")
+        assert (("en", "symbol_pct") in quality.calibrate(quality.measure(docs), labels.union(labels))) == certified
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 

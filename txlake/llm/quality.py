@@ -92,7 +92,7 @@ def measured_slice(part: pa.RecordBatch, hasher: SpanHasher) -> dict[str, np.nda
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum (the language), the base counts and the signals of every row; one pass, no shuffle."""
+    """doc_id, stratum (the language), text_hash, the base counts and the signals of every row; one pass, no shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_process_cache()
@@ -100,12 +100,15 @@ def measure(docs: DataFrame) -> DataFrame:
         for part in slices(batches):
             found = measured_slice(part, hasher)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("stratum"), *(pa.array(x) for x in found.values())], ["doc_id", "stratum", *found]
+                [*(part.column(c) for c in told), *(pa.array(x) for x in found.values())], [*told, *found]
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), F.col("text").cast("string"))
+    told = ["doc_id", "stratum", "text_hash"]
+    text = F.col("text").cast("string")
+    stratum = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    narrow = docs.select(F.col("doc_id").cast("long"), stratum.alias("stratum"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     signals = ", ".join(f"{name} double" for name in SIGNALS)
-    return narrow.mapInArrow(run, f"doc_id long, stratum string, {BASE_FIELDS}, {signals}")
+    return narrow.mapInArrow(run, f"doc_id long, stratum string, text_hash long, {BASE_FIELDS}, {signals}")
 
 
 def upper_bound(k: int, n: int, delta: float) -> float:
@@ -134,11 +137,13 @@ def base_failed():
 def calibrate(measured: DataFrame, labels: DataFrame, max_false: float = 0.05, delta: float = 0.05) -> dict[tuple[str, str], float]:
     """(stratum, signal) -> cutoff. Only histograms (strata x signals x grid x 2) reach the driver.
 
-    Documents that the base rule rejects are left out: the method's verdict never reaches them. A document with
-    several labels counts once for each; labels other than 0 and 1 and null labels are ignored.
+    Documents that the base rule rejects are left out: the method's verdict never reaches them. The bound needs
+    independent draws, so a text counts once in its stratum, however many copies and labels it has, as good if any
+    label says so; labels other than 0 and 1 and null labels are ignored.
     """
     marked = labels.select(F.col("doc_id").alias("__id"), F.col("quality").alias("__quality")).where("__quality in (0, 1)")
-    known = measured.where(~base_failed()).join(marked, F.col("doc_id") == F.col("__id"))
+    labelled = measured.where(~base_failed()).join(marked, F.col("doc_id") == F.col("__id"))
+    known = labelled.groupBy("stratum", "text_hash").agg(F.max("__quality").alias("__quality"), *[F.max(s).alias(s) for s in SIGNALS])
     cell = F.explode(
         F.array(*[F.struct(F.lit(s).alias("signal"), F.least(F.ceil(F.col(s) * (GRID / top)), F.lit(GRID)).cast("int").alias("cell")) for s, top in SIGNALS.items()])
     ).alias("at")

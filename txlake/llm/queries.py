@@ -259,11 +259,68 @@ FROM docs d LEFT JOIN sizes USING (row_id) JOIN reached r ON r.a = d.row_id JOIN
 """
 
 
+#: The calibration has the defaults of :func:`quality.judge`: at most 0.05 / 5 of the good documents a rule, certified at 0.05 in all.
+QUALITY_RULES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT row_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM docs
+), windows AS (
+  SELECT row_id, i, list_slice(words, i, i + 2) AS win FROM (SELECT row_id, words, unnest(range(1, len(words) - 1)) AS i FROM split WHERE len(words) >= 3)
+), again AS (
+  SELECT row_id, win FROM windows GROUP BY row_id, win HAVING count(*) > 1
+), repeated AS (
+  SELECT row_id, count(DISTINCT word_no) AS n
+  FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS word_no FROM windows JOIN again USING (row_id, win)) GROUP BY row_id
+), counts AS (
+  SELECT row_id, doc_id, stratum, text, CAST(len(words) AS BIGINT) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper,
+         length(regexp_replace(text, '[0-9A-Za-z\x20\x09-\x0D\x{80}-\x{10FFFF}]+', '', 'g')) AS n_marks,
+         len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM docs JOIN split USING (row_id) LEFT JOIN repeated USING (row_id)
+), measured AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM counts
+), signals AS (
+  UNPIVOT (SELECT row_id, 100.0::DOUBLE * n_repeat_words / greatest(n_words, 1) AS repeat_pct, 100.0::DOUBLE * n_symbols / greatest(word_chars, 1) AS symbol_pct,
+                  100.0::DOUBLE * n_upper / greatest(word_chars, 1) AS upper_pct, 100.0::DOUBLE * n_marks / greatest(word_chars, 1) AS mark_pct,
+                  100.0::DOUBLE * n_dup_lines / greatest(n_lines, 1) AS dup_line_pct FROM measured)
+  ON repeat_pct, symbol_pct, upper_pct, mark_pct, dup_line_pct INTO NAME signal VALUE level
+), draws AS (
+  SELECT stratum, signal, text, max(quality) AS quality, CAST(least(ceil(max(level)), 100) AS INTEGER) AS cell
+  FROM measured JOIN labels USING (doc_id) JOIN signals USING (row_id) WHERE quality IN (0, 1) AND NOT base_failed GROUP BY stratum, signal, text
+), totals AS (
+  SELECT stratum, signal, count(*) FILTER (WHERE quality = 1) AS good_total, count(*) FILTER (WHERE quality = 0) AS bad_total,
+         count(*) OVER () AS sequences FROM draws GROUP BY stratum, signal
+), grid AS (
+  SELECT stratum, signal, good_total, bad_total, sequences, cutoff,
+         count(cell) FILTER (WHERE quality = 1 AND cell > cutoff) AS good, count(cell) FILTER (WHERE quality = 0 AND cell > cutoff) AS bad
+  FROM totals CROSS JOIN (SELECT unnest(range(100)) AS cutoff) JOIN draws USING (stratum, signal) GROUP BY ALL
+), tails AS (
+  SELECT good, good_total, sum(exp(lgamma(good_total + 1) - lgamma(i + 1) - lgamma(good_total - i + 1) + i * ln(0.01) + (good_total - i) * ln(0.99))) AS tail
+  FROM (SELECT good, good_total, unnest(range(good + 1)) AS i FROM (SELECT DISTINCT good, good_total FROM grid WHERE good < good_total))
+  GROUP BY good, good_total
+), cutoffs AS (
+  SELECT stratum, signal, cutoff, bad / greatest(1, bad_total) - 10 * good / greatest(1, good_total) AS gain
+  FROM grid JOIN tails USING (good, good_total) WHERE tail <= 0.05 / sequences AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, signal ORDER BY gain DESC, cutoff DESC) = 1
+), rejected AS (
+  SELECT DISTINCT row_id FROM measured JOIN signals USING (row_id) JOIN cutoffs USING (stratum, signal) WHERE level > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected.row_id IS NULL AS kept
+FROM measured LEFT JOIN rejected USING (row_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_repeated_passages": REPEATED_WORDS,
         "op6_secret_spans": secret_spans_sql(),
         "op7_near_duplicates": NEAR_DUPLICATES,
+        "op8_quality_rules": QUALITY_RULES,
         "op11_shared_lines": SHARED_LINES,
         "op12_ranked_documents": RANKED_DOCUMENTS,
         "op13_source_divergence": SOURCE_DIVERGENCE,
