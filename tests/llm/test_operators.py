@@ -218,7 +218,10 @@ def test_main_text_with_ids_of_titles(spark):
     assert {r.page_id: r.text for r in site_style_tree.extract(pages).collect()} == {i: f"story {i}" for i in range(20)}
 
 
-def test_repeats(docs, empty):
+@pytest.mark.parametrize("shard_bytes, bucket_bytes", [(repeats.SHARD_BYTES, repeats.BUCKET_BYTES), (20_000, 7_000)])
+def test_repeats(docs, empty, monkeypatch, shard_bytes, bucket_bytes):
+    monkeypatch.setattr(repeats, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", bucket_bytes)
     words = [WORD.findall(t or "") for _, t in TEXTS]
     gone = windows_gone(words, [i for i, _ in TEXTS])
     want = [(i, len(w), sum(g), hashlib.sha256(" ".join(x for x, y in zip(w, g) if not y).encode()).hexdigest()) for (i, _), w, g in zip(TEXTS, words, gone)]

@@ -1,7 +1,8 @@
 """Removal of passages that an earlier document has, by repeated-phrase automata.
 
 A window is ``SIZE`` consecutive words of a document; a word goes if a window that covers it also starts in a document
-with a smaller doc_id. The texts are dealt once, by a hash of doc_id, into shards of a few MiB; all steps read them there.
+with a smaller doc_id. The texts are dealt once, by a hash of doc_id, into shards of about ``SHARD_BYTES`` (their number comes
+from the bytes of all texts, not from the session); all steps read them there.
 
 1. Anchors: the least hash among the ``GRAM``-word grams of a window is the same for equal windows, and neighbouring
    windows mostly share it. Each shard names its distinct anchors with the smallest and largest doc_id that has them;
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, width
+from .common import named
 from .textops import SpanHasher, slices, text_buffer, text_of_words, window_hashes, word_spans
 
 SIZE, GRAM = 13, 5
 NO_ID = np.iinfo(np.int64).max
 AUTOMATON_BYTES = 1 << 20
-SHARDS_PER_PARTITION = 2
+#: Text of a shard, and text whose anchors or windows share a bucket.
+SHARD_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 U64 = np.uint64
 ENTRIES = "bucket int, shard int, keys binary, low binary, span binary"
 ANSWERS = "shard int, keys binary, low binary"
@@ -193,16 +195,20 @@ def located(text: pa.Table, confirmed: pa.Table) -> Iterator[tuple[pa.RecordBatc
         yield part, rows
 
 
-def dealt(docs: DataFrame) -> DataFrame:
-    """The documents with their shard."""
-    n_shards = SHARDS_PER_PARTITION * width(docs)
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+
+
+def dealt(docs: DataFrame, n_bytes: int) -> DataFrame:
+    """The documents, whose texts have ``n_bytes``, with their shard."""
+    n_shards = 1 + n_bytes // SHARD_BYTES
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int")
     return docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")).withColumn("shard", shard)
 
 
-def confirmed_windows(texts: DataFrame) -> DataFrame:
+def confirmed_windows(texts: DataFrame, n_bytes: int) -> DataFrame:
     """shard, keys, low: the windows of a shard that also start in an earlier document."""
-    n_buckets = width(texts)
+    n_buckets = 1 + n_bytes // BUCKET_BYTES
 
     def send_anchors(group: pa.Table) -> pa.Table:
         hasher, found = SpanHasher(), []
@@ -247,8 +253,9 @@ def digests(docs: DataFrame) -> DataFrame:
             )
         return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept_sha256": pa.array([], pa.string())})
 
-    texts = dealt(docs.select("doc_id", "text"))
-    return texts.groupBy("shard").cogroup(confirmed_windows(texts).groupBy("shard")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    n_bytes = text_bytes(docs)
+    texts = dealt(docs.select("doc_id", "text"), n_bytes)
+    return texts.groupBy("shard").cogroup(confirmed_windows(texts, n_bytes).groupBy("shard")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remaining(raw: bytes, gone: np.ndarray) -> str:
@@ -265,7 +272,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     schema = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")).schema
     others = F.struct(*[named(c) for c in columns if c not in ("doc_id", "text")]) if len(columns) > 2 else F.struct(F.lit(0).alias("none"))
-    texts = dealt(docs.select("doc_id", "text"))
+    n_bytes = text_bytes(docs)
+    texts = dealt(docs.select("doc_id", "text"), n_bytes)
 
     def run(text: pa.Table, confirmed: pa.Table) -> pa.Table:
         out = []
@@ -280,7 +288,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             out.append(kept)
         return pa.Table.from_batches(out, schema=text.select(["doc_id", "text", "others"]).schema) if out else text.select(["doc_id", "text", "others"]).slice(0, 0)
 
-    carried = dealt(docs.select("doc_id", "text", others.alias("others")))
+    carried = dealt(docs.select("doc_id", "text", others.alias("others")), n_bytes)
     kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), carried.schema["others"]])
-    out = carried.groupBy("shard").cogroup(confirmed_windows(texts).groupBy("shard")).applyInArrow(run, kind)
+    out = carried.groupBy("shard").cogroup(confirmed_windows(texts, n_bytes).groupBy("shard")).applyInArrow(run, kind)
     return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("others").getField(c).alias(c) for c in columns]).to(schema)
