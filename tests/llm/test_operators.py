@@ -427,9 +427,10 @@ def test_near_duplicates(docs, empty, size):
     assert near_duplicates.groups(empty, size).count() == 0
 
 
-def test_near_copies_of_each_other(spark, monkeypatch):
-    """A family whose members are often just below the threshold to one another, in blocks of a few members."""
-    monkeypatch.setattr(near_duplicates, "BLOCK", 7)
+@pytest.mark.parametrize("bound, size", [("BLOCK", 7), ("BLOCK_SHINGLES", 900)])
+def test_near_copies_of_each_other(spark, monkeypatch, bound, size):
+    """A family whose members are often just below the threshold to one another, in blocks of a few members or shingles."""
+    monkeypatch.setattr(near_duplicates, bound, size)
     r = random.Random(3)
     base = [f"b{i}" for i in range(120)]
     texts = []

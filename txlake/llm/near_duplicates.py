@@ -38,7 +38,8 @@ BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 SCALE, RATE, TOP = 1.001, 20.0, 65535
 MARGIN = 0.25
-BLOCK = 512
+#: Members of a block, and shingles where its members' sets are compared.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 CHUNK = 256
 U64 = np.uint64
 
@@ -212,10 +213,10 @@ class Forest:
         return pa.table({"a": pa.array([a for a, _ in self.pairs], pa.binary()), "b": pa.array([b for _, b in self.pairs], pa.binary())})
 
 
-def in_blocks(members: DataFrame, group: str) -> DataFrame:
-    """Deals the ``n`` members of each ``group`` to blocks of about ``BLOCK``, and each member to all pairs of blocks
-    (low, high) that its block is in. A pair of blocks is a group of bounded size."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+def in_blocks(members: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Deals the members of each ``group`` to ``blocks`` blocks, and each member to all pairs of blocks (low, high) that
+    its block is in. A pair of blocks is a group of bounded size."""
+    blocks = F.ceil(blocks).cast("int")
     dealt = members.withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return dealt.select(group, "class", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
@@ -236,7 +237,7 @@ def bucket_forest(members: DataFrame, classes: DataFrame, threshold: float) -> D
                 forest.join(i, j[near >= threshold - MARGIN])
         return forest.table()
 
-    dealt = in_blocks(members, "key").join(classes.select("class", "registers", "n_shingles"), "class")
+    dealt = in_blocks(members, "key", F.col("n") / BLOCK).join(classes.select("class", "registers", "n_shingles"), "class")
     return dealt.groupBy("key", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
 
 
@@ -261,7 +262,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 forest.join(i, forest.apart(i, np.flatnonzero(100 * common >= percent * (n[i] + n - common))))
         return forest.table()
 
-    dealt = in_blocks(members, "cluster").join(sets, "class")
+    blocks = F.greatest(F.col("n") / BLOCK, F.col("n_shingles") / BLOCK_SHINGLES)
+    dealt = in_blocks(members, "cluster", blocks).join(sets, "class")
     return dealt.groupBy("cluster", "low", "high").applyInArrow(run, "a binary, b binary").distinct()
 
 
@@ -287,7 +289,8 @@ def labelled(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
     clusters = components(spokes.union(bucket_forest(members, classes, percent / 100)))
 
     clusters = clusters.select(F.col("node").alias("class"), F.col("label").alias("cluster"), F.col("node").alias("label"))
-    members = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
+    sizes = clusters.join(classes.select("class", "n_shingles"), "class").groupBy("cluster")
+    members = clusters.join(sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("n_shingles")), "cluster")
     labels = components(block_links(members, sets_of(clusters.select("class"), docs, classes, size), percent))
     labels = classes.select("class").join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("label", "class").alias("label"))
     return rows, classes, labels
