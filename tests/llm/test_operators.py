@@ -242,6 +242,36 @@ def test_repeats_cut_into_many_automata(docs, monkeypatch):
     assert by_row(tuple(r) for r in repeats.digests(docs).collect()) == want
 
 
+def test_automata_are_not_held_together(monkeypatch):
+    import weakref
+
+    import ahocorasick
+    import pyarrow as pa
+
+    alive, most, made, plain = weakref.WeakSet(), [0], [0], ahocorasick.Automaton
+
+    class Counted:
+        def __init__(self):
+            self.real = plain()
+            alive.add(self)
+            made[0] += 1
+            most[0] = max(most[0], len(alive))
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+    monkeypatch.setattr(ahocorasick, "Automaton", Counted)
+    monkeypatch.setattr(repeats, "AUTOMATON_BYTES", 50)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(30)]
+    shard = pa.table({"doc_id": pa.array(range(1, 31), pa.int64()), "text": texts})
+    keys = np.concatenate([repeats.windows_of(b, repeats.SpanHasher())[0] for b in shard.to_batches()])
+    low = np.zeros(len(keys), np.int64)
+    confirmed = pa.table({"keys": [keys.tobytes()], "low": [repeats.planes(low)]})
+    gone = [g for _, rows in repeats.located(shard, confirmed) for *_, g in rows]
+    assert len(gone) == 30 and all(g.all() for g in gone)
+    assert made[0] >= 30 and most[0] <= 2
+
+
 def test_shards(docs, empty):
     rows = sharding.shards(docs, 8).collect()
     want = [(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in TEXTS]

@@ -63,17 +63,23 @@ def process_cache(name: str, build):
     return getattr(home, name)
 
 
-def forget_process_cache() -> None:
-    """Gives back what earlier operators left in this Python worker: workers live on from stage to stage."""
+def give_back() -> None:
+    """Returns the memory that this Python worker has freed to the system: workers live on from task to task."""
     import ctypes
-    import sys
 
     import pyarrow as pa
 
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only; elsewhere freed pages go back by themselves
+    if trim is not None:
+        trim(0)
+
+
+def forget_process_cache() -> None:
+    """Gives back what earlier operators left in this Python worker: workers live on from stage to stage."""
+    import sys
+
     home = sys.modules.pop("txlake_process_cache", None)
     if home is not None:
         vars(home).clear()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only; elsewhere freed pages go back by themselves
-        if trim is not None:
-            trim(0)
+        give_back()

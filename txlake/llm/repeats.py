@@ -10,8 +10,8 @@ from the bytes of all texts, not from the session); all steps read them there.
 2. Confirmation: each shard names its distinct windows at recurring anchors the same way, and learns which of them
    start in an earlier document, and in which.
 3. Location: each shard joins neighbouring confirmed windows to passages, compiles them into Aho-Corasick automata of
-   bounded size and streams all its documents through them; every occurrence marks the windows whose first document
-   is smaller.
+   bounded size, one after the other, and streams all its documents through each; every occurrence marks the windows
+   whose first document is smaller.
 
 A shard sends one entry for each distinct anchor or window, so what meets in a bucket is bounded by the number of shards for
 any one passage, however many documents hold it. Entries travel as packed arrays, one row for each shard and bucket. Windows are told apart by 64-bit hashes.
@@ -32,12 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named
+from .common import forget_process_cache, give_back, named
 from .textops import SpanHasher, slices, text_buffer, text_of_words, window_hashes, word_spans
 
 SIZE, GRAM = 13, 5
 NO_ID = np.iinfo(np.int64).max
-AUTOMATON_BYTES = 1 << 20
+#: Text of the passages of an automaton, which takes some eighty times that; one is in memory at a time.
+AUTOMATON_BYTES = 1 << 18
+#: Text whose words and windows a task has in memory at a time.
+SLICE_BYTES = 1 << 20
 #: Text of a shard, and text whose anchors or windows share a bucket.
 SHARD_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 U64 = np.uint64
@@ -107,6 +110,7 @@ def answered(sent: DataFrame, later_only: bool) -> DataFrame:
         low = [unplanes(x) for x in group.column("low").to_pylist()]
         high = [a + unplanes(x) for a, x in zip(low, group.column("span").to_pylist())]
         all_keys, least, most = summed_up(np.concatenate(keys), np.concatenate(low), np.concatenate(high))
+        give_back()
         shard, out_keys, out_low = [], [], []
         for s, k, h in zip(group.column("shard").to_pylist(), keys, high):
             at = np.searchsorted(all_keys, k)
@@ -120,41 +124,40 @@ def answered(sent: DataFrame, later_only: bool) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, ANSWERS)
 
 
-class Passages:
-    """Aho-Corasick automata over the passages of a shard, each of bounded size."""
+def joined(words: list[bytes]) -> tuple[str, np.ndarray]:
+    """The words between single spaces, one character a byte, and the places of the spaces."""
+    flat = b" " + b" ".join(words) + b" "
+    return flat.decode("latin-1"), np.flatnonzero(np.frombuffer(flat, np.uint8) == 32).astype(np.int32)
 
-    def __init__(self, passages: dict[str, np.ndarray]):
-        import ahocorasick
 
-        self.automata, size = [], AUTOMATON_BYTES
-        for text, least in passages.items():
-            if size >= AUTOMATON_BYTES:
-                self.automata.append(ahocorasick.Automaton())
-                size = 0
-            self.automata[-1].add_word(text, least)
-            size += len(text)
-        for automaton in self.automata:
-            automaton.make_automaton()
+def automata(passages: dict[str, np.ndarray]) -> Iterator:
+    """Aho-Corasick automata over the passages of a shard, each of bounded size and built when it is asked for."""
+    import ahocorasick
 
-    def removed(self, words: list[bytes], doc_id: int) -> np.ndarray:
-        """True for every word that a located window with a smaller first document covers."""
-        edge = np.zeros(len(words) + 1, np.int64)
-        if len(words) < SIZE or not self.automata:
-            return edge[:-1] > 0
-        flat = b" " + b" ".join(words) + b" "
-        spaces = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
-        text = flat.decode("latin-1")
-        for automaton in self.automata:
-            for end, least in automaton.iter(text):
-                begin = int(np.searchsorted(spaces, end)) - (len(least) + SIZE - 1)
-                if least[-1] < doc_id and (least < doc_id).all():
-                    edge[begin] += 1
-                    edge[begin + len(least) + SIZE - 1] -= 1
-                else:
-                    at = begin + np.flatnonzero(least < doc_id)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + SIZE, -1)
-        return np.cumsum(edge[:-1]) > 0
+    automaton, size = ahocorasick.Automaton(), 0
+    for text, least in passages.items():
+        automaton.add_word(text, least)
+        size += len(text)
+        if size >= AUTOMATON_BYTES:
+            automaton.make_automaton()
+            yield automaton
+            automaton, size = ahocorasick.Automaton(), 0
+    if size:
+        automaton.make_automaton()
+        yield automaton
+
+
+def mark(automaton, text: str, spaces: np.ndarray, doc_id: int, edge: np.ndarray) -> None:
+    """Adds the located windows with a smaller first document to ``edge``: 1 at the first word, -1 behind the last."""
+    for end, least in automaton.iter(text):
+        begin = int(np.searchsorted(spaces, end)) - (len(least) + SIZE - 1)
+        if least[-1] < doc_id and (least < doc_id).all():
+            edge[begin] += 1
+            edge[begin + len(least) + SIZE - 1] -= 1
+        else:
+            at = begin + np.flatnonzero(least < doc_id)
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + SIZE, -1)
 
 
 def passages_of(text: pa.Table, keys: np.ndarray, least: np.ndarray, hasher: SpanHasher) -> dict[str, np.ndarray]:
@@ -162,7 +165,7 @@ def passages_of(text: pa.Table, keys: np.ndarray, least: np.ndarray, hasher: Spa
     found: dict[str, np.ndarray] = {}
     if not len(keys):
         return found
-    for part in slices(text.to_batches()):
+    for part in slices(text.to_batches(), limit=SLICE_BYTES):
         windows, _, word, owner = windows_of(part, hasher)
         at = np.minimum(np.searchsorted(keys, windows), len(keys) - 1)
         hit = np.flatnonzero((keys[at] == windows) & (least[at] < ids_of(part)[owner]))
@@ -185,13 +188,29 @@ def located(text: pa.Table, confirmed: pa.Table) -> Iterator[tuple[pa.RecordBatc
     keys = np.concatenate([np.frombuffer(x, U64) for x in confirmed.column("keys").to_pylist()] + [np.zeros(0, U64)])
     least = np.concatenate([unplanes(x) for x in confirmed.column("low").to_pylist()] + [np.zeros(0, np.int64)])
     order = np.argsort(keys)
-    automata = Passages(passages_of(text, keys[order], least[order], hasher))
-    for part in slices(text.to_batches()):
+    passages = passages_of(text, keys[order], least[order], hasher)
+    parts = list(slices(text.to_batches(), limit=SLICE_BYTES))  # views of the shard
+    edges: list[list[np.ndarray | None]] = [[None] * part.num_rows for part in parts]
+    if passages:
+        texts = []
+        for part, here in zip(parts, edges):
+            data, offs = text_buffer(part.column("text"))
+            raw = data.tobytes()
+            for i, (a, b, doc_id) in enumerate(zip(offs.tolist(), offs[1:].tolist(), ids_of(part).tolist())):
+                words = raw[a:b].split()
+                if len(words) >= SIZE:
+                    here[i] = np.zeros(len(words) + 1, np.int32)
+                    texts.append((*joined(words), doc_id, here[i]))
+        for automaton in automata(passages):
+            for flat, spaces, doc_id, edge in texts:
+                mark(automaton, flat, spaces, doc_id, edge)
+        automaton = texts = passages = None
+    for part, here in zip(parts, edges):
         data, offs = text_buffer(part.column("text"))
         raw, rows = data.tobytes(), []
-        for a, b, doc_id in zip(offs.tolist(), offs[1:].tolist(), ids_of(part).tolist()):
+        for a, b, edge in zip(offs.tolist(), offs[1:].tolist(), here):
             words = raw[a:b].split()
-            rows.append((raw[a:b], words, automata.removed(words, doc_id)))
+            rows.append((raw[a:b], words, np.zeros(len(words), bool) if edge is None else np.cumsum(edge[:-1]) > 0))
         yield part, rows
 
 
@@ -211,22 +230,25 @@ def confirmed_windows(texts: DataFrame, n_bytes: int) -> DataFrame:
     n_buckets = 1 + n_bytes // BUCKET_BYTES
 
     def send_anchors(group: pa.Table) -> pa.Table:
+        forget_process_cache()
         hasher, found = SpanHasher(), []
-        for part in slices(group.to_batches()):
+        for part in slices(group.to_batches(), limit=SLICE_BYTES):
             _, anchor, _, owner = windows_of(part, hasher)
             ids = ids_of(part)[owner]
             found.append(summed_up(anchor, ids, ids))
+        give_back()
         return entries(group.column("shard")[0].as_py(), found, n_buckets)
 
     def send_windows(group: pa.Table, recurring: pa.Table) -> pa.Table:
         hasher, found = SpanHasher(), []
         known = np.sort(np.concatenate([np.frombuffer(x, U64) for x in recurring.column("keys").to_pylist()] + [np.zeros(0, U64)]))
         if len(known):
-            for part in slices(group.to_batches()):
+            for part in slices(group.to_batches(), limit=SLICE_BYTES):
                 windows, anchor, _, owner = windows_of(part, hasher)
                 hit = known[np.minimum(np.searchsorted(known, anchor), len(known) - 1)] == anchor
                 ids = ids_of(part)[owner[hit]]
                 found.append(summed_up(windows[hit], ids, ids))
+        give_back()
         return entries(group.column("shard")[0].as_py() if group.num_rows else -1, found, n_buckets)
 
     recurring = answered(texts.groupBy("shard").applyInArrow(send_anchors, ENTRIES), later_only=False)
@@ -251,6 +273,7 @@ def digests(docs: DataFrame) -> DataFrame:
                     }
                 )
             )
+        give_back()
         return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept_sha256": pa.array([], pa.string())})
 
     n_bytes = text_bytes(docs)
@@ -286,6 +309,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 new = [remaining(rows[i][0], rows[i][2]) if rows[i][2].any() else t for i, t in zip(at, whole)]
                 kept = kept.set_column(1, "text", pa.array(new, pa.string()))
             out.append(kept)
+        give_back()
         return pa.Table.from_batches(out, schema=text.select(["doc_id", "text", "others"]).schema) if out else text.select(["doc_id", "text", "others"]).slice(0, 0)
 
     carried = dealt(docs.select("doc_id", "text", others.alias("others")), n_bytes)
