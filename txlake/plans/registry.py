@@ -252,6 +252,8 @@ def encoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_envelope(rows, "message_id", tx_type=F.col("txType")).drop("message_no")
 
 
+#: A reader takes up to 4096 rows of a file at a time, which are too many messages of a hundred transactions.
+MESSAGE_FILES = {"compression": "zstd", "maxRecordsPerFile": 1024}
 MESSAGE_SCHEMA = "message_id bigint, value string, timestamp timestamp"
 
 
@@ -259,7 +261,7 @@ def message_table(spark: SparkSession, sf_dir: str) -> str:
     """The encoded messages written once to the shared scratch area (the "bus" the
     consuming queries read, like a topic they subscribe to)."""
     return _derived_table(spark, sf_dir, "messages",
-                          lambda p: encoded_messages(spark, sf_dir).write.parquet(p))
+                          lambda p: encoded_messages(spark, sf_dir).write.options(**MESSAGE_FILES).parquet(p))
 
 
 def raw_messages(spark: SparkSession, sf_dir: str, with_errors: bool = False) -> DataFrame:
@@ -495,7 +497,8 @@ def _consumer_sinks(spark: SparkSession, sf_dir: str, fresh: bool = False) -> st
 
     def write(sinks: str) -> None:
         q = run_stream(read_tx_stream(spark, "parquet", src, schema=MESSAGE_SCHEMA), sinks, scratch_path(spark, "rt-ckpt"),
-                       trigger={"availableNow": True}, parallel_jobs=len(mb.MICROBATCH_ANALYTICS))
+                       trigger={"availableNow": True}, parallel_jobs=len(mb.MICROBATCH_ANALYTICS),
+                       sink_options={"compression": "zstd"})
         run_to_completion(q)
     return _derived_table(spark, sf_dir, "rt-sinks", write, fresh)
 
@@ -519,7 +522,7 @@ POLLED_SCHEMA = "poll_id bigint, message_no bigint, value string, timestamp time
 def polled_messages(spark: SparkSession, sf_dir: str) -> str:
     """The messages of 60 polls with frames that overlap by half."""
     return _derived_table(spark, sf_dir, "polled",
-                          lambda p: poll_messages(load_transactions(spark, sf_dir), **POLLS).write.parquet(p))
+                          lambda p: poll_messages(load_transactions(spark, sf_dir), **POLLS).write.options(**MESSAGE_FILES).parquet(p))
 
 
 def q_poll_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

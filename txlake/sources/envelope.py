@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlake.functions.units import floored
 from txlake.operators.prefix import running_sum, split_crowded
@@ -15,26 +16,48 @@ MESSAGE_NO = "message_no"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-def envelope_tx_struct(tx_type: Column | None = None) -> Column:
-    """One transaction in the poller's nested shape, from transaction-table columns."""
+#: Keys with more rows are cut into pages without a task that holds a key's rows.
+CROWDED_ROWS = 4096
+
+
+def envelope_tx_struct(tx_type: Column | None = None, of=F.col) -> Column:
+    """One transaction in the poller's nested shape; ``of`` gives the columns of the transaction table by name."""
     if tx_type is None:
-        tx_type = F.col(TRANSACTION_TYPE).cast("string")
+        tx_type = of(TRANSACTION_TYPE).cast("string")
     return F.struct(
-        F.struct(F.struct(F.date_format(F.col(BLOCK_TIMESTAMP), ISO_FORMAT).alias("iso8601")).alias("timestamp"))
+        F.struct(F.struct(F.date_format(of(BLOCK_TIMESTAMP), ISO_FORMAT).alias("iso8601")).alias("timestamp"))
         .alias("block"),
-        F.col(GAS).cast("double").alias("gas"),
-        F.col(GAS_PRICE).cast("double").alias("gasPrice"),
+        of(GAS).cast("double").alias("gas"),
+        of(GAS_PRICE).cast("double").alias("gasPrice"),
         # A decimal product: two bigints may exceed a bigint.
-        ((F.col(GAS).cast("decimal(19,0)") * F.col(GAS_PRICE).cast("decimal(19,0)")).cast("double") / F.lit(WEI_PER_ETH))
+        ((of(GAS).cast("decimal(19,0)") * of(GAS_PRICE).cast("decimal(19,0)")).cast("double") / F.lit(WEI_PER_ETH))
         .alias("gasValue"),
-        F.col(HASH).alias("hash"),
-        F.col(NONCE).cast("long").alias("nonce"),
-        F.struct(F.col(FROM_ADDRESS).alias("address")).alias("sender"),
-        F.struct(F.col(TO_ADDRESS).alias("address")).alias("to"),
+        of(HASH).alias("hash"),
+        of(NONCE).cast("long").alias("nonce"),
+        F.struct(of(FROM_ADDRESS).alias("address")).alias("sender"),
+        F.struct(of(TO_ADDRESS).alias("address")).alias("to"),
         tx_type.alias("txType"),
     )
 
 
+def _hex_text(raw: Column) -> Column:
+    return F.concat(F.lit("0x"), F.lower(F.hex(raw)))
+
+
+def packed_text(text: Column) -> Column:
+    """A string as bytes for a shuffle: ``0x`` and lower-case hexadecimal digits at half the length, any other as it is."""
+    raw = F.unhex(F.substring(text, 3, _LONGEST))
+    return F.when(text == _hex_text(raw), F.concat(F.lit(b"\x01"), raw)).otherwise(F.concat(F.lit(b"\x00"), text.cast("binary")))
+
+
+def unpacked_text(packed: Column) -> Column:
+    rest = F.substring(packed, 2, _LONGEST)
+    return F.when(F.substring(packed, 1, 1) == F.lit(b"\x01"), _hex_text(rest)).otherwise(rest.cast("string"))
+
+
+_LONGEST = (1 << 31) - 1
+
+
 def paged(rows: DataFrame, keys: list[str], page_rows: int, split_rows: int | None = None) -> DataFrame:
     """Adds ``message_no`` to rows of ``_tx``, ``_ts`` and ``_hash``: newest first, ``page_rows`` rows a page, from 0 for each key.
 
@@ -64,16 +87,65 @@ def encode_envelope(rows: DataFrame, message_key: str | list[str] | None = "mess
     """
     keys = [] if message_key is None else [message_key] if isinstance(message_key, str) else list(message_key)
     nested = "transaction" in rows.columns
-    flat = rows.select(
-        *keys, (F.col("transaction") if nested else envelope_tx_struct(tx_type)).alias("_tx"),
-        (F.try_to_timestamp("transaction.block.timestamp.iso8601") if nested else F.col(BLOCK_TIMESTAMP)).alias("_ts"),
-        (F.col("transaction.hash") if nested else F.col(HASH)).alias("_hash"))
-    flat = flat.withColumn(MESSAGE_NO, F.lit(0).cast("long")) if page_rows is None else paged(flat, keys, int(page_rows))
-    txs = F.sort_array(F.collect_list("_tx"), asc=False)
-    grouped = flat.groupBy(*keys, MESSAGE_NO).agg(txs.alias("transactions"), F.max("_ts").alias("timestamp"))
-    value = F.to_json(F.struct(F.struct(F.struct(F.col("transactions").alias("transactions"))
-                                        .alias("ethereum")).alias("data")))
-    return grouped.select(*keys, MESSAGE_NO, value.alias("value"), F.col("timestamp"))
+    if nested:
+        tx = F.col("transaction")
+        ts, hash_ = F.try_to_timestamp("transaction.block.timestamp.iso8601"), F.col("transaction.hash")
+    else:
+        # The flat columns travel, and the nested shape is made of them where a message is put together.
+        carried = [GAS, GAS_PRICE, NONCE, FROM_ADDRESS, TO_ADDRESS]
+        texts = {f.name for f in rows.select(*carried, HASH).schema if isinstance(f.dataType, T.StringType)}
+        fields = [(packed_text(F.col(c)) if c in texts else F.col(c)).alias(c) for c in carried]
+        tx = F.struct(*fields, (F.col(TRANSACTION_TYPE).cast("string") if tx_type is None else tx_type).alias("_type"))
+        ts, hash_ = F.col(BLOCK_TIMESTAMP), F.col(HASH)
+    short_hash = not nested and HASH in texts
+
+    def hash_of(row: Column) -> Column:
+        return unpacked_text(row["hash"]) if short_hash else row["hash"]
+
+    def transaction_of(row: Column) -> Column:
+        if nested:
+            return row["tx"]
+
+        def column(name: str) -> Column:
+            if name in (HASH, BLOCK_TIMESTAMP):
+                return hash_of(row) if name == HASH else row["ts"]
+            return unpacked_text(row["tx"][name]) if name in texts else row["tx"][name]
+        return envelope_tx_struct(row["tx"]["_type"], column)
+
+    flat = rows.select(*keys, tx.alias("_tx"), ts.alias("_ts"), hash_.alias("_hash"))
+    row = F.struct(F.col("_ts").alias("ts"), (packed_text(F.col("_hash")) if short_hash else F.col("_hash")).alias("hash"), F.col("_tx").alias("tx"))
+
+    def together(numbered: DataFrame) -> DataFrame:
+        return numbered.groupBy(*keys, MESSAGE_NO).agg(F.collect_list(row).alias("_page"))
+
+    if page_rows is None:
+        pages = together(flat.withColumn(MESSAGE_NO, F.lit(0).cast("long")))
+    elif not keys:
+        pages = together(paged(flat, keys, int(page_rows)))
+    else:
+        # Most keys fit into a task: their rows are shuffled once and cut there. The broadcast table has at most one
+        # row for every CROWDED_ROWS.
+        crowded = flat.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max(CROWDED_ROWS, int(page_rows)))
+        crowded = F.broadcast(crowded.select(*[F.col(k).alias(f"_crowded{i}") for i, k in enumerate(keys)]))
+        same = [flat[k].eqNullSafe(F.col(f"_crowded{i}")) for i, k in enumerate(keys)]
+        few = flat.join(crowded, same, "left_anti").groupBy(*keys).agg(F.collect_list(row).alias("_rows"))
+        pages = cut(few, keys, int(page_rows), hash_of).unionByName(together(paged(flat.join(crowded, same, "left_semi"), keys, int(page_rows))))
+    txs = F.transform("_page", transaction_of)
+    txs = F.sort_array(F.filter(txs, lambda t: t.isNotNull()) if nested else txs, asc=False)
+    value = F.to_json(F.struct(F.struct(F.struct(txs.alias("transactions")).alias("ethereum")).alias("data")))
+    return pages.select(*keys, MESSAGE_NO, value.alias("value"), F.array_max(F.transform("_page", lambda r: r["ts"])).alias("timestamp"))
+
+
+def cut(groups: DataFrame, keys: list[str], page_rows: int, hash_of) -> DataFrame:
+    """The ``_rows`` of each key as pages (``_page``) in the order of :func:`paged`, numbered by ``message_no``."""
+    back = lambda r: F.coalesce(-F.unix_micros(r["ts"]), F.lit((1 << 63) - 1))
+    ordered = F.sort_array(F.transform("_rows", lambda r: F.struct(back(r).alias("back"), hash_of(r).alias("text"), r.alias("row"))))
+    # The variable of a lambda is computed once: the rows are not sorted again for each page.
+    pages = F.transform(F.array(ordered), lambda rows: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / page_rows).cast("int")),
+        lambda i: F.transform(F.slice(rows, i * page_rows + 1, F.lit(page_rows)), lambda r: r["row"])))[0]
+    found = groups.select(*keys, F.posexplode(pages).alias("_no", "_page"))
+    return found.select(*keys, F.col("_no").cast("long").alias(MESSAGE_NO), "_page")
 
 
 def error_response(message: Column) -> Column:
