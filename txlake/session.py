@@ -89,12 +89,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Moves a folder in one step; fails if ``target`` is there."""
+def rename(spark: SparkSession, source: str, target: str, replace: bool = False) -> None:
+    """Moves a folder in one step; if ``target`` is there, it fails or, with ``replace``, deletes that first."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
     fs = b.getFileSystem(conf)
     fs.mkdirs(b.getParent())
+    if replace:
+        fs.delete(b, True)
     if fs.exists(b) or not fs.rename(a, b):
         raise FileExistsError(f"cannot move {source} to {target}")
 

@@ -65,8 +65,9 @@ def rt_transactions_value(batch: DataFrame, partition_by: str = "hash", top: int
     """
     pairs = batch.select(F.col(T + "hash").alias("hash"), F.col(T + "gasValue").alias("gasValue"))
     if partition_by in ("hash", T + "hash"):
-        # (hash, value) rows are unique after the aggregation: rank them directly, no join back.
-        grouped = pairs.groupBy("hash", "gasValue").agg(F.count(F.lit(1)).alias("_c"))
+        # (hash, value) rows are unique after the aggregation: rank them directly, no join back. Dealt by the hash
+        # alone, the rows are shuffled once for the aggregation and the ranks.
+        grouped = pairs.repartition("hash").groupBy("hash", "gasValue").agg(F.count(F.lit(1)).alias("_c"))
         w = (Window.partitionBy("hash").orderBy(F.col("gasValue").desc_nulls_last())
              .rowsBetween(Window.unboundedPreceding, -1))
         ranked = grouped.select("hash", "gasValue", "_c",

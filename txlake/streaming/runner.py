@@ -2,7 +2,7 @@
 
 Each micro-batch is exploded once, persisted, and fanned out to the R01-R05
 analytics. Every result carries ``batch_id``; file sinks are partitioned by
-it and written with dynamic partition overwrite, so a batch replayed after
+it, and the folder of a batch is put in place whole, so a batch replayed after
 a failure replaces its own output instead of appending a second copy
 (exactly-once effect on top of the at-least-once ``foreachBatch``). With
 ``committed`` all outputs of a batch appear together through a commit log,
@@ -17,10 +17,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from txlake.session import rename, scratch_sibling
 from txlake.sources.commits import APPEND, CommitLog
 from txlake.sources.envelope import decode_envelope, explode_transactions
 from txlake.sources.io import DOCUMENT_STORES, FILE_FORMATS, target_options
@@ -87,15 +88,20 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
 
         def one(item) -> None:
             name, make = item
-            out = make().withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            out = make()
+            if fmt in FILE_FORMATS and not log:
+                # The folder of the batch is written as such: a dynamic partition would sort all rows by one value.
+                table = f"{sink_base.rstrip('/')}/{name}"
+                draft = scratch_sibling(table, f"_batch-{int(batch_id)}")
+                out.write.format(fmt).mode("errorifexists").options(**opts).save(draft)
+                rename(out.sparkSession, draft, f"{table}/batch_id={int(batch_id)}", replace=True)
+                return
+            out = out.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
             if log:
                 staged[name] = log.stage(out, name, int(batch_id), **opts)
                 return
             w = out.write.format(fmt)
-            if fmt in FILE_FORMATS:
-                (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-                 .options(**opts).save(f"{sink_base.rstrip('/')}/{name}"))
-            elif fmt in DOCUMENT_STORES:
+            if fmt in DOCUMENT_STORES:
                 w.mode("append").options(**{"collection": name, **opts}).save()
             else:
                 w.mode("append").options(**target_options(fmt, name, opts)).save()
@@ -125,13 +131,15 @@ def make_batch_writer(sink_base: str | None, fmt: str = "parquet",
     return write_batch
 
 
-def distinct_transactions(decoded: DataFrame, expiry: str, dead_letter: bool = False) -> DataFrame:
+def distinct_transactions(decoded: DataFrame, expiry: str, dead_letter: bool = False, carried: list[Column] | None = None,
+                          key: str | None = None) -> DataFrame:
     """The transactions of a decoded stream (N10), each ``hash`` once as long as ``expiry`` after it first came.
 
     The poller's frames overlap, so most transactions come twice. Keys expire by the time of the batch they came
     in, which the checkpoint records and which never runs backwards: no row is ever late, so none is lost, whatever
     the order of block times. A transaction without a hash is told by its content, an undecodable message (kept with
-    ``dead_letter``, column ``undecodable``) by its payload.
+    ``dead_letter``, column ``undecodable``) by its payload. With ``carried`` the rows have these columns (of
+    ``transaction``) in its stead, with ``key`` also the key, under that name.
     """
     no_array = F.col(_TX).isNull()
     kept = [F.when(no_array, F.col("value")).alias("value")] if dead_letter else []
@@ -139,9 +147,11 @@ def distinct_transactions(decoded: DataFrame, expiry: str, dead_letter: bool = F
     rows = decoded.select(F.explode_outer(_TX).alias("transaction"), no_array.alias("undecodable"), *kept, *ts)
     rows = rows.where(F.col("transaction").isNotNull() | (F.col("undecodable") & F.lit(dead_letter)))
     payload = [F.sha2(F.col("value"), 256)] if dead_letter else []
-    key = F.coalesce(F.col("transaction.hash"), F.sha2(F.to_json("transaction"), 256), *payload)
-    rows = rows.withColumns({"_key": key, "_came": F.current_timestamp()})
-    return rows.withWatermark("_came", expiry).dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_came")
+    told = F.coalesce(F.col("transaction.hash"), F.sha2(F.to_json("transaction"), 256), *payload)
+    others = [F.col(c) for c in rows.columns] if carried is None else carried
+    rows = rows.select(*others, told.alias("_key"), F.current_timestamp().alias("_came"))
+    rows = rows.withWatermark("_came", expiry).dropDuplicatesWithinWatermark(["_key"]).drop("_came")
+    return rows.drop("_key") if key is None else rows.withColumnRenamed("_key", key)
 
 
 def run_stream(raw_stream: DataFrame, sink_base: str | None, checkpoint: str, fmt: str = "parquet",
