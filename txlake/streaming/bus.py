@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txlake.schema import BLOCK_TIMESTAMP, FROM_ADDRESS, GAS, GAS_PRICE, HASH, NONCE, TO_ADDRESS, TX_SCHEMA
 from txlake.sources.commits import OVERWRITE, CommitLog
-from txlake.sources.envelope import decode_envelope
+from txlake.sources.envelope import decode_envelope, packed_text, unpacked_text
 from txlake.sources.poll import seconds
 from txlake.streaming import eventtime as et
 from txlake.streaming.runner import ROCKSDB, distinct_transactions, start_with, state_width, watch
@@ -42,10 +42,6 @@ def bus_transactions(raw: DataFrame, dedup: str | None = None) -> DataFrame:
     The poller's frames overlap: with ``dedup`` (a time, at least the overlap and the time between two polls) each comes once.
     """
     decoded = decode_envelope(raw)
-    if dedup:
-        rows = distinct_transactions(decoded, dedup)
-    else:
-        rows = decoded.select(F.explode("data.data.ethereum.transactions").alias("transaction")).where("transaction is not null")
     t = "transaction."
     # JSON numbers are doubles; one beyond a bigint becomes null.
     found = {
@@ -54,15 +50,23 @@ def bus_transactions(raw: DataFrame, dedup: str | None = None) -> DataFrame:
         GAS_PRICE: F.col(t + "gasPrice").try_cast("long"),
         BLOCK_TIMESTAMP: F.try_to_timestamp(t + "block.timestamp.iso8601"),
     }
-    return rows.select(*[found[f.name].alias(f.name) for f in BUS_SCHEMA])
+    if not dedup:
+        rows = decoded.select(F.explode("data.data.ethereum.transactions").alias("transaction")).where("transaction is not null")
+        return rows.select(*[found[f.name].alias(f.name) for f in BUS_SCHEMA])
+    # Only what is landed is shuffled by the key: addresses as bytes, and the hash as the key that it is.
+    addresses = (FROM_ADDRESS, TO_ADDRESS)
+    carried = [(packed_text(c) if name in addresses else c.isNotNull() if name == HASH else c).alias(name) for name, c in found.items()]
+    rows = distinct_transactions(decoded, dedup, carried=carried, key="_key")
+    back = {**{name: F.col(name) for name in found}, **{name: unpacked_text(F.col(name)) for name in addresses}, HASH: F.when(F.col(HASH), F.col("_key"))}
+    return rows.select(*[back[f.name].alias(f.name) for f in BUS_SCHEMA])
 
 
 def land_bus(raw: DataFrame, path: str, checkpoint: str, dedup: str | None = None, trigger: dict | None = None,
-             state_partitions: int | None = None) -> StreamingQuery:
+             state_partitions: int | None = None, compression: str = "zstd") -> StreamingQuery:
     """Starts the query that decodes the bus into ``path``."""
     watch(raw.sparkSession)
     w = (bus_transactions(raw, dedup).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", path))
+         .option("checkpointLocation", checkpoint).option("path", path).option("compression", compression))
     if trigger:
         w = w.trigger(**trigger)
     return start_with(w, raw.sparkSession, {**(ROCKSDB if dedup else {}), **state_width(state_partitions)})
