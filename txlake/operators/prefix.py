@@ -29,14 +29,16 @@ def split_crowded(rows: DataFrame, keys: list[str], hash_col: str, limit: int |
     return found.withColumns({name: part, "_crowded": F.col("_length").isNotNull()}).drop("_length")
 
 
-def running_sum(rows: DataFrame, keys: list[str], levels: list[list[str]], order: list, weight: Column, name: str) -> DataFrame:
+def running_sum(rows: DataFrame, keys: list[str], levels: list[list[str]], order: list, weight: Column, name: str,
+                counted: DataFrame | None = None) -> DataFrame:
     """Adds ``name``: the sum of ``weight`` over the rows of ``keys`` up to this one, NULL while all of them are NULL.
 
     ``levels`` are the columns of the buckets from coarse to fine, all non-null like ``keys``; rows are ordered by them
-    and inside a bucket by ``order``. Rows are shuffled once, by bucket; the offsets join on that partitioning."""
+    and inside a bucket by ``order``. Rows are shuffled once, by bucket; the offsets join on that partitioning.
+    Where ``rows`` are dealt to their buckets already, ``counted`` are the same rows before that, to be added up where they are."""
     path = [*keys, *(c for level in levels for c in level)]
     inside = Window.partitionBy(*path).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = rows.groupBy(*path).agg(F.sum(weight).alias("_total"))
+    totals = (rows if counted is None else counted).groupBy(*path).agg(F.sum(weight).alias("_total"))
     offsets, before = None, []
     for depth in reversed(range(len(levels))):
         outer = [*keys, *(c for level in levels[:depth] for c in level)]

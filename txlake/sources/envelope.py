@@ -61,16 +61,22 @@ _LONGEST = (1 << 31) - 1
 def paged(rows: DataFrame, keys: list[str], page_rows: int, split_rows: int | None = None) -> DataFrame:
     """Adds ``message_no`` to rows of ``_tx``, ``_ts`` and ``_hash``: newest first, ``page_rows`` rows a page, from 0 for each key.
 
-    Rows are counted by instant and, in crowded instants, by the first digits of the hash, so no task holds a key."""
+    Rows are counted by instant and, in crowded instants, by the first digits of the hash, so no task holds a key. They
+    travel with the hash as bytes and the time as part of their bucket."""
     ids = [f"_key{i}" for i in range(len(keys))]
     # Newest first; rows without a time are the oldest.
     known = {i: F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for i, k in zip(ids, keys)}
     oldest = F.lit((1 << 63) - 1)
     rows = rows.withColumns({**known, "_back": F.coalesce(-F.unix_micros("_ts"), oldest)})
     rows = rows.withColumn("_day", floored(F.col("_back"), 86_400_000_000))
-    rows = split_crowded(rows, [*ids, "_day", "_back"], "_hash", split_rows)
+    rows = split_crowded(rows, [*ids, "_day", "_back"], "_hash", split_rows).drop("_crowded")
+    kinds, dealt = {f.name: f.dataType for f in rows.schema}, rows
+    if isinstance(kinds["_hash"], T.StringType) and isinstance(kinds["_ts"], T.TimestampType):
+        dealt = rows.withColumn("_hash", packed_text(F.col("_hash"))).drop("_ts").repartition(*ids, "_day", "_back", "_part")
+        dealt = dealt.withColumns({"_hash": unpacked_text(F.col("_hash")),
+                                   "_ts": F.when(F.col("_back") != oldest, F.timestamp_micros(-F.col("_back")))})
     order = [F.col("_hash").asc_nulls_first()]
-    counted = running_sum(rows, ids, [["_day"], ["_back", "_part"]], order, F.lit(1).cast("long"), "_place")
+    counted = running_sum(dealt, ids, [["_day"], ["_back", "_part"]], order, F.lit(1).cast("long"), "_place", rows)
     return counted.withColumn(MESSAGE_NO, floored(F.col("_place") - 1, page_rows))
 
 
