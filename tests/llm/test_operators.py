@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import struct
@@ -17,6 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txlake.llm import (
+    common,
     importance_resampling,
     near_duplicates,
     packing,
@@ -497,6 +499,35 @@ def test_components(spark):
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
+def test_stored_files_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILE_ROWS", 5)
+    parts = {rows: common.stored(spark.range(0, 100, 1, 20), rows).rdd.getNumPartitions() for rows in (None, 0, 60, 100, 1000)}
+    assert parts == {None: 20, 0: 8, 60: 12, 100: 20, 1000: 20}
+    assert [r.id for r in common.stored(spark.range(0, 100, 1, 20), 60).orderBy("id").collect()] == [*range(100)]
+
+
+def test_few_rows_in_many_partitions_are_few_files(spark):
+    r = random.Random(3)
+    long = [[f"w{r.randrange(900)}" for _ in range(120)] for _ in range(4)]
+    texts = [" ".join(t[:k] + ["odd"] + t[k + 1 :]) for t in long for k in (5, 40, 90)] + ["", "alone here"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(root))
+    names = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        got = sorted((x.doc_id, x.component_id) for x in near_duplicates.groups(df, size=4, percent=80).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == [(i, i // 3 * 3 if i < 12 else i) for i in range(14)]
+    files = [sum(f.startswith("part-") for f in os.listdir(f"{root}/{d}")) for d in set(os.listdir(root)) - before if d.startswith("rdd-")]
+    # Only the two sets of edges, whose number is not known beforehand, may have a file for each partition.
+    assert len(files) >= 6 and sum(n > 8 for n in files) <= 2
+
+
 def test_register_likelihood():
     sketch = near_duplicates.Sketcher()
     rng = np.random.default_rng(1)

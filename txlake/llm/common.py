@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txlake.session import checkpoint_root
+from txlake.session import checkpoint_root, default_parallelism
+
+#: Rows of a file of ``stored``: about 10 MB of the widest ones, a class of near-duplicates with its registers.
+FILE_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +22,16 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared folder of ``spark.checkpoint.dir``; later reads survive lost executors."""
+def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` computed once into the shared folder of ``spark.checkpoint.dir``; later reads survive lost executors.
+
+    With ``rows``, the most rows that ``df`` can have, its last step has a task and a file for ``FILE_ROWS`` of them, at
+    least one for each core and at most as many as ``df`` has partitions. On a mounted folder executors start processes
+    (chmod) for every file, so a few rows in hundreds of partitions cost more than many rows.
+    """
     checkpoint_root(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(default_parallelism(df.sparkSession), -(-rows // FILE_ROWS)))
     return df.checkpoint()
 
 

@@ -30,19 +30,21 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = stored(oriented(edges, "a", "b"))
     rounds: list[DataFrame] = []
-    while not pairs.isEmpty():
-        moves = stored(pairs.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("to")))
+    sizes: list[int] = []
+    while n := pairs.count():
+        moves = stored(pairs.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("to")), n)
         for _ in range(len(rounds) + 1):
             further = moves.select(F.col("node").alias("via"), F.col("to").alias("further"))
-            moves = stored(moves.join(further, F.col("to") == F.col("via"), "left").select("node", F.coalesce("further", "to").alias("to")))
+            moves = stored(moves.join(further, F.col("to") == F.col("via"), "left").select("node", F.coalesce("further", "to").alias("to")), n)
         rounds.append(moves)
-        pairs = stored(contracted(pairs, moves))
+        sizes.append(n)
+        pairs = stored(contracted(pairs, moves), n)
 
     if not rounds:
         return pairs.select(F.col("high").alias("node"), F.col("low").alias("label"))
     labels = rounds.pop().withColumnRenamed("to", "label")
-    for moves in reversed(rounds):
+    for r, moves in reversed([*enumerate(rounds)]):
         later = labels.select(F.col("node").alias("via"), "label")
         moved = moves.join(later, F.col("to") == F.col("via"), "left").select("node", F.coalesce("label", "to").alias("label"))
-        labels = stored(moved.union(labels.join(moves, "node", "left_anti")))
+        labels = stored(moved.union(labels.join(moves, "node", "left_anti")), sum(sizes[r:]))
     return labels.union(labels.select("label").distinct().select(F.col("label").alias("node"), "label"))

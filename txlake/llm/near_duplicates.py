@@ -273,13 +273,13 @@ def labelled(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
     classes = rows.where("n_shingles > 0").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.min("registers").alias("registers")
     )
-    classes = stored(classes)
+    classes = stored(classes, rows.count())
     bands = banded(classes)
     leaders = bands.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = stored(bands.join(leaders, "key"))
+    buckets = stored(bands.join(leaders, "key"), BANDS * classes.count())
 
     spokes = buckets.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
-    spokes = stored(likely(spokes, classes, percent / 100))
+    spokes = stored(likely(spokes, classes, percent / 100), buckets.count())
 
     # Leaders have met all others of their bucket; where some are unlike the leader, they may be like each other.
     alike = spokes.select(F.col("a").alias("leader"), F.col("b").alias("class"), F.lit(True).alias("alike"))
